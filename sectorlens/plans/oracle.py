@@ -81,4 +81,11 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
             _deps(name, order)
     ctes = [f"{n} AS ({VIEWS[n]})" for n in order]
     ctes += [f"{n} AS ({q})" for n, q in (extra or {}).items()]
-    return ("WITH " + ",\n".join(ctes) + "\n" + sql) if ctes else sql
+    if not ctes:
+        return sql
+    head = sql.lstrip()
+    m = re.match(r"(?is)with\s+(recursive\s+)?", head)
+    if m:  # merge the query's own CTE list into ours
+        kw = "WITH RECURSIVE " if m.group(1) else "WITH "
+        return kw + ",\n".join(ctes) + ",\n" + head[m.end():]
+    return "WITH " + ",\n".join(ctes) + "\n" + sql
