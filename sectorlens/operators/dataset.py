@@ -129,7 +129,7 @@ def split_assignment(companies: DataFrame, extracted: DataFrame,
     n = withurl.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     has_data = latest_runs(extracted).select("company_id").distinct()
     members = withurl.join(has_data, "company_id", "left_semi")
-    ranked = prefix_rank(members, ["code"], ["company_id"], rank_col="r")
+    ranked = prefix_rank(members, ["code"], "company_id", rank_col="r")
     quotas = broadcast_if_small(
         n.select("code", (F.col("n") * dev / 100).cast("long").alias("d"),
                  (F.col("n") * test / 100).cast("long").alias("t")), 100_000)
@@ -157,7 +157,7 @@ def assemble_documents(pages: DataFrame, keys: list[str], seq_col: str = "seq",
     each collected group then holds at most ``max_chars`` plus one page.
     """
     plen = F.length(F.col(text_col)) + 1
-    ranked = prefix_rank(pages.select(*keys, seq_col, text_col), keys, [seq_col],
+    ranked = prefix_rank(pages.select(*keys, seq_col, text_col), keys, seq_col,
                          value=plen, rank_col="_r", before_col="_before")
     live = ranked.filter(F.col("_before") < max_chars)
     docs = live.groupBy(*keys).agg(

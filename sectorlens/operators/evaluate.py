@@ -145,7 +145,7 @@ def label_auc(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
     and the macro AUC over labels that have both classes."""
     g = (F.col("label") == F.col("true_label")).cast("long")
     per_score = pred.groupBy("label", "score").agg(F.sum(g).alias("npos"), F.count(F.lit(1)).alias("n"))
-    ranked = prefix_rank(per_score, ["label"], ["score"], value="n", rank_col="_k", before_col="below")
+    ranked = prefix_rank(per_score, ["label"], "score", value="n", rank_col="_k", before_col="below")
     # average rank of the tied block = below + (n + 1) / 2
     contrib = ranked.select("label", "npos", "n",
                             (F.col("npos") * (F.col("below") + (F.col("n") + 1) / 2.0)).alias("rs"))

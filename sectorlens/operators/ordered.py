@@ -2,11 +2,12 @@
 
 A plain ``row_number() over (partition by key order by o)`` runs each key in
 one task; one key holding a third of the rows then becomes one huge task.
-``prefix_rank`` gives the same rank (and an exclusive running sum) by range
-partitioning on ``(key, order)`` so that a hot key spans many partitions,
-ranking locally inside each partition, and adding the counts of the earlier
-partitions of the same key (a table with at most one row per
-partition and key).
+``prefix_rank`` gives the same rank (and an exclusive running sum) by cutting
+the order column into quantile buckets, so a hot key spans many buckets:
+rows are ranked inside each (key, bucket) slice, and the sizes of the
+earlier buckets of the same key (a table with at most one row per key and
+bucket) are added. The bucket is a deterministic expression of the row, so
+re-executed tasks always agree on it.
 """
 
 from __future__ import annotations
@@ -15,52 +16,57 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _names(cols) -> list[str]:
-    return [c if isinstance(c, str) else None for c in cols]
+def quantile_bucket(df: DataFrame, order: str, n_buckets: int, rel_err: float = 0.001) -> Column:
+    """Bucket index (0..n) of ``order`` against approximate global quantiles.
+
+    Computing the bounds is one pass over a single column; the bounds
+    (at most ``n_buckets - 1`` numbers) are the only data brought to the
+    driver.
+    """
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = sorted({float(b) for b in df.approxQuantile(order, probs, rel_err)}) if probs else []
+    if not bounds:
+        return F.lit(0)
+    arr = F.array(*[F.lit(b) for b in bounds])
+    v = F.col(order).cast("double")
+    return F.coalesce(F.size(F.filter(arr, lambda b: b <= v)), F.lit(0))
 
 
-def prefix_rank(df: DataFrame, keys: list[str], order: list, value: Column | str | None = None,
+def prefix_rank(df: DataFrame, keys: list[str], order: str, value: Column | str | None = None,
                 rank_col: str = "rank", before_col: str | None = None,
-                n_parts: int | None = None) -> DataFrame:
-    """Add ``rank_col`` = 1-based row number of each row inside ``keys``
-    by ``order`` (ascending; pass ``F.desc`` columns for descending), and
-    optionally ``before_col`` = sum of ``value`` over the earlier rows of the
-    same key.
+                n_buckets: int | None = None) -> DataFrame:
+    """Add ``rank_col`` = 1-based row number of each row inside ``keys`` by
+    the numeric column ``order`` (ascending), and optionally ``before_col`` =
+    sum of ``value`` over the earlier rows of the same key.
 
-    ``order`` should make rows unique within a key for a deterministic rank.
+    ``order`` should be unique within a key for a deterministic rank (ties
+    land in the same bucket and are ordered as a plain window would).
     """
     spark = df.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    key_cols = [F.col(k) for k in keys]
+    n_buckets = n_buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     v = F.lit(0) if value is None else (F.col(value) if isinstance(value, str) else value)
+    b = df.withColumn("_v", v).withColumn("_b", quantile_bucket(df, order, n_buckets))
 
-    ranged = (df.withColumn("_v", v)
-                .repartitionByRange(n_parts, *key_cols, *order_cols)
-                .withColumn("_pid", F.spark_partition_id()))
-
-    w_local = Window.partitionBy("_pid", *keys).orderBy(*order_cols)
-    local = (ranged.withColumn("_lrank", F.row_number().over(w_local))
-                   .withColumn("_lsum", F.sum("_v").over(
-                       w_local.rowsBetween(Window.unboundedPreceding, -1))))
+    w_local = Window.partitionBy(*keys, "_b").orderBy(order)
+    local = (b.withColumn("_lrank", F.row_number().over(w_local))
+              .withColumn("_lsum", F.sum("_v").over(w_local.rowsBetween(Window.unboundedPreceding, -1))))
 
-    totals = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s"))
-    w_off = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s"))
+    w_off = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_pid", *keys,
+        *keys, "_b",
         F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_noff"),
         F.coalesce(F.sum("_s").over(w_off), F.lit(0)).alias("_soff"))
 
     # null-safe key match (a NULL key is a group of its own, as in groupBy)
-    cond = [local["_pid"] == offsets["_pid"]] + [local[k].eqNullSafe(offsets[k]) for k in keys]
+    cond = [local["_b"] == offsets["_b"]] + [local[k].eqNullSafe(offsets[k]) for k in keys]
     joined = local.join(offsets, cond, "inner")
-    out = joined.select(
-        *[local[c] for c in local.columns if c not in ("_v", "_pid", "_lrank", "_lsum")],
+    return joined.select(
+        *[local[c] for c in local.columns if c not in ("_v", "_b", "_lrank", "_lsum")],
         (offsets["_noff"] + local["_lrank"]).alias(rank_col),
         *([(offsets["_soff"] + F.coalesce(local["_lsum"], F.lit(0))).alias(before_col)]
           if before_col else []),
     )
-    return out
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
