@@ -204,3 +204,18 @@ def union_splits(*splits: DataFrame) -> DataFrame:
     for s in splits[1:]:
         out = out.unionByName(s)
     return out
+
+
+def split_by_rank(df: DataFrame, key: str, order: str, pct=K.SPLIT_PCT) -> DataFrame:
+    """W02 formula with ``n`` = the group's own size (every member counted)."""
+    train, dev, test = pct
+    if train + dev + test != 100:
+        raise ValueError("The sum of the data split percentages must be 100.")
+    ranked = prefix_rank(df, [key], order, rank_col="_r")
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    j = ranked.join(broadcast_if_small(n, 100_000), key)
+    d = (F.col("_n") * dev / 100).cast("long")
+    t = (F.col("_n") * test / 100).cast("long")
+    split = (F.when((F.col("_r") == 1) | (F.col("_r") <= d), "dev")
+             .when(F.col("_r") <= d + t, "test").otherwise("train"))
+    return j.withColumn("split", split).drop("_r", "_n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import q_crawl, q_dataset, q_eval, q_html, q_registry  # noqa: F401
+from . import q_crawl, q_dataset, q_eval, q_html, q_io, q_learn, q_registry  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 

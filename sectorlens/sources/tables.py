@@ -20,14 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_page_dump(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of one-object JSON files ``{label, url, raw_html}``.
+def read_page_dump(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A folder of JSON page files ``{label, url, raw_html}``.
 
-    The source file is kept as provenance (``_metadata.file_path``); the
-    file name carries the scrape time in the reference's naming scheme.
+    Files holding one single-line object (as a page dump writes them) and
+    JSON-lines files are both read line-wise, which keeps files splittable;
+    ``multi_line`` reads pretty-printed one-object files instead. The source
+    file is kept as provenance (``_metadata.file_path``).
     """
     df = (spark.read.schema(schemas.SCRAPED_PAGE_JSON)
-          .option("multiLine", "true").json(path))
+          .option("multiLine", str(multi_line).lower()).json(path))
     return df.select("label", "url", "raw_html",
                      F.col("_metadata.file_path").alias("source_file"))
 
@@ -113,7 +115,9 @@ def write_corpora(corpus: DataFrame, path: str) -> None:
         .partitionBy("split").parquet(path)
 
 
-def scraped_urls(spark: SparkSession, path: str) -> DataFrame:
-    """Every url already stored (column-pruned read)."""
-    return (spark.read.schema(schemas.SCRAPED_PAGE_JSON).option("multiLine", "true")
+def scraped_urls(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every url already stored (only the url field is parsed)."""
+    url_only = schemas.SCRAPED_PAGE_JSON["url"]
+    from pyspark.sql import types as T
+    return (spark.read.schema(T.StructType([url_only])).option("multiLine", str(multi_line).lower())
             .json(path).select("url").distinct())
