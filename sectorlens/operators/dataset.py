@@ -16,7 +16,7 @@ from .. import constants as K
 from ..functions.text import join_page_texts, one_hot_labels, truncate
 from .enrich import has_some_url
 from .html import page_text, parse_pages
-from .ordered import broadcast_if_small, prefix_rank
+from .ordered import BROADCAST_MAX_ROWS, broadcast_if_small, fits_broadcast, prefix_rank
 
 
 def primary_code(branch_col: str = "branch_codes") -> Column:
@@ -59,17 +59,24 @@ def unmatched_pages(pages: DataFrame, companies: DataFrame) -> DataFrame:
 
 def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
                    extract_meta: bool = True, extract_body: bool = True, p_only: bool = False,
-                   seq_col: str = "page_id") -> DataFrame:
+                   seq_col: str = "page_id", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Pages -> extracted rows in long form.
 
-    Pages whose label no company owns are dropped before the parse (a
-    semi-join keyed on the small side), the parse is narrow, and the row
+    Raw HTML is never shuffled. When the company dimension (one row per
+    organisation number) provably fits a broadcast, pages of unknown labels
+    are dropped before the parse and the company join is a broadcast hash
+    join, so the whole job is narrow. Otherwise every page is parsed where
+    it lies and only the extracted text is shuffled into the join. The row
     keeps the company's registered url (as the reference stores it).
     """
-    owned = pages.join(companies.select(F.col("org_nr").alias("label")).distinct(), "label", "left_semi")
-    texts = extract_pages(owned, filter_=True, p_only=p_only, extract_meta=extract_meta,
+    comp = first_company_per_org_nr(companies)
+    small = fits_broadcast(comp, max_broadcast_rows)
+    if small:
+        comp = F.broadcast(comp)
+        pages = pages.join(comp.select(F.col("org_nr").alias("label")), "label", "left_semi")
+    texts = extract_pages(pages, filter_=True, p_only=p_only, extract_meta=extract_meta,
                           extract_body=extract_body, keep=["label", "url", seq_col])
-    rows = attach_companies(texts, companies)
+    rows = texts.join(comp, texts["label"] == comp["org_nr"], "inner").drop("org_nr")
     method = F.array(F.lit(extract_meta), F.lit(extract_body), F.lit(p_only))
     return rows.select("company_id", F.lit(run_ts).cast("timestamp").alias("run_ts"),
                        F.col(seq_col).alias("seq"), F.col("company_url").alias("url"),
@@ -141,14 +148,15 @@ def split_assignment(companies: DataFrame, extracted: DataFrame,
 
 def build_dataset(companies: DataFrame, extracted: DataFrame, pct=K.SPLIT_PCT) -> DataFrame:
     """W02 + S06 input: latest-run pages of each split company with its split."""
-    s = split_assignment(companies, extracted, pct)
-    pages = latest_runs(extracted).drop("branch_codes") if "branch_codes" in extracted.columns \
-        else latest_runs(extracted)
+    latest = latest_runs(extracted)
+    s = split_assignment(companies, latest, pct)
+    pages = latest.drop("branch_codes") if "branch_codes" in latest.columns else latest
     return pages.join(s.select("company_id", "branch_codes", "split"), "company_id", "inner")
 
 
 def assemble_documents(pages: DataFrame, keys: list[str], seq_col: str = "seq",
-                       text_col: str = "data", max_chars: int = K.MAX_TEXT_CHARS) -> DataFrame:
+                       text_col: str = "data", max_chars: int = K.MAX_TEXT_CHARS,
+                       bounds_from: DataFrame | None = None) -> DataFrame:
     """E09 + E08: one text per key = each page text preceded by one space,
     in ``seq`` order, cut at ``max_chars``.
 
@@ -158,7 +166,7 @@ def assemble_documents(pages: DataFrame, keys: list[str], seq_col: str = "seq",
     """
     plen = F.length(F.col(text_col)) + 1
     ranked = prefix_rank(pages.select(*keys, seq_col, text_col), keys, seq_col,
-                         value=plen, rank_col="_r", before_col="_before")
+                         value=plen, rank_col="_r", before_col="_before", bounds_from=bounds_from)
     live = ranked.filter(F.col("_before") < max_chars)
     docs = live.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"),
@@ -167,11 +175,12 @@ def assemble_documents(pages: DataFrame, keys: list[str], seq_col: str = "seq",
 
 
 def build_corpus(dataset: DataFrame, min_chars: int = K.MIN_TEXT_CHARS,
-                 max_chars: int = K.MAX_TEXT_CHARS) -> DataFrame:
+                 max_chars: int = K.MAX_TEXT_CHARS, bounds_from: DataFrame | None = None) -> DataFrame:
     """One labelled document per company and split; documents shorter
     than ``min_chars`` are dropped (F23); ``cats`` is the one-hot map (E15)."""
     meta = dataset.select("company_id", "split", primary_code().alias("sni_code")).distinct()
-    docs = assemble_documents(dataset, ["company_id", "split"], max_chars=max_chars)
+    docs = assemble_documents(dataset, ["company_id", "split"], max_chars=max_chars,
+                              bounds_from=bounds_from)
     out = docs.filter(F.length("text") >= min_chars).join(meta, ["company_id", "split"], "inner")
     return out.withColumn("n_chars", F.length("text"))
 

@@ -27,48 +27,71 @@ def quantile_bucket(df: DataFrame, order: str, n_buckets: int, rel_err: float =
     bounds = sorted({float(b) for b in df.approxQuantile(order, probs, rel_err)}) if probs else []
     if not bounds:
         return F.lit(0)
-    arr = F.array(*[F.lit(b) for b in bounds])
     v = F.col(order).cast("double")
-    return F.coalesce(F.size(F.filter(arr, lambda b: b <= v)), F.lit(0))
+
+    def count_le(lo: int, hi: int) -> Column:
+        # number of bounds <= v, known to lie in [lo, hi]: balanced CASE tree
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(v >= F.lit(bounds[mid - 1]), count_le(mid, hi)).otherwise(count_le(lo, mid - 1))
+
+    return count_le(0, len(bounds))
 
 
 def prefix_rank(df: DataFrame, keys: list[str], order: str, value: Column | str | None = None,
                 rank_col: str = "rank", before_col: str | None = None,
-                n_buckets: int | None = None) -> DataFrame:
+                n_buckets: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based row number of each row inside ``keys`` by
     the numeric column ``order`` (ascending), and optionally ``before_col`` =
     sum of ``value`` over the earlier rows of the same key.
 
     ``order`` should be unique within a key for a deterministic rank (ties
     land in the same bucket and are ordered as a plain window would).
+    ``bounds_from`` is a cheaper frame with the same ``order`` column to take
+    the bucket bounds from (e.g. the base table instead of a joined result);
+    any bounds give exact ranks, matching distributions give even buckets.
     """
     spark = df.sparkSession
     n_buckets = n_buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     v = F.lit(0) if value is None else (F.col(value) if isinstance(value, str) else value)
-    b = df.withColumn("_v", v).withColumn("_b", quantile_bucket(df, order, n_buckets))
-
-    w_local = Window.partitionBy(*keys, "_b").orderBy(order)
+    src = bounds_from if bounds_from is not None else df
+    # One struct key: NULL fields compare equal inside a struct, so a NULL key
+    # is a group of its own, and window, aggregate and join all hash-partition
+    # on the same (_key, _b) columns (the ranked side is not shuffled again).
+    b = (df.withColumn("_key", F.struct(*keys)).withColumn("_v", v)
+           .withColumn("_b", quantile_bucket(src.select(order), order, n_buckets)))
+
+    w_local = Window.partitionBy("_key", "_b").orderBy(order)
     local = (b.withColumn("_lrank", F.row_number().over(w_local))
               .withColumn("_lsum", F.sum("_v").over(w_local.rowsBetween(Window.unboundedPreceding, -1))))
 
-    totals = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s"))
-    w_off = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = b.groupBy("_key", "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_s"))
+    w_off = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "_b",
+        "_key", "_b",
         F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_noff"),
         F.coalesce(F.sum("_s").over(w_off), F.lit(0)).alias("_soff"))
 
-    # null-safe key match (a NULL key is a group of its own, as in groupBy)
-    cond = [local["_b"] == offsets["_b"]] + [local[k].eqNullSafe(offsets[k]) for k in keys]
-    joined = local.join(offsets, cond, "inner")
+    joined = local.join(offsets, ["_key", "_b"], "inner")
     return joined.select(
-        *[local[c] for c in local.columns if c not in ("_v", "_b", "_lrank", "_lsum")],
-        (offsets["_noff"] + local["_lrank"]).alias(rank_col),
-        *([(offsets["_soff"] + F.coalesce(local["_lsum"], F.lit(0))).alias(before_col)]
+        *[c for c in df.columns],
+        (F.col("_noff") + F.col("_lrank")).alias(rank_col),
+        *([(F.col("_soff") + F.coalesce(F.col("_lsum"), F.lit(0))).alias(before_col)]
           if before_col else []),
     )
 
 
+# Largest dimension (in rows) ever broadcast; beyond it a shuffle join is used.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows (reads at most
+    ``max_rows + 1`` rows to decide)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
@@ -76,9 +99,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     frame is returned as is and the planner (with AQE's run-time size
     statistics) picks a shuffle join.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def top_k_per_key(df: DataFrame, keys: list[str], order: list, k: int, salt_on: str,

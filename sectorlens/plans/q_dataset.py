@@ -63,8 +63,9 @@ def _pipe(*names):
 
 def _corpus(spark, sf):
     c = fx.v_companies(spark, sf)
-    ds = D.build_dataset(c, extracted(spark, sf))
-    return D.build_corpus(ds)
+    ext = extracted(spark, sf)
+    ds = D.build_dataset(c, ext)
+    return D.build_corpus(ds, bounds_from=ext.select("seq"))
 
 
 @query("j01_pages_to_company",
@@ -285,7 +286,8 @@ def o03(spark, sf):
   SELECT company_id, substring(string_agg(' ' || data, '' ORDER BY seq), 1, 1000000) AS t FROM latest GROUP BY company_id)""",
        extra=_pipe("latest"))
 def e09(spark, sf):
-    docs = D.assemble_documents(D.latest_runs(extracted(spark, sf)), ["company_id"])
+    ext = extracted(spark, sf)
+    docs = D.assemble_documents(D.latest_runs(ext), ["company_id"], bounds_from=ext.select("seq"))
     return docs.select("company_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
