@@ -70,7 +70,8 @@ def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
     keeps the company's registered url (as the reference stores it).
     """
     comp = first_company_per_org_nr(companies)
-    small = fits_broadcast(comp, max_broadcast_rows)
+    # the raw row count bounds the de-duplicated one, and needs no shuffle
+    small = fits_broadcast(companies, max_broadcast_rows)
     if small:
         comp = F.broadcast(comp)
         pages = pages.join(comp.select(F.col("org_nr").alias("label")), "label", "left_semi")
@@ -136,7 +137,8 @@ def split_assignment(companies: DataFrame, extracted: DataFrame,
     n = withurl.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     has_data = latest_runs(extracted).select("company_id").distinct()
     members = withurl.join(has_data, "company_id", "left_semi")
-    ranked = prefix_rank(members, ["code"], "company_id", rank_col="r")
+    ranked = prefix_rank(members, ["code"], "company_id", rank_col="r",
+                         bounds_from=withurl.select("company_id"))
     quotas = broadcast_if_small(
         n.select("code", (F.col("n") * dev / 100).cast("long").alias("d"),
                  (F.col("n") * test / 100).cast("long").alias("t")), 100_000)

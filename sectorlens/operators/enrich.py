@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -50,8 +50,8 @@ def has_name(name: str = "name") -> Column:
 def lookup(df: DataFrame, col: str, key) -> DataFrame:
     """point lookup (first match by ``company_id`` when several)."""
     hits = df.filter(F.col(col) == F.lit(key))
-    w = Window.orderBy("company_id")
-    return hits.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    first = hits.agg(F.min_by(F.struct(*df.columns), F.col("company_id")).alias("_m"))
+    return first.filter(F.col("_m").isNotNull()).select("_m.*")
 
 
 def search_names(companies: DataFrame) -> DataFrame:

@@ -57,6 +57,12 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
     cols = list(dict.fromkeys(keep + [html_col] + ([url_col] if url_col and url_col not in keep else [])))
     src = df.select(*cols)
+    # A coarse input (fewer partitions than cores, e.g. one small file) would
+    # parse on one core; spread it. Large inputs already have many splits and
+    # are parsed where they are read (raw HTML is not shuffled).
+    cores = src.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() < cores:
+        src = src.repartition(cores)
     out_schema = T.StructType([src.schema[c] for c in keep] + PARSED)
 
     def run(batches):
@@ -75,16 +81,11 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
 
 # -- H02-H06: body strings ------------------------------------------------------
 
-def _py_strip(x: Column) -> Column:
-    # Python's str.strip(): Unicode white space plus the separators U+001C..U+001F.
-    return F.regexp_replace(x, r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$", "")
-
-
 def body_strings(nodes: Column | str = "nodes", drop_links: bool = False,
                  drop_cookies: bool = False, drop_scripts: bool = False) -> Column:
-    """H02 (+ H03, H04, H05): stripped text strings in document order.
-
-    Comments, doctype and style/script/template strings are not text.
+    """H02 (+ H03, H04, H05): stripped, non-empty text strings in document
+    order. Comments, doctype and style/script/template strings are not text.
+    (The parser already strips with Python's rules and drops empty strings.)
     """
     n = F.col(nodes) if isinstance(nodes, str) else nodes
 
@@ -98,8 +99,7 @@ def body_strings(nodes: Column | str = "nodes", drop_links: bool = False,
             cond = cond & ~x["in_script"]
         return cond
 
-    stripped = F.transform(F.filter(n, keep), lambda x: _py_strip(x["text"]))
-    return F.filter(stripped, lambda s: s != "")
+    return F.transform(F.filter(n, keep), lambda x: x["text"])
 
 
 def paragraph_strings(paras: Column | str = "paras", filtered: bool = False) -> Column:
@@ -133,14 +133,12 @@ def drop_year_strings(arr: Column, mode: str = "reference") -> Column:
     """
     if mode == "clean":
         return F.filter(arr, lambda s: ~s.rlike(K.YEAR_PREFIX))
-    init = F.struct(F.lit(False).alias("skip"), F.array().cast("array<string>").alias("o"))
-
-    def step(acc, x):
-        keep_x = F.struct(F.lit(False).alias("skip"), F.concat(acc["o"], F.array(x)).alias("o"))
-        drop_x = F.struct(F.lit(True).alias("skip"), acc["o"].alias("o"))
-        return F.when(acc["skip"], keep_x).when(x.rlike(K.YEAR_PREFIX), drop_x).otherwise(keep_x)
-
-    return F.aggregate(arr, init, step)["o"]
+    # One character per string: 1 = starts with a year. Inside every run of
+    # 1s the 1st, 3rd, 5th... string is dropped (D) and the one after each
+    # dropped string is kept untested (K): rewrite "11" -> "DK", then "1" -> "D".
+    bits = F.array_join(F.transform(arr, lambda s: F.when(s.rlike(K.YEAR_PREFIX), "1").otherwise("0")), "")
+    marks = F.split(F.regexp_replace(F.regexp_replace(bits, "11", "DK"), "1", "D"), "")
+    return F.filter(arr, lambda s, i: F.get(marks, i) != "D")
 
 
 def _spaced(arr: Column) -> Column:

@@ -78,9 +78,13 @@ class PageParser(HTMLParser):
 
     def _emit(self, kind, text, a, script, cookie):
         p_ids = [o.p_id for o in self.stack if o.p_id is not None]
-        self.nodes.append({"seq": len(self.nodes), "kind": kind, "text": text,
-                           "in_a": a, "in_script": script, "in_cookie": cookie,
-                           "p_ids": p_ids})
+        # Nodes carry the stripped string (empty ones are never body text);
+        # paragraphs below keep the raw strings they are made of.
+        stripped = text.strip()
+        if stripped:
+            self.nodes.append({"seq": len(self.nodes), "kind": kind, "text": stripped,
+                               "in_a": a, "in_script": script, "in_cookie": cookie,
+                               "p_ids": p_ids})
         removed = a or script or cookie
         for pid in p_ids:
             para = self.paras[pid]

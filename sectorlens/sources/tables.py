@@ -93,16 +93,13 @@ def fetch_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 
 def delete_split(spark: SparkSession, path: str, split: str) -> None:
-    """Drop one split: dynamic partition overwrite with an empty frame."""
-    df = spark.read.parquet(path)
-    keep = df.filter(F.col("split") != split)
-    if keep.isEmpty():
-        df.limit(0).write.mode("overwrite").partitionBy("split").parquet(path)
-        return
-    # Rewrite from a checkpointed copy so the overwrite does not read itself.
-    keep = keep.checkpoint()
-    keep.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy("split").parquet(path)
+    """Drop one split: remove its partition folder (no data is rewritten)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}/split={split}")
+    fs = part.getFileSystem(conf)
+    if fs.exists(part):
+        fs.delete(part, True)
 
 
 def delete_all_splits(df_schema_source: DataFrame, path: str) -> None:
