@@ -90,6 +90,8 @@ def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOO
     until no proposal is rejected. Each round is checkpointed (lineage cut).
     Returns ``(company_id, code)``.
     """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(companies.sparkSession)
     code_list = codes.select(F.col(codes.columns[0]).alias("code")).distinct()
     elig = companies.filter(has_url_filter(has_url) & has_name()).select("company_id", "branch_codes")
     pairs = (elig.select("company_id", F.explode(F.array_distinct("branch_codes")).alias("code"))

@@ -11,8 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import cloudpickle
+
 from .. import constants as K
 from ..functions.text import clean_chars
+from . import htmlparse
+from .htmlparse import parse_html
+
+# The parse runs in Python workers, which may not have this package on their
+# path: ship the parser module by value inside the task closure.
+cloudpickle.register_pickle_by_value(htmlparse)
 
 NODE = T.StructType([
     T.StructField("seq", T.IntegerType()),
@@ -66,8 +74,6 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
     out_schema = T.StructType([src.schema[c] for c in keep] + PARSED)
 
     def run(batches):
-        import pandas as pd
-        from sectorlens.operators.htmlparse import parse_html
         for pdf in batches:
             urls = pdf[url_col] if url_col else [None] * len(pdf)
             parsed = [parse_html(h, u) for h, u in zip(pdf[html_col], urls)]
