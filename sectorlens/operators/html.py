@@ -55,10 +55,12 @@ PARSED = [
 
 
 def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "url",
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None, with_links: bool = False) -> DataFrame:
     """Parse raw HTML into node arrays; the HTML column is dropped.
 
     ``keep`` lists the columns carried through (default: all but the HTML).
+    ``links`` (H13, absolute links resolved against ``url_col``) is only
+    filled when ``with_links``.
     Rows whose HTML cannot be parsed get ``ok = false``; filter them with
     ``.filter("ok")`` (the reference skips such pages).
     """
@@ -76,7 +78,7 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
     def run(batches):
         for pdf in batches:
             urls = pdf[url_col] if url_col else [None] * len(pdf)
-            parsed = [parse_html(h, u) for h, u in zip(pdf[html_col], urls)]
+            parsed = [parse_html(h, u, with_links) for h, u in zip(pdf[html_col], urls)]
             res = pdf[keep].copy()
             for f in ("nodes", "anchors", "metas", "paras", "links", "ok"):
                 res[f] = [p[f] for p in parsed]
@@ -144,7 +146,9 @@ def drop_year_strings(arr: Column, mode: str = "reference") -> Column:
     # dropped string is kept untested (K): rewrite "11" -> "DK", then "1" -> "D".
     bits = F.array_join(F.transform(arr, lambda s: F.when(s.rlike(K.YEAR_PREFIX), "1").otherwise("0")), "")
     marks = F.split(F.regexp_replace(F.regexp_replace(bits, "11", "DK"), "1", "D"), "")
-    return F.filter(arr, lambda s, i: F.get(marks, i) != "D")
+    # zip once (a lambda that referred to ``marks`` would re-evaluate it per element)
+    zipped = F.arrays_zip(arr.alias("s"), marks.alias("m"))
+    return F.transform(F.filter(zipped, lambda z: z["m"] != "D"), lambda z: z["s"])
 
 
 def _spaced(arr: Column) -> Column:

@@ -26,7 +26,7 @@ VOID_ELEMENTS = frozenset([
 ])
 STRING_CONTAINERS = ("script", "style", "template")
 PRESERVE_WS = ("pre", "textarea")
-ASCII_SPACES = {ord(c): None for c in " \n\t\x0c\r"}
+ASCII_SPACES = " \n\t\x0c\r"
 # Fixed value: class pattern of a cookie banner (searched in the class value).
 COOKIE_CLASS = re.compile("cookie*.")
 
@@ -69,7 +69,7 @@ class PageParser(HTMLParser):
         self.buf = []
         a, script, cookie, container, pre = self._flags()
         if kind_override is None:
-            if text.translate(ASCII_SPACES) == "" and not pre:
+            if not text.strip(ASCII_SPACES) and not pre:
                 text = "\n" if "\n" in text else " "
             kind = container or "text"
         else:
@@ -200,7 +200,7 @@ def _absolute_links(anchors: list[str], page_url: str | None, base_href: str | N
     return out
 
 
-def parse_html(html: str | None, page_url: str | None = None) -> dict:
+def parse_html(html: str | None, page_url: str | None = None, with_links: bool = True) -> dict:
     if not isinstance(html, str):
         return {"nodes": None, "anchors": None, "metas": None, "paras": None,
                 "links": None, "ok": False}
@@ -213,5 +213,6 @@ def parse_html(html: str | None, page_url: str | None = None) -> dict:
                 "links": None, "ok": False}
     paras = [{"p_id": q["p_id"], "removed": q["removed"],
               "text_all": "".join(q["all"]), "text_kept": "".join(q["kept"])} for q in p.paras]
+    links = _absolute_links(p.anchors, page_url, p.base_href) if with_links else None
     return {"nodes": p.nodes, "anchors": p.anchors, "metas": p.metas, "paras": paras,
-            "links": _absolute_links(p.anchors, page_url, p.base_href), "ok": True}
+            "links": links, "ok": True}

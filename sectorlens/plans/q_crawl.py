@@ -155,7 +155,7 @@ def _link_pages(spark, sf):
         "page_id", F.col("org_nr").alias("label"),
         F.concat(F.lit("http://www.c"), F.col("page_id").cast("string"), F.lit(".example.com/start")).alias("url"),
         F.when(F.col("page_id") % 4 == 0, 1).otherwise(0).alias("depth"), "html")
-    return H.parse_pages(pages, keep=["page_id", "label", "url", "depth"])
+    return H.parse_pages(pages, keep=["page_id", "label", "url", "depth"], with_links=True)
 
 
 def _stored_links(spark, sf):

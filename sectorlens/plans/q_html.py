@@ -304,7 +304,7 @@ def _linked_pages(spark, sf):
        ',http://www.c', CAST(page_id AS VARCHAR), '.example.com/om/oss',
        ',http://www.c', CAST(page_id AS VARCHAR), '.example.com/en/about') AS links FROM v_hrefs""")
 def h13(spark, sf):
-    p = H.parse_pages(_linked_pages(spark, sf), keep=["page_id"])
+    p = H.parse_pages(_linked_pages(spark, sf), keep=["page_id"], with_links=True)
     return p.select("page_id", F.array_join("links", ",").alias("links"))
 
 
