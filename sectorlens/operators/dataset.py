@@ -195,13 +195,18 @@ def with_cats(corpus: DataFrame, code_list: list[str]) -> DataFrame:
 
 
 def corpus_stats(corpus: DataFrame) -> DataFrame:
-    """Documents per split, per label and overall, with lengths, in one
-    pass (grouping sets)."""
-    return (corpus.groupBy(F.col("split"), F.col("sni_code"))
-            .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("total_length"))
-            .rollup("split").agg(F.sum("n_docs").alias("n_docs"),
-                                 F.sum("total_length").alias("total_length"),
-                                 F.count(F.lit(1)).alias("n_labels")))
+    """Documents and total length per split, per label and overall in
+    one pass (grouping sets). ``average_length_per_label`` of the overall row
+    is total length / distinct labels."""
+    g = corpus.groupingSets([["split"], ["sni_code"], []], "split", "sni_code").agg(
+        F.grouping_id().alias("gid"),
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum("n_chars").cast("long").alias("total_length"),
+        F.countDistinct("sni_code").alias("n_labels"))
+    level = F.when(F.col("gid") == 1, "split").when(F.col("gid") == 2, "label").otherwise("total")
+    return g.select(level.alias("level"), "split", "sni_code", "n_docs", "total_length", "n_labels",
+                    F.when(F.col("n_labels") > 0, F.col("total_length") / F.col("n_labels"))
+                    .alias("average_length_per_label"))
 
 
 def filter_min_length(df: DataFrame, text_col: str = "text", min_chars: int = K.MIN_TEXT_CHARS) -> DataFrame:

@@ -138,14 +138,13 @@ def a03t(spark, sf):
 
 
 @query("a04_corpus_stats",
-       """SELECT split, CAST(sum(n_docs) AS BIGINT) AS n_docs, CAST(sum(total_length) AS BIGINT) AS total_length,
-       count(*) AS n_labels
-FROM (SELECT split, sni_code, count(*) AS n_docs, sum(n_chars) AS total_length FROM corpus GROUP BY split, sni_code)
-GROUP BY ROLLUP (split)""", extra=_pipe("corpus"))
+       """SELECT CASE grouping(split, sni_code) WHEN 1 THEN 'split' WHEN 2 THEN 'label' ELSE 'total' END AS level,
+       split, sni_code, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS total_length,
+       count(DISTINCT sni_code) AS n_labels, round(sum(n_chars) / count(DISTINCT sni_code), 6) AS average_length_per_label
+FROM corpus GROUP BY GROUPING SETS ((split), (sni_code), ())""", extra=_pipe("corpus"))
 def a04(spark, sf):
     s = D.corpus_stats(_corpus(spark, sf))
-    return s.select("split", F.col("n_docs").cast("long").alias("n_docs"),
-                    F.col("total_length").cast("long").alias("total_length"), "n_labels")
+    return s.withColumn("average_length_per_label", F.round("average_length_per_label", 6))
 
 
 A05_SQL = """SELECT branch_codes[1] AS sni_code, municipality_code, count(*) AS cnt FROM v_companies
