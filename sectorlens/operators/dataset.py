@@ -40,7 +40,8 @@ def extract_pages(pages: DataFrame, filter_: bool = True, p_only: bool = False,
     Narrow (no shuffle); unparseable pages are dropped.
     """
     keep = keep or [c for c in pages.columns if c != html_col]
-    parsed = parse_pages(pages, html_col=html_col, url_col="url", keep=keep, with_links=False).filter("ok")
+    parts = (("paras",) if p_only else ("nodes",) if extract_body else ()) + (("metas",) if extract_meta else ())
+    parsed = parse_pages(pages, html_col=html_col, url_col="url", keep=keep, parts=parts).filter("ok")
     text = truncate(page_text(filter_=filter_, p_only=p_only, extract_meta=extract_meta,
                               extract_body=extract_body, year_mode=year_mode))
     return parsed.select(*keep, text.alias("data"))

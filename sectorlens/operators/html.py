@@ -17,6 +17,7 @@ from .. import constants as K
 from ..functions.text import clean_chars
 from . import htmlparse
 from .htmlparse import parse_html
+from .ordered import spread_if_coarse
 
 # The parse runs in Python workers, which may not have this package on their
 # path: ship the parser module by value inside the task closure.
@@ -54,13 +55,19 @@ PARSED = [
 ]
 
 
+ALL_PARTS = ("nodes", "anchors", "metas", "paras")
+
+
 def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "url",
-                keep: list[str] | None = None, with_links: bool = False) -> DataFrame:
+                keep: list[str] | None = None, with_links: bool = False,
+                parts: tuple[str, ...] = ALL_PARTS) -> DataFrame:
     """Parse raw HTML into node arrays; the HTML column is dropped.
 
     ``keep`` lists the columns carried through (default: all but the HTML).
     ``links`` (H13, absolute links resolved against ``url_col``) is only
-    filled when ``with_links``.
+    filled when ``with_links``; of the other arrays only ``parts`` are
+    filled (the rest are NULL), so unused arrays never cross the Arrow
+    boundary.
     Rows whose HTML cannot be parsed get ``ok = false``; filter them with
     ``.filter("ok")`` (the reference skips such pages).
     """
@@ -70,9 +77,7 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
     # A coarse input (fewer partitions than cores, e.g. one small file) would
     # parse on one core; spread it. Large inputs already have many splits and
     # are parsed where they are read (raw HTML is not shuffled).
-    cores = src.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < cores:
-        src = src.repartition(cores)
+    src = spread_if_coarse(src)
     out_schema = T.StructType([src.schema[c] for c in keep] + PARSED)
 
     def run(batches):
@@ -81,7 +86,10 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
             parsed = [parse_html(h, u, with_links) for h, u in zip(pdf[html_col], urls)]
             res = pdf[keep].copy()
             for f in ("nodes", "anchors", "metas", "paras", "links", "ok"):
-                res[f] = [p[f] for p in parsed]
+                if f in parts or f in ("links", "ok"):
+                    res[f] = [p[f] for p in parsed]
+                else:
+                    res[f] = None
             yield res
 
     return src.mapInPandas(run, out_schema)

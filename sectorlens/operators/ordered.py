@@ -82,6 +82,15 @@ def prefix_rank(df: DataFrame, keys: list[str], order: str, value: Column | str
     )
 
 
+def spread_if_coarse(df: DataFrame) -> DataFrame:
+    """Spread a coarse input (fewer partitions than cores, e.g. one small
+    file) over the cores before heavy per-row work. Inputs read from many
+    files already have many partitions and are left where they are (no
+    shuffle at scale)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Largest dimension (in rows) ever broadcast; beyond it a shuffle join is used.
 BROADCAST_MAX_ROWS = 1_000_000
 
