@@ -163,18 +163,28 @@ def assemble_documents(pages: DataFrame, keys: list[str], seq_col: str = "seq",
     """E09 + E08: one text per key = each page text preceded by one space,
     in ``seq`` order, cut at ``max_chars``.
 
-    Only pages that start before the cut can contribute, so the running
-    length (skew-safe ``prefix_rank``) drops the rest before any grouping;
-    each collected group then holds at most ``max_chars`` plus one page.
+    Every collected group is bounded: keys whose whole text fits the cut
+    (almost all) are grouped directly; for the others the skew-safe running
+    length (``prefix_rank``) first drops the pages that start beyond the
+    cut, so a group holds at most ``max_chars`` plus one page.
     """
     plen = F.length(F.col(text_col)) + 1
-    ranked = prefix_rank(pages.select(*keys, seq_col, text_col), keys, seq_col,
-                         value=plen, rank_col="_r", before_col="_before", bounds_from=bounds_from)
-    live = ranked.filter(F.col("_before") < max_chars)
-    docs = live.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"),
-                                             F.col(text_col).alias("data")))).alias("_p"))
-    return docs.select(*keys, truncate(join_page_texts("_p"), max_chars).alias("text"))
+    x = pages.select(*keys, seq_col, text_col)
+    totals = x.groupBy(*keys).agg(F.sum(plen).alias("_tot"))
+    j = x.join(totals, keys)
+
+    def nest(df: DataFrame) -> DataFrame:
+        docs = df.groupBy(*keys).agg(
+            F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"),
+                                                 F.col(text_col).alias("data")))).alias("_p"))
+        return docs.select(*keys, truncate(join_page_texts("_p"), max_chars).alias("text"))
+
+    fits = nest(j.filter(F.col("_tot") <= max_chars).drop("_tot"))
+    long = j.filter(F.col("_tot") > max_chars).drop("_tot")
+    ranked = prefix_rank(long, keys, seq_col, value=plen, rank_col="_r", before_col="_before",
+                         bounds_from=bounds_from)
+    cut = nest(ranked.filter(F.col("_before") < max_chars).drop("_r", "_before"))
+    return fits.unionByName(cut)
 
 
 def build_corpus(dataset: DataFrame, min_chars: int = K.MIN_TEXT_CHARS,

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (HashingTF, NGram, RegexTokenizer, StringIndexer, VectorAssembler,
-                                Word2Vec)
+from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, StringIndexer, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,18 +47,25 @@ def word_vector_stage(size: int = 50, tokens: str = "tokens", out: str = "wvec",
 
 
 def classifier_pipeline(ensemble: bool = False, reg: float = 0.0, ngram: int = 1,
-                        max_iter: int = 50, label_col: str = "true_label") -> Pipeline:
-    """Exclusive-class linear model over hashed BOW, optionally
-    concatenated with pooled word vectors (one model over both)."""
+                        max_iter: int = 20, label_col: str = "true_label") -> Pipeline:
+    """Exclusive-class linear model over hashed BOW. With
+    ``ensemble`` a second linear model over mean-pooled word vectors is fit
+    in the same pipeline and ``score`` averages the two probability
+    vectors."""
     stages = [StringIndexer(inputCol=label_col, outputCol="y", stringOrderType="alphabetAsc",
                             handleInvalid="keep"),
               tokenizer()] + bow_stages(ngram)
-    feats = "bow"
-    if ensemble:
-        stages += [word_vector_stage(), VectorAssembler(inputCols=["bow", "wvec"], outputCol="features")]
-        feats = "features"
-    stages.append(LogisticRegression(featuresCol=feats, labelCol="y", family="multinomial",
-                                     regParam=reg, maxIter=max_iter))
+    if not ensemble:
+        stages.append(LogisticRegression(featuresCol="bow", labelCol="y", family="multinomial",
+                                         regParam=reg, maxIter=max_iter))
+        return Pipeline(stages=stages)
+    stages += [word_vector_stage(),
+               LogisticRegression(featuresCol="bow", labelCol="y", family="multinomial", regParam=reg,
+                                  maxIter=max_iter, probabilityCol="p_bow", rawPredictionCol="r_bow",
+                                  predictionCol="y_bow"),
+               LogisticRegression(featuresCol="wvec", labelCol="y", family="multinomial", regParam=reg,
+                                  maxIter=max_iter, probabilityCol="p_vec", rawPredictionCol="r_vec",
+                                  predictionCol="y_vec")]
     return Pipeline(stages=stages)
 
 
@@ -72,7 +78,10 @@ def score(model: PipelineModel, docs: DataFrame, keep: list[str] | None = None)
     keep = keep or [c for c in docs.columns if c != "text"]
     labels = F.array(*[F.lit(x) for x in labels_of(model)])
     out = model.transform(spread_if_coarse(docs))
-    probs = vector_to_array("probability")
+    if "p_bow" in out.columns:      # ensemble: mean of the two probability vectors
+        probs = F.zip_with(vector_to_array("p_bow"), vector_to_array("p_vec"), lambda a, b: (a + b) / 2)
+    else:
+        probs = vector_to_array("probability")
     return out.select(*keep, F.map_from_arrays(labels, F.slice(probs, 1, len(labels_of(model)))).alias("scores"))
 
 

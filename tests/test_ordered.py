@@ -135,3 +135,21 @@ def test_serial_quota_matches_loop(spark):
                 exp.append((cid, code))
                 n += 1
     assert got == sorted(exp)
+
+
+def test_assemble_documents_cut(spark):
+    """Keys below and above the cut, including one key with most pages."""
+    from sectorlens.operators.dataset import assemble_documents
+    rnd = random.Random(17)
+    rows = []
+    for k in range(12):
+        n = 400 if k == 0 else rnd.randint(1, 8)
+        for s in rnd.sample(range(10000), n):
+            rows.append((k, s, "x" * rnd.randint(0, 30)))
+    df = spark.createDataFrame(rows, "k long, seq long, data string")
+    got = {r["k"]: r["text"] for r in assemble_documents(df, ["k"], max_chars=200).collect()}
+    exp = {}
+    for k in {r[0] for r in rows}:
+        t = "".join(" " + d for _, _, d in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]))
+        exp[k] = t[:200]
+    assert got == exp

@@ -9,7 +9,7 @@ from sectorlens.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.check_oracles import digest
 
-SLOW = {"m06_ensemble_classifier", "m07_model_selection"}
+SLOW = {"m07_model_selection"}
 
 
 @pytest.fixture(scope="module")
