@@ -191,10 +191,12 @@ def build_corpus(dataset: DataFrame, min_chars: int = K.MIN_TEXT_CHARS,
                  max_chars: int = K.MAX_TEXT_CHARS, bounds_from: DataFrame | None = None) -> DataFrame:
     """One labelled document per company and split; documents shorter
     than ``min_chars`` are dropped (F23); ``cats`` is the one-hot map (E15)."""
+    # A company lies in exactly one split, so documents are assembled per
+    # company (the dataset is already partitioned by company_id after its
+    # join) and the split and label are attached afterwards.
     meta = dataset.select("company_id", "split", primary_code().alias("sni_code")).distinct()
-    docs = assemble_documents(dataset, ["company_id", "split"], max_chars=max_chars,
-                              bounds_from=bounds_from)
-    out = docs.filter(F.length("text") >= min_chars).join(meta, ["company_id", "split"], "inner")
+    docs = assemble_documents(dataset, ["company_id"], max_chars=max_chars, bounds_from=bounds_from)
+    out = docs.filter(F.length("text") >= min_chars).join(meta, ["company_id"], "inner")
     return out.withColumn("n_chars", F.length("text"))
 
 
