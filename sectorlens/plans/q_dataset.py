@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import dataset as D
 from ..operators import sampling as S
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources.tables import table
 from .q_html import PAGE_TEXT_SQL, YEAR_DEDUP_CTE, body_cte
@@ -64,8 +65,11 @@ def _pipe(*names):
 def _corpus(spark, sf):
     c = fx.v_companies(spark, sf)
     ext = extracted(spark, sf)
-    ds = D.build_dataset(c, ext)
-    return D.build_corpus(ds, bounds_from=ext.select("seq"))
+    # stage boundary (the divide job writes this table): cut the lineage so
+    # the corpus plan starts from the materialised dataset
+    ensure_checkpoint_dir(spark)
+    ds = D.build_dataset(c, ext).checkpoint()
+    return D.build_corpus(ds, bounds_from=ds.select("seq"))
 
 
 @query("j01_pages_to_company",
