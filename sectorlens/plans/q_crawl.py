@@ -148,14 +148,18 @@ def j10(spark, sf):
     return N.apply_lookup_results(c, processed, fx.v_hits(spark, sf)).select("company_id", "url")
 
 
-def _link_pages(spark, sf):
+def _raw_link_pages(spark, sf):
     c = fx.v_companies(spark, sf)
     h = fx.v_hrefs(spark, sf)
-    pages = h.join(c.select(F.col("company_id").alias("page_id"), "org_nr"), "page_id").select(
+    return h.join(c.select(F.col("company_id").alias("page_id"), "org_nr"), "page_id").select(
         "page_id", F.col("org_nr").alias("label"),
         F.concat(F.lit("http://www.c"), F.col("page_id").cast("string"), F.lit(".example.com/start")).alias("url"),
         F.when(F.col("page_id") % 4 == 0, 1).otherwise(0).alias("depth"), "html")
-    return H.parse_pages(pages, keep=["page_id", "label", "url", "depth"], with_links=True)
+
+
+def _link_pages(spark, sf):
+    return H.parse_pages(_raw_link_pages(spark, sf), keep=["page_id", "label", "url", "depth"], with_links=True,
+                         parts=("anchors",))
 
 
 def _stored_links(spark, sf):
@@ -187,9 +191,8 @@ def j11(spark, sf):
 WHERE rn = 1 AND url NOT IN (SELECT url FROM stl)""",
        extra={"lp": LINK_PAGES_SQL, "disc": DISCOVERED_SQL, "stl": STORED_LINKS_SQL})
 def h14(spark, sf):
-    pages = _link_pages(spark, sf)
-    frontier = pages.select("label", "url", "depth")
-    return C.next_frontier(frontier, pages, _stored_links(spark, sf), filter_=False)
+    frontier = _raw_link_pages(spark, sf).select("label", "url", "depth")
+    return C.next_frontier(frontier, _link_pages(spark, sf), _stored_links(spark, sf), filter_=False)
 
 
 @query("h14_next_frontier_filtered",
@@ -200,6 +203,5 @@ def h14(spark, sf):
 WHERE rn = 1 AND url NOT IN (SELECT url FROM stl)""",
        extra={"lp": LINK_PAGES_SQL, "disc": DISCOVERED_SQL, "stl": STORED_LINKS_SQL})
 def h14f(spark, sf):
-    pages = _link_pages(spark, sf)
-    frontier = pages.select("label", "url", "depth")
-    return C.next_frontier(frontier, pages, _stored_links(spark, sf), filter_=True)
+    frontier = _raw_link_pages(spark, sf).select("label", "url", "depth")
+    return C.next_frontier(frontier, _link_pages(spark, sf), _stored_links(spark, sf), filter_=True)
