@@ -138,9 +138,11 @@ def company_by_url(urls: DataFrame, companies: DataFrame, url_col: str = "url")
     c = (with_registered_domain(companies.select("company_id", F.col("url").alias("c_url"))
                                 .filter(has_some_url("c_url")), "c_url", prefix="c_")
          .withColumn("c_regdom", registered_domain("c_")))
-    by_host = c.groupBy(F.col("c_host").alias("q_host")).agg(F.min("company_id").alias("id_host"))
-    by_dom = c.groupBy(F.col("c_regdom").alias("q_regdom")).agg(F.min("company_id").alias("id_dom"))
-    return (u.join(by_host.filter("q_host != ''"), "q_host", "left")
-             .join(by_dom.filter("q_regdom != ''"), "q_regdom", "left")
-             .withColumn("company_id", F.coalesce("id_host", "id_dom"))
-             .drop("id_host", "id_dom"))
+    by_host = c.groupBy(F.col("c_host").alias("q_host")).agg(F.min("company_id").alias("company_id"))
+    by_dom = c.groupBy(F.col("c_regdom").alias("q_regdom")).agg(F.min("company_id").alias("company_id"))
+    first = u.join(by_host.filter("q_host != ''"), "q_host", "left")
+    hits = first.filter(F.col("company_id").isNotNull())
+    # only the misses take the second (registered-domain) join
+    misses = first.filter(F.col("company_id").isNull()).drop("company_id") \
+        .join(by_dom.filter("q_regdom != ''"), "q_regdom", "left")
+    return hits.unionByName(misses)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.ordered import broadcast_if_small
 
 
 def _stored_urls(spark: SparkSession, out_path: str) -> DataFrame:
@@ -23,16 +24,28 @@ def _stored_urls(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def ingest_new_pages(spark: SparkSession, in_dir: str, out_path: str, checkpoint: str,
-                     transform=None, run_id: int = 0) -> None:
+                     transform=None, run_id: int = 0, max_files_per_batch: int = 10_000,
+                     max_broadcast_keys: int = 5_000_000) -> None:
     """Process every page file not processed before, then stop
     (``availableNow``). ``transform`` maps a batch of new pages
-    ``(label, url, raw_html)`` to the rows to append (default: as is)."""
-    stream = (spark.readStream.schema(schemas.SCRAPED_PAGE_JSON).json(in_dir))
+    ``(label, url, raw_html)`` to the rows to append (default: as is).
+
+    Per micro-batch (bounded by ``max_files_per_batch``) the choice of one
+    page per url and the anti-join with stored urls run on the keys
+    ``(url, label, file)`` only; the chosen keys are broadcast (checked
+    bound) into a semi-join, so page bodies are not shuffled.
+    """
+    stream = (spark.readStream.schema(schemas.SCRAPED_PAGE_JSON)
+              .option("maxFilesPerTrigger", max_files_per_batch).json(in_dir)
+              .withColumn("source_file", F.col("_metadata.file_path")))
 
     def batch(df: DataFrame, epoch: int) -> None:
-        first = (df.groupBy("url").agg(F.min(F.struct("label", "raw_html")).alias("m"))
-                 .select(F.col("m.label").alias("label"), "url", F.col("m.raw_html").alias("raw_html")))
-        new = first.join(_stored_urls(df.sparkSession, out_path), "url", "left_anti")
+        keys = (df.select("url", "label", "source_file")
+                .groupBy("url").agg(F.min(F.struct("label", "source_file")).alias("k"))
+                .select("url", F.col("k.label").alias("label"), F.col("k.source_file").alias("source_file")))
+        chosen = keys.join(_stored_urls(df.sparkSession, out_path), "url", "left_anti")
+        chosen = broadcast_if_small(chosen, max_broadcast_keys)
+        new = df.join(chosen, ["url", "label", "source_file"], "left_semi").select("label", "url", "raw_html")
         rows = transform(new) if transform else new
         rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(out_path)
 
