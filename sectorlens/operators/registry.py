@@ -8,7 +8,7 @@ the Parquet scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import crawl as C
 from ..operators import enrich as N
-from ..operators.htmlparse import parse_html  # noqa: F401  (import check)
 from ..operators import html as H
 from ..sources import fixtures as fx
 from .registry import query

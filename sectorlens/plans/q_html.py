@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from ..functions import text as T
 from ..operators import html as H
-from ..operators.dataset import extract_pages, extraction_job
+from ..operators.dataset import extraction_job
 from ..sources import fixtures as fx
 from ..sources.tables import table
 from .registry import query

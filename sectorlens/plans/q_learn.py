@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..operators import dataset as D
 from ..operators import evaluate as V
 from ..operators import learn as L
-from ..operators.htmlparse import parse_html  # noqa: F401
 from ..sources import fixtures as fx
 from .registry import query
 

@@ -39,16 +39,15 @@ FRONTIER = T.StructType([
     T.StructField("depth", T.IntegerType()),
 ])
 
-PAGE_DATA = T.StructType([
+# Extracted pages in long form: one row per page of a company run.
+EXTRACTED_PAGES = T.StructType([
+    T.StructField("company_id", T.LongType()),
+    T.StructField("run_ts", T.TimestampType()),
+    T.StructField("seq", T.LongType()),
     T.StructField("url", T.StringType()),
     T.StructField("method", T.ArrayType(T.BooleanType())),
     T.StructField("data", T.StringType()),
-])
-
-EXTRACTED = T.StructType([
-    T.StructField("company_id", T.LongType()),
-    T.StructField("run_ts", T.TimestampType()),
-    T.StructField("data", T.ArrayType(PAGE_DATA)),
+    T.StructField("branch_codes", T.ArrayType(T.StringType())),
 ])
 
 CATEGORY_TABLES = T.ArrayType(T.StructType([
@@ -58,27 +57,3 @@ CATEGORY_TABLES = T.ArrayType(T.StructType([
         T.StructField("Text", T.StringType()),
     ]))),
 ]))
-
-# One HTML node as emitted by the page parser (operators/html.py).
-HTML_NODE = T.StructType([
-    T.StructField("seq", T.IntegerType()),
-    T.StructField("kind", T.StringType()),      # text|comment|style|script|template|doctype
-    T.StructField("text", T.StringType()),
-    T.StructField("in_a", T.BooleanType()),
-    T.StructField("in_script", T.BooleanType()),
-    T.StructField("in_cookie", T.BooleanType()),
-    T.StructField("p_ids", T.ArrayType(T.IntegerType())),
-])
-
-HTML_META = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("property", T.StringType()),
-    T.StructField("content", T.StringType()),
-])
-
-PARSED_PAGE_FIELDS = [
-    T.StructField("nodes", T.ArrayType(HTML_NODE)),
-    T.StructField("anchors", T.ArrayType(T.StringType())),
-    T.StructField("metas", T.ArrayType(HTML_META)),
-    T.StructField("ok", T.BooleanType()),
-]
