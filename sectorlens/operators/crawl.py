@@ -20,9 +20,14 @@ def start_urls(companies: DataFrame) -> DataFrame:
 
 def stop_listed(url: str | Column = "url", mode: str = "reference") -> Column:
     """true when any stop token is a substring of the url path
-    (case-sensitive; the query string is not part of the path)."""
-    tokens = K.URL_STOP_TOKENS if mode == "reference" else K.URL_STOP_TOKENS_CLEAN
-    return contains_any(url_path(url), tokens)
+    (case-sensitive). ``reference``: the path only, fused token kept;
+    ``clean``: path and query string (so ``?lang=en`` matches), with the
+    fused token split in two."""
+    if mode == "reference":
+        return contains_any(url_path(url), K.URL_STOP_TOKENS)
+    u = F.col(url) if isinstance(url, str) else url
+    query = F.regexp_extract(u, r"\?([^#]*)", 1)
+    return contains_any(F.concat(url_path(u), F.lit("?"), query), K.URL_STOP_TOKENS_CLEAN)
 
 
 def prune_pages(pages: DataFrame, mode: str = "reference") -> DataFrame:

@@ -60,7 +60,8 @@ def unmatched_pages(pages: DataFrame, companies: DataFrame) -> DataFrame:
 
 def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
                    extract_meta: bool = True, extract_body: bool = True, p_only: bool = False,
-                   seq_col: str = "page_id", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   seq_col: str = "page_id", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                   mode: str = "reference") -> DataFrame:
     """Pages -> extracted rows in long form.
 
     Raw HTML is never shuffled. When the company dimension (one row per
@@ -68,7 +69,8 @@ def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
     are dropped before the parse and the company join is a broadcast hash
     join, so the whole job is narrow. Otherwise every page is parsed where
     it lies and only the extracted text is shuffled into the join. The row
-    keeps the company's registered url (as the reference stores it).
+    keeps the company's registered url (``reference``) or the url of the
+    page the text came from (``clean``).
     """
     comp = first_company_per_org_nr(companies)
     # the raw row count bounds the de-duplicated one, and needs no shuffle
@@ -80,8 +82,9 @@ def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
                           extract_body=extract_body, keep=["label", "url", seq_col])
     rows = texts.join(comp, texts["label"] == comp["org_nr"], "inner").drop("org_nr")
     method = F.array(F.lit(extract_meta), F.lit(extract_body), F.lit(p_only))
+    url = F.col("company_url") if mode == "reference" else F.col("url")
     return rows.select("company_id", F.lit(run_ts).cast("timestamp").alias("run_ts"),
-                       F.col(seq_col).alias("seq"), F.col("company_url").alias("url"),
+                       F.col(seq_col).alias("seq"), url.alias("url"),
                        method.alias("method"), "data", "branch_codes")
 
 
@@ -122,13 +125,18 @@ def companies_by_primary_code(companies: DataFrame) -> DataFrame:
 
 
 def split_assignment(companies: DataFrame, extracted: DataFrame,
-                     pct=(K.SPLIT_PCT[0], K.SPLIT_PCT[1], K.SPLIT_PCT[2])) -> DataFrame:
+                     pct=(K.SPLIT_PCT[0], K.SPLIT_PCT[1], K.SPLIT_PCT[2]),
+                     mode: str = "reference") -> DataFrame:
     """W02 + J03: exact stratified split per primary code.
 
     ``n`` = companies with some url in the code, ``d = n*dev div 100``,
     ``t = n*test div 100``; companies with url and extracted data are ranked
     by ``company_id`` (rank ``r``): dev if r = 1 or r <= d, test if
     r <= d + t, else train. Returns ``(company_id, code, branch_codes, split)``.
+
+    ``clean``: ``n`` counts only the companies that get a row (with url and
+    data), and the first company goes to dev only when the dev quota is
+    not 0.
     """
     train, dev, test = pct
     if train + dev + test != 100:
@@ -138,13 +146,16 @@ def split_assignment(companies: DataFrame, extracted: DataFrame,
     n = withurl.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     has_data = latest_runs(extracted).select("company_id").distinct()
     members = withurl.join(has_data, "company_id", "left_semi")
+    if mode == "clean":
+        n = members.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     ranked = prefix_rank(members, ["code"], "company_id", rank_col="r",
                          bounds_from=withurl.select("company_id"))
     quotas = broadcast_if_small(
         n.select("code", (F.col("n") * dev / 100).cast("long").alias("d"),
                  (F.col("n") * test / 100).cast("long").alias("t")), 100_000)
     j = ranked.join(quotas, ranked["code"].eqNullSafe(quotas["code"]), "inner").drop(quotas["code"])
-    split = (F.when((F.col("r") == 1) | (F.col("r") <= F.col("d")), "dev")
+    first_dev = (F.col("r") == 1) if mode == "reference" else F.lit(False)
+    split = (F.when(first_dev | (F.col("r") <= F.col("d")), "dev")
              .when(F.col("r") <= F.col("d") + F.col("t"), "test").otherwise("train"))
     return j.select("company_id", "code", "branch_codes", split.alias("split"))
 

@@ -93,16 +93,21 @@ def label_report(per_label: DataFrame, mode: str = "reference") -> DataFrame:
         "label_count").orderBy("label")
 
 
-def total_report(totals: DataFrame) -> DataFrame:
-    """A09 totals block (weighted score is a sum, rounded to 3)."""
+def total_report(totals: DataFrame, mode: str = "reference") -> DataFrame:
+    """A09 totals block. The weighted category score is the sum over all
+    documents (``reference``) or its mean per tested document (``clean``),
+    rounded to 3."""
     n = F.col("total_items")
+    w = F.col("weighted_category_score")
+    if mode == "clean":
+        w = F.when(n > 0, w / n).otherwise(F.lit(0.0))
     return totals.select(
         "total_items", "skipped",
         percentage("correct_label", n).alias("pct_correct_label"),
         percentage("top_n_label", n).alias("pct_top_n_label"),
         percentage("correct_category", n).alias("pct_correct_category"),
         percentage("top_n_category", n).alias("pct_top_n_category"),
-        F.round("weighted_category_score", 3).alias("weighted_category_score"))
+        F.round(w, 3).alias("weighted_category_score"))
 
 
 def evaluate(docs: DataFrame, pred: DataFrame, top_n: int = K.TOP_N,

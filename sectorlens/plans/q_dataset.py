@@ -277,6 +277,17 @@ def w02b(spark, sf):
     return s.select("company_id", "code", "split")
 
 
+@query("w02_stratified_split_clean",
+       """SELECT r.company_id, r.code,
+  CASE WHEN r.r <= (q.n * 20) // 100 THEN 'dev'
+       WHEN r.r <= (q.n * 20) // 100 + (q.n * 10) // 100 THEN 'test' ELSE 'train' END AS split
+FROM ranked r JOIN (SELECT code, count(*) AS n FROM members GROUP BY code) q ON q.code IS NOT DISTINCT FROM r.code""",
+       extra=_pipe("ranked"))
+def w02c(spark, sf):
+    s = D.split_assignment(fx.v_companies(spark, sf), extracted(spark, sf), mode="clean")
+    return s.select("company_id", "code", "split")
+
+
 @query("o03_union_splits", "SELECT company_id, split FROM splits", extra=_pipe("splits"))
 def o03(spark, sf):
     s = D.split_assignment(fx.v_companies(spark, sf), extracted(spark, sf))

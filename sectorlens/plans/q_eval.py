@@ -136,6 +136,22 @@ def a09t(spark, sf):
     return V.total_report(tot)
 
 
+@query("a09_total_report_clean",
+       f"""SELECT total_items, skipped, {_PCT.format(x='correct_label', n='total_items')} AS pct_correct_label,
+       {_PCT.format(x='top_n_label', n='total_items')} AS pct_top_n_label,
+       {_PCT.format(x='correct_category', n='total_items')} AS pct_correct_category,
+       {_PCT.format(x='top_n_category', n='total_items')} AS pct_top_n_category,
+       round(CASE WHEN total_items > 0 THEN weighted_category_score / total_items ELSE 0.0e0 END, 3)
+         AS weighted_category_score FROM (
+  SELECT sum(correct_label) AS correct_label, sum(top_n_label) AS top_n_label, sum(correct_category) AS correct_category,
+         sum(top_n_category) AS top_n_category, sum(weighted_category_score) AS weighted_category_score,
+         CAST(sum(skipped) AS BIGINT) AS skipped, CAST(sum(label_count) AS BIGINT) AS total_items FROM per_label)""",
+       extra=EVAL)
+def a09tc(spark, sf):
+    _, tot = _per_label(spark, sf)
+    return V.total_report(tot, "clean")
+
+
 @query("a12_label_report_clean_sorted",
        f"""SELECT label, {_PCT.format(x='correct_label', n='label_count')} AS pct_correct_label,
        {_PCT.format(x='top_n_label', n='label_count')} AS pct_top_n_label,

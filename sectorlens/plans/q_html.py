@@ -316,6 +316,18 @@ def h13r(spark, sf):
     return p.select("page_id", F.size(hr).cast("long").alias("n_links"), F.md5(F.array_join(hr, ",")).alias("links_md5"))
 
 
+@query("h15_extraction_job_clean",
+       f"""SELECT c.company_id, k.page_id AS seq, k.n_chars, k.text_md5, s.url
+FROM ({PAGE_TEXT_SQL}) k JOIN v_scraped s ON s.page_id = k.page_id
+JOIN (SELECT org_nr, min(company_id) AS company_id FROM v_companies GROUP BY org_nr) f ON f.org_nr = s.label
+JOIN v_companies c ON c.company_id = f.company_id""",
+       extra={"body": body_cte(True), "kept": YEAR_DEDUP_CTE})
+def h15c(spark, sf):
+    x = extraction_job(fx.v_scraped(spark, sf), fx.v_companies(spark, sf), "2024-03-01 00:00:00", mode="clean")
+    return x.select("company_id", "seq", F.length("data").cast("long").alias("n_chars"), F.md5("data").alias("text_md5"),
+                    "url")
+
+
 @query("h15_extraction_job",
        f"""SELECT c.company_id, k.page_id AS seq, k.n_chars, k.text_md5, c.url
 FROM ({PAGE_TEXT_SQL}) k JOIN v_scraped s ON s.page_id = k.page_id

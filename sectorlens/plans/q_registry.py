@@ -159,6 +159,16 @@ def f19(spark, sf):
     return table(spark, sf, "pages").select("page_id", "url", C.stop_listed("url").alias("stopped"))
 
 
+_STOP_CLEAN = ", ".join("'" + t.replace("'", "''") + "'" for t in K.URL_STOP_TOKENS_CLEAN)
+
+
+@query("f19_url_stop_tokens_clean",
+       f"""SELECT page_id, url, EXISTS (SELECT 1 FROM (SELECT unnest([{_STOP_CLEAN}]) AS t) s
+       WHERE contains(concat({_PATH_SQL}, '?', regexp_extract(url, '\\?([^#]*)', 1)), s.t)) AS stopped FROM pages""")
+def f19c(spark, sf):
+    return table(spark, sf, "pages").select("page_id", "url", C.stop_listed("url", "clean").alias("stopped"))
+
+
 @query("f20_prune_pages",
        f"""SELECT label, url FROM v_scraped WHERE NOT EXISTS (SELECT 1 FROM (SELECT unnest([{_STOP}]) AS t) s
        WHERE contains({_PATH_SQL}, s.t))""")

@@ -42,26 +42,27 @@ def test_top_k_per_key(spark):
     assert got == sorted(exp)
 
 
-def _split_loop(codes_of, with_url, has_data, pct):
-    """The reference's loop: companies with url grouped by primary code."""
+def _split_loop(codes_of, with_url, has_data, pct, clean=False):
+    """The reference's loop: companies with url grouped by primary code
+    (``clean``: n counts only companies with data, no forced first dev)."""
     train, dev, test = pct
     groups = {}
     for cid in sorted(with_url):
         groups.setdefault(codes_of[cid][0], []).append(cid)
     stored, out = {}, {}
     for code, members in groups.items():
-        n = len(members)
+        n = len([c for c in members if c in has_data]) if clean else len(members)
         d = n * dev // 100
         t = n * test // 100
         for cid in members:
             if cid not in has_data:
                 continue
-            if code not in stored or stored[code] < d:
+            if (not clean and code not in stored) or stored.get(code, 0) < d:
                 out[cid] = "dev"
                 stored[code] = stored.get(code, 0) + 1
-            elif stored[code] < d + t:
+            elif stored.get(code, 0) < d + t:
                 out[cid] = "test"
-                stored[code] += 1
+                stored[code] = stored.get(code, 0) + 1
             else:
                 out[cid] = "train"
     return out
@@ -82,9 +83,11 @@ def test_split_matches_loop(spark):
     c = spark.createDataFrame(comps, "company_id long, branch_codes array<string>, url string")
     e = spark.createDataFrame([(cid, "2024-01-01 00:00:00") for cid in has_data], "company_id long, run_ts string") \
         .withColumn("run_ts", F.col("run_ts").cast("timestamp"))
-    for pct in [(70, 20, 10), (50, 25, 25), (100, 0, 0)]:
+    for pct in [(70, 20, 10), (50, 25, 25), (100, 0, 0), (80, 5, 15)]:
         got = {r["company_id"]: r["split"] for r in split_assignment(c, e, pct).collect()}
         assert got == _split_loop(codes_of, with_url, has_data, pct)
+        got = {r["company_id"]: r["split"] for r in split_assignment(c, e, pct, mode="clean").collect()}
+        assert got == _split_loop(codes_of, with_url, has_data, pct, clean=True)
 
 
 def test_budget_fold_matches_loop(spark):
