@@ -64,6 +64,16 @@ CHAR_FILTERS = [
     r"[\x{24C2}-\x{10FFFF}\x{200D}\x{23CF}\x{23E9}\x{231A}]+",
 ]
 
+# --- Fixed values: the emoji and symbol blocks of the reference's symbol
+# filter, in its order, without its two all-covering ranges
+# (U+24C2..U+1F251 and U+10000..U+10FFFF); used by the clean mode.
+EMOJI_BLOCKS = [
+    (0x1F600, 0x1F64F), (0x1F300, 0x1F5FF), (0x1F680, 0x1F6FF), (0x1F1E0, 0x1F1FF),
+    (0x2702, 0x27B0), (0x1F926, 0x1F937), (0x2640, 0x2642), (0x2600, 0x2B55),
+    (0x200D, 0x200D), (0x23CF, 0x23CF), (0x23E9, 0x23E9), (0x231A, 0x231A),
+    (0xFE0F, 0xFE0F), (0x3030, 0x3030),
+]
+
 # Year filter: a string that starts with four digits.
 YEAR_PREFIX = r"(?U)^\d{4}"
 

@@ -50,9 +50,26 @@ def delete_symbols(col) -> Column:              # E07
     return delete(col, K.CHAR_FILTERS[6])
 
 
-def clean_chars(col) -> Column:
-    """The character filters, in order, as one fused expression."""
-    return reduce(lambda acc, p: F.regexp_replace(acc, p, ""), K.CHAR_FILTERS, _c(col))
+def emoji_class() -> str:
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" if a != b else f"\\x{{{a:X}}}"
+                         for a, b in K.EMOJI_BLOCKS) + "]+"
+
+
+def clean_chars(col, mode: str = "reference") -> Column:
+    """The character filters, in order, as one fused expression.
+
+    ``reference``: every match is deleted, so words around a deleted run
+    fuse, and the symbol class also deletes all CJK and supplementary
+    characters. ``clean``: white-space runs, pipes, newlines, tabs and
+    carriage returns become one space, hashtags are deleted, only the emoji
+    and symbol blocks are deleted, and the result is trimmed.
+    """
+    if mode == "reference":
+        return reduce(lambda acc, p: F.regexp_replace(acc, p, ""), K.CHAR_FILTERS, _c(col))
+    x = F.regexp_replace(_c(col), K.CHAR_FILTERS[5], "")                  # hashtags
+    x = F.regexp_replace(x, emoji_class(), "")
+    x = F.regexp_replace(x, r"(?U)[\s|]+", " ")                          # separators -> one space
+    return F.trim(x)
 
 
 def truncate(col, n: int = K.MAX_TEXT_CHARS) -> Column:

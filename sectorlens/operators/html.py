@@ -164,7 +164,8 @@ def _spaced(arr: Column) -> Column:
 
 
 def page_text(filter_: bool = True, p_only: bool = False, extract_meta: bool = True,
-              extract_body: bool = True, year_mode: str = "reference") -> Column:
+              extract_body: bool = True, year_mode: str = "reference",
+              chars_mode: str = "reference") -> Column:
     """Compose the page text over a parsed page.
 
     Body strings then meta strings, each followed by one space; with
@@ -188,7 +189,7 @@ def page_text(filter_: bool = True, p_only: bool = False, extract_meta: bool = T
             meta = F.array_distinct(meta)
         parts.append(_spaced(meta))
     text = F.concat(*parts) if parts else F.lit("")
-    return clean_chars(text) if filter_ else text
+    return clean_chars(text, chars_mode) if filter_ else text
 
 
 # -- H11, H12: contact links -----------------------------------------------------

@@ -258,6 +258,16 @@ def h10(spark, sf):
     return d.select("doc_id", F.md5(t).alias("text_md5"), F.length(t).cast("long").alias("n_chars"))
 
 
+@query("h10_clean_chars_clean_mode",
+       "SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM (SELECT doc_id, trim(regexp_replace(regexp_replace("
+       "regexp_replace(text, '#[\\pL\\pM\\p{Nd}_]+', '', 'g'), '" + T.emoji_class() + "', '', 'g'), "
+       "'[\\s|]+', ' ', 'g')) AS t FROM documents)")
+def h10c(spark, sf):
+    d = table(spark, sf, "documents")
+    t = T.clean_chars("text", mode="clean")
+    return d.select("doc_id", F.md5(t).alias("text_md5"), F.length(t).cast("long").alias("n_chars"))
+
+
 @query("e08_truncate",
        """SELECT doc_id, length(substring(text, 1, 1000000)) AS n_chars, md5(substring(text, 1, 1000000)) AS text_md5
 FROM documents""")

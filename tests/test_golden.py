@@ -17,6 +17,11 @@ def test_char_filters_in_order(spark):
     assert _one(spark, T.clean_chars("s"), s) == "abcde    é "
 
 
+def test_char_filters_clean_mode(spark):
+    s = "a  b|c\nd  e #tåg 😀 漢字 é ☃"
+    assert _one(spark, T.clean_chars("s", mode="clean"), s) == "a b c d e 漢字 é"
+
+
 def _parse(spark, html, url=None):
     df = spark.createDataFrame([(1, html, url)], "id int, html string, url string")
     return H.parse_pages(df, keep=["id"])
