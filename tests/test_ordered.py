@@ -156,3 +156,10 @@ def test_assemble_documents_cut(spark):
         t = "".join(" " + d for _, _, d in sorted((r for r in rows if r[0] == k), key=lambda r: r[1]))
         exp[k] = t[:200]
     assert got == exp
+
+
+def test_prefix_rank_null_keys(spark):
+    rows = [(None, 3), (None, 1), ("a", 2), ("a", 5), (None, 2)]
+    df = spark.createDataFrame(rows, "k string, o long")
+    got = sorted((r["k"] or "", r["o"], r["rank"]) for r in prefix_rank(df, ["k"], "o", n_buckets=4).collect())
+    assert got == [("", 1, 1), ("", 2, 2), ("", 3, 3), ("a", 2, 1), ("a", 5, 2)]
