@@ -62,10 +62,13 @@ def s03(spark, sf):
 
 
 @query("s04_init_if_empty",
-       "SELECT sni_code, description FROM v_sni")
+       "SELECT DISTINCT municipality_code AS code, municipality AS name FROM v_companies")
 def s04(spark, sf):
+    """Initialise the municipality dimension (derived from the register)
+    only while the table is missing or empty."""
     path = _scratch(spark, "s04")
-    dim = fx.v_sni(spark).select("sni_code", "description")
+    dim = fx.v_companies(spark, sf).select(F.col("municipality_code").alias("code"),
+                                           F.col("municipality").alias("name")).distinct()
     S.init_if_empty(dim, path)
     S.init_if_empty(dim, path)          # second call must not write again
     return spark.read.parquet(path)
