@@ -23,9 +23,11 @@ def counts_by_code_and_municipality(companies: DataFrame, legal_forms: DataFrame
 
 
 def visit_key(mun: str = "municipality_code", seed: int | None = 42) -> Column:
-    """The visiting order of municipalities (seeded hash; ``None`` =
-    the code itself, for reproducible comparisons)."""
-    return F.col(mun) if seed is None else F.xxhash64(F.col(mun), F.lit(seed))
+    """The visiting order of municipalities: a seeded pseudo-random
+    key, md5 of ``"<seed>:<code>"`` (``None`` = the code itself)."""
+    if seed is None:
+        return F.col(mun)
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(mun)))
 
 
 def budgeted_selection(counts: DataFrame, limit: int = K.FETCH_LIMIT, seed: int | None = 42) -> DataFrame:

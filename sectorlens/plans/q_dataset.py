@@ -199,11 +199,12 @@ def a06(spark, sf):
     return S.fetched_total(S.budgeted_selection(_a05(spark, sf), limit=50, seed=None))
 
 
-@query("t03_random_visit_order")
+@query("t03_random_visit_order", W05_SQL.replace(
+    "ORDER BY municipality_code) AS k", "ORDER BY md5(concat('42:', municipality_code))) AS k"),
+    extra={"cnts": A05_SQL})
 def t03(spark, sf):
-    """Seeded random visiting order (xxhash64), so no portable oracle."""
-    sel = S.budgeted_selection(_a05(spark, sf), limit=50, seed=42)
-    return sel
+    """Budgeted selection with municipalities visited in a seeded random order."""
+    return S.budgeted_selection(_a05(spark, sf), limit=50, seed=42)
 
 
 @query("w06_last_code", "SELECT branch_codes[1] AS last_code FROM v_companies ORDER BY company_id DESC LIMIT 1")
