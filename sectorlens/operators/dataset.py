@@ -53,9 +53,14 @@ def attach_companies(texts: DataFrame, companies: DataFrame) -> DataFrame:
     return texts.join(comp, texts["label"] == comp["org_nr"], "inner").drop("org_nr")
 
 
-def unmatched_pages(pages: DataFrame, companies: DataFrame) -> DataFrame:
-    """Pages whose label is no company's organisation number."""
-    return pages.join(companies.select(F.col("org_nr").alias("label")).distinct(), "label", "left_anti")
+def unmatched_pages(pages: DataFrame, companies: DataFrame, html_col: str = "raw_html",
+                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Pages whose label is no company's organisation number (the
+    error report: page columns without the HTML, which is not shuffled)."""
+    keys = companies.select(F.col("org_nr").alias("label")).distinct()
+    if fits_broadcast(companies, max_broadcast_rows):
+        keys = F.broadcast(keys)
+    return pages.drop(html_col).join(keys, "label", "left_anti")
 
 
 def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
