@@ -87,6 +87,8 @@ def spread_if_coarse(df: DataFrame) -> DataFrame:
     file) over the cores before heavy per-row work. Inputs read from many
     files already have many partitions and are left where they are (no
     shuffle at scale)."""
+    if df.isStreaming:       # micro-batches are split by the source itself
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

@@ -18,3 +18,18 @@ def test_extraction_job_shuffle_path(spark):
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin LeftSemi" not in plan      # no pre-parse broadcast filter
     assert _rows(small) == _rows(big)
+
+
+def test_parse_on_a_stream(spark, tmp_path):
+    """parse_pages and the text expressions work on a streaming frame."""
+    from sectorlens import schemas
+    from sectorlens.operators import html as H
+    src = str(tmp_path / "in")
+    fx.v_scraped(spark, SF_SMALL).select("label", "url", "raw_html").write.json(src)
+    stream = spark.readStream.schema(schemas.SCRAPED_PAGE_JSON).json(src)
+    parsed = H.parse_pages(stream, html_col="raw_html", keep=["url"], parts=("nodes", "metas"))
+    q = (parsed.select("url", H.page_text().alias("t")).writeStream.format("memory")
+         .queryName("parsed_pages").option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    assert spark.sql("SELECT count(*) AS n FROM parsed_pages").first()["n"] == fx.v_scraped(spark, SF_SMALL).count()
