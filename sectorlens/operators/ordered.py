@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def quantile_bucket(df: DataFrame, order: str, n_buckets: int, rel_err: float = 0.001) -> Column:
@@ -53,6 +54,8 @@ def prefix_rank(df: DataFrame, keys: list[str], order: str, value: Column | str
     any bounds give exact ranks, matching distributions give even buckets.
     """
     spark = df.sparkSession
+    if not isinstance(df.schema[order].dataType, NumericType):
+        raise TypeError(f"prefix_rank needs a numeric order column, got {df.schema[order].dataType}")
     n_buckets = n_buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     v = F.lit(0) if value is None else (F.col(value) if isinstance(value, str) else value)
     src = bounds_from if bounds_from is not None else df

@@ -219,7 +219,7 @@ def variable_catalog(all_vars: DataFrame, owned: DataFrame) -> DataFrame:
     ``owned`` flag. ``all_vars``: (variable, operators); ``owned``: (variable)."""
     m = F.create_map(*[x for k, v in OPERATOR_METHODS.items() for x in (F.lit(k), F.lit(v))])
     o = owned.select("variable").distinct().withColumn("_owned", F.lit(True))
-    return (all_vars.join(F.broadcast(o), "variable", "left")
+    return (all_vars.join(broadcast_if_small(o, 100_000), "variable", "left")
             .select("variable",
                     F.transform("operators", lambda op: m[op]).alias("methods"),
                     F.coalesce("_owned", F.lit(False)).alias("owned")))
@@ -236,7 +236,8 @@ def legal_forms_from_categories(tables: DataFrame, include: DataFrame, col: str
     cats = tables.select(F.explode(F.col(col)).alias("t")).filter(F.col("t.Id_Kategori_JE") == "Juridisk form")
     vals = cats.select(F.explode("t.VardeLista").alias("v")).select(
         F.col("v.Varde").alias("code"), F.col("v.Text").alias("description"))
-    return vals.join(F.broadcast(include.select(F.col(include.columns[0]).alias("code"))), "code", "left_semi")
+    inc = broadcast_if_small(include.select(F.col(include.columns[0]).alias("code")), 100_000)
+    return vals.join(inc, "code", "left_semi")
 
 
 def exclude_codes(all_codes: DataFrame, codes) -> DataFrame:

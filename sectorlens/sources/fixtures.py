@@ -44,7 +44,8 @@ def v_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c.c_custkey")
     url_real = F.concat(F.lit("http://www.c"), k.cast("string"), F.lit(".example."),
                         F.when(k % 2 == 0, "com").otherwise("net"))
-    return (c.join(F.broadcast(n), F.col("c.c_nationkey") == F.col("n.n_nationkey"))
+    # nation is left to the planner (its file statistics decide a broadcast)
+    return (c.join(n, F.col("c.c_nationkey") == F.col("n.n_nationkey"))
              .join(s, F.col("s.segment") == F.col("c.c_mktsegment"), "left")
              .select(
                  k.alias("company_id"),
