@@ -31,9 +31,10 @@ def ingest_new_pages(spark: SparkSession, in_dir: str, out_path: str, checkpoint
     ``(label, url, raw_html)`` to the rows to append (default: as is).
 
     Per micro-batch (bounded by ``max_files_per_batch``) the choice of one
-    page per url and the anti-join with stored urls run on the keys
-    ``(url, label, file)`` only; the chosen keys are broadcast (checked
-    bound) into a semi-join, so page bodies are not shuffled.
+    page per url and the check against stored urls run on the keys
+    ``(url, label, file)`` only; the bounded key set is broadcast (checked)
+    into the scan of the store and into the semi-join that selects the
+    pages, so neither page bodies nor the store are shuffled.
     """
     stream = (spark.readStream.schema(schemas.SCRAPED_PAGE_JSON)
               .option("maxFilesPerTrigger", max_files_per_batch).json(in_dir)
@@ -43,8 +44,12 @@ def ingest_new_pages(spark: SparkSession, in_dir: str, out_path: str, checkpoint
         keys = (df.select("url", "label", "source_file")
                 .groupBy("url").agg(F.min(F.struct("label", "source_file")).alias("k"))
                 .select("url", F.col("k.label").alias("label"), F.col("k.source_file").alias("source_file")))
-        chosen = keys.join(_stored_urls(df.sparkSession, out_path), "url", "left_anti")
-        chosen = broadcast_if_small(chosen, max_broadcast_keys)
+        # The store grows without bound, the batch keys do not: find the
+        # stored ones among them with a broadcast semi-join (the store is
+        # scanned, not shuffled), then drop them from the bounded key set.
+        keys_b = broadcast_if_small(keys, max_broadcast_keys)
+        seen = _stored_urls(df.sparkSession, out_path).join(keys_b.select("url"), "url", "left_semi")
+        chosen = broadcast_if_small(keys.join(seen, "url", "left_anti"), max_broadcast_keys)
         new = df.join(chosen, ["url", "label", "source_file"], "left_semi").select("label", "url", "raw_html")
         rows = transform(new) if transform else new
         rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(out_path)
