@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import contains_any, normalise_name
 from ..functions.urls import registered_domain, with_registered_domain
-from .ordered import top_k_per_key
+from .ordered import broadcast_if_small, top_k_per_key
 
 # Java regex: (?U) gives Unicode \s / \S.
 _ONLY = r"(?U)^\S+$"
@@ -102,7 +102,9 @@ def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOO
     while True:
         cur = prop.withColumn("code", F.get(F.col("prefs"), F.col("idx") - 1))
         kept = top_k_per_key(cur, ["code"], ["company_id"], limit, salt_on="company_id", salts=salts)
-        kept_ids = kept.select("company_id", F.lit(True).alias("_kept"))
+        # at most codes x limit rows: broadcast (checked) so the proposals
+        # are not shuffled again in every round
+        kept_ids = broadcast_if_small(kept.select("company_id", F.lit(True).alias("_kept")), 1_000_000)
         nxt = (cur.join(kept_ids, "company_id", "left")
                .withColumn("idx", F.when(F.col("_kept"), F.col("idx")).otherwise(F.col("idx") + 1))
                .withColumn("_rejected", F.col("_kept").isNull())
