@@ -118,10 +118,11 @@ def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOO
 def apply_lookup_results(companies: DataFrame, processed: DataFrame, hits: DataFrame) -> DataFrame:
     """Processed companies get the first-hit url when it is non-empty and
     not blacklisted; otherwise they are removed. Others are unchanged."""
-    found = (attach_first_hit(companies.join(processed.select("company_id").distinct(), "company_id",
-                                             "left_semi"), hits)
+    # processed companies number at most codes x limit: broadcast (checked)
+    done = broadcast_if_small(processed.select("company_id").distinct(), 1_000_000)
+    found = (attach_first_hit(companies.join(done, "company_id", "left_semi"), hits)
              .select("company_id", "link"))
-    j = companies.join(found, "company_id", "left")
+    j = companies.join(broadcast_if_small(found, 1_000_000), "company_id", "left")
     ok = (F.col("link") != "") & not_blacklisted("link")
     return (j.filter(F.col("link").isNull() | ok)
             .withColumn("url", F.when(F.col("link").isNotNull(), F.col("link")).otherwise(F.col("url")))

@@ -60,7 +60,8 @@ def budgeted_selection(counts: DataFrame, limit: int = K.FETCH_LIMIT, seed: int
 
 def sampled_companies(companies: DataFrame, selection: DataFrame) -> DataFrame:
     """W05 output rows: companies of the taken (code, municipality) pairs."""
-    sel = selection.select("sni_code", "municipality_code")
+    # at most codes x municipalities rows: broadcast behind the check
+    sel = broadcast_if_small(selection.select("sni_code", "municipality_code"), 1_000_000)
     return (companies.withColumn("sni_code", F.get(F.col("branch_codes"), 0))
             .join(sel, ["sni_code", "municipality_code"], "left_semi"))
 
