@@ -36,7 +36,12 @@ def m03(spark, sf):
     d = L.tokenize(fx.v_labelled_docs(spark, sf))
     for st in L.bow_stages(1):
         d = st.transform(d)
-    return d.select("doc_id", "n_tokens", F.size(F.array_distinct("tokens")).cast("long").alias("n_distinct"), "bow")
+    # plain columns only: the sparse vector as text gives its bucket list
+    vec = F.col("bow").cast("string")
+    buckets = F.regexp_extract(vec, r"^\(\d+,\[([^\]]*)\]", 1)
+    n_buckets = F.when(buckets == "", F.lit(0)).otherwise(F.size(F.split(buckets, ",")))
+    return d.select("doc_id", "n_tokens", F.size(F.array_distinct("tokens")).cast("long").alias("n_distinct"),
+                    n_buckets.cast("long").alias("n_buckets"), F.md5(vec).alias("bow_md5"))
 
 
 @query("m04_mean_word_vectors")
