@@ -39,3 +39,15 @@ def test_register_row_rule():
     assert not R.is_branch_field("Bransch_1P, kod")
     assert not R.is_branch_field("Bransch_1HAE, kod")
     assert not R.is_branch_field("Bransch_1")
+
+
+def test_argument_checks(spark):
+    from sectorlens.operators.dataset import split_assignment
+    c = fx.v_companies(spark, SF_SMALL)
+    q = R.RegistryQuery(c, R.default_catalog(c))
+    with pytest.raises(ValueError):
+        q.sni(["10111"], level=4)
+    with pytest.raises(ValueError):
+        q.sni(["10111"], exclusion=True)          # needs the table of all codes
+    with pytest.raises(ValueError):
+        split_assignment(c, c.select("company_id"), pct=(70, 20, 20))
