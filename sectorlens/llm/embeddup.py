@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .groups import flat_lists, map_sorted_groups
 from .storage import broadcast_checked, stored
 
 THRESHOLD, RECALL, OCCUPANCY, BLOCK, SEED = 0.9, 0.995, 32, 1024, 7
@@ -198,7 +199,6 @@ def _bucket_rows(reps: DataFrame, schemes: dict[int, Scheme]) -> DataFrame:
 
 def links(reps: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """A stored table (id, root, n): partial counts of linked copies per id, and ids connected to it."""
-    spark = reps.sparkSession
     sizes = {r[0]: r[1] for r in reps.groupBy(F.size("embedding")).count().collect()}  # a row per vector length
     schemes = {d: scheme_for(d, n, threshold) for d, n in sizes.items()}
     rows = _bucket_rows(reps, schemes)
@@ -212,25 +212,6 @@ def links(reps: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) ->
              .select(*key, F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), "chunk",
                      "rep", "copies", "embedding"))
     group = [*key, "low", "high"]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = dealt.repartition(n, *group).sortWithinPartitions(*group)
-
-    def run(batches):
-        held: list[pa.Table] = []
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            keys = np.stack([np.asarray(table.column(c)) for c in group], axis=1)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            if held and batch.num_rows and any(held[0].column(c)[0] != table.column(c)[0] for c in group):
-                yield from work(pa.concat_tables(held))
-                held = []
-            start = 0
-            for cut in cuts.tolist():
-                yield from work(pa.concat_tables([*held, table.slice(start, cut - start)]))
-                held, start = [], cut
-            held.append(table.slice(start))
-        if held:
-            yield from work(pa.concat_tables(held))
 
     def work(t: pa.Table):
         if t.num_rows < 2:
@@ -240,14 +221,12 @@ def links(reps: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) ->
         if low != high and chunk.min() == chunk.max():
             return
         ids = np.asarray(t.column("rep"))
-        flat = t.column("embedding").combine_chunks()
-        flat = flat.flatten() if not isinstance(flat, pa.ChunkedArray) else pa.concat_arrays([c.flatten() for c in flat.chunks])
-        vectors = np.asarray(flat, dtype=np.float64).reshape(-1, dim)
+        vectors = flat_lists(t, "embedding")[0].astype(np.float64).reshape(-1, dim)
         found = group_links(ids, np.asarray(t.column("copies")), vectors, tbl, bucket, schemes[dim], chunk, threshold)
         if found:
             used, root, count = found
             yield pa.RecordBatch.from_arrays([pa.array(ids[used]), pa.array(root), pa.array(count)], names=["id", "root", "n"])
-    return stored(ordered.mapInArrow(run, "id long, root long, n long"), "vector_links")
+    return stored(map_sorted_groups(dealt, group, work, "id long, root long, n long"), "vector_links")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
