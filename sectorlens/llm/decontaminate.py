@@ -24,7 +24,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .textmap import map_texts
+from .textmap import map_texts, numbered, renamed_back
 from .words import alnum_words
 
 WINDOW = 10
@@ -157,7 +157,7 @@ def query_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int =
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("doc_id",), window: int = WINDOW,
-               near: int = NEAR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               near: int = NEAR, block_bytes: int = BLOCK_BYTES, text: str = "text") -> DataFrame:
     """``keep`` columns plus n_words, n_hit, n_items, n_near, items, items_sha256, contaminated."""
     blocks = query_blocks(benchmark, window, block_bytes)
 
@@ -170,10 +170,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("do
             return [[len(d) for d in documents], n_hit, [len(x) for x in items], [len(x | y) for x, y in zip(exact, close)],
                     items, [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], [n > 0 for n in n_hit]]
         return compute
-    return map_texts(docs, "text", keep, OUT, make)
+    return map_texts(docs, text, keep, OUT, make)
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
-    flags = find_leaks(docs.selectExpr("struct(*) as row", "text"), benchmark, keep=("row",))
-    return flags.where("not contaminated").select("row.*")
+    rows, text = numbered(docs)
+    found = find_leaks(rows, benchmark, keep=rows.columns, text=text)
+    return renamed_back(found.where("not contaminated"), docs.columns)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textmap import chunks, map_texts
+from .textmap import chunks, map_texts, numbered, renamed_back
 
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 8.0
@@ -174,7 +174,8 @@ def fit(docs: DataFrame) -> Model:
     return Model.of([tuple(r) for r in count_trigrams(labelled).collect()])
 
 
-def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), penalty: float = SWITCH_PENALTY) -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), penalty: float = SWITCH_PENALTY,
+             text: str = "text") -> DataFrame:
     """``keep`` columns plus lang_pred, score and spans (word numbers, ends exclusive)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -211,10 +212,11 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
                 spans[d].append({"lang": la, "start": s, "end": e})
             return [langs[best].tolist(), score.tolist(), spans]
         return compute
-    return map_texts(docs, "text", keep, OUT, make)
+    return map_texts(docs, text, keep, OUT, make)
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` whose language is known for at least ``least`` of their letters, the model fitted on ``docs`` itself."""
-    found = identify(docs.selectExpr("struct(*) as row", "text"), fit(docs), keep=("row",))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    rows, text = numbered(docs)
+    found = identify(rows, fit(docs), keep=rows.columns, text=text)
+    return renamed_back(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)), docs.columns)

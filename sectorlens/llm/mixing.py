@@ -81,3 +81,9 @@ def emit(plan: DataFrame) -> DataFrame:
     """Each planned document ``copies`` times, numbered by ``copy`` from 1."""
     return (plan.where(F.col("copies") > 0)
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them: each document once per copy, numbered by a column ``copy``."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "copy"]).alias("row")
+    return emit(mix_plan(docs.select(row, "doc_id", "text", "source"))).select("row.*", "copy")

@@ -36,16 +36,15 @@ def map_texts(df: DataFrame, text: str, keep: Sequence[str], out: str,
     """
     added = StructType.fromDDL(out)
     kept = [c for c in keep if c not in added.names]
-    read = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)], F.col(f"`{text}`").alias("text"))
-    schema = StructType(read.schema.fields[:-1] + [f for f in added.fields])
-    for field, i in zip(schema.fields[:len(kept)], range(len(kept))):
-        field.name = f"k{i}"
+    at = kept.index(text) if text in kept else len(kept)
+    read = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept if text in kept else [*kept, text])])
+    schema = StructType(read.schema.fields[:len(kept)] + added.fields)
 
     def run(batches):
         compute = make()
         types = None
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).cast(pa.binary())
+            texts = batch.column(at).cast(pa.binary())
             types = types or _arrow(added)
             for rows, part in chunks(batch, texts):
                 made = compute(part.to_pylist(), rows)
@@ -57,6 +56,15 @@ def map_texts(df: DataFrame, text: str, keep: Sequence[str], out: str,
     return done.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)], *added.names)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with columns c0, c1, ... (no new column's name can clash), and the new name of its text column."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), f"c{df.columns.index('text')}"
+
+
+def renamed_back(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def _arrow(schema: StructType) -> list[pa.DataType]:
     from pyspark.sql.pandas.types import to_arrow_type
     return [to_arrow_type(f.dataType) for f in schema.fields]
