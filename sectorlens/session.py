@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings that hold at any scale: AQE re-plans shuffles at run time
@@ -23,16 +24,29 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "sectorlens") -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the settings above.
+
+    Master, memory and partition counts belong to the job's configuration:
+    they are set here only if given, and ``local[*]`` is used only where
+    nothing names a master (a plain ``python`` run).
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master is None and not SparkConf().contains("spark.master"):
+        master = "local[*]"
+    if master is not None:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("SECTORLENS_DRIVER_MEM", "16g"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("SECTORLENS_DRIVER_MEM", "16g"))
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local["):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -40,8 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as is. Only when it is unset (tests, local runs) is a scratch
-    folder made, so local runs work too.
+    used as is; a scratch folder is made only where it is unset and the
+    whole job runs in one local process (tests).
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -52,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="sectorlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
