@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators.ordered import broadcast_if_small
 from .text import _c
 
 _PATH = r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)"
-_HOST = r"^(?:[^:/?#]+:)?//(?:[^@/?#]*@)?([^:/?#]*)"
+_HOST = r"^(?:(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//)?(?:[^@/?#]*@)?([^:/?#]*)"
+_IPV4 = r"^\d{1,3}(\.\d{1,3}){3}$"
+MAX_SUFFIX_LABELS = 4
 
 
 def url_path(url) -> Column:
@@ -19,7 +22,7 @@ def url_path(url) -> Column:
 
 
 def url_host(url) -> Column:
-    """Lower-cased host of an absolute url ('' when there is none)."""
+    """Lower-cased host of a url, with or without a scheme ('' when there is none)."""
     return F.lower(F.regexp_extract(_c(url), _HOST, 1))
 
 
@@ -27,28 +30,43 @@ def suffix_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s,) for s in K.PUBLIC_SUFFIXES], "suffix string")
 
 
-def with_registered_domain(df: DataFrame, url_col: str = "url", prefix: str = "") -> DataFrame:
+def _tail(labels: Column, n: int) -> Column:
+    """The last ``n`` labels, null if the host has no label before them."""
+    return F.when(F.size(labels) > n, F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
+
+
+def with_registered_domain(df: DataFrame, url_col: str = "url", prefix: str = "",
+                           suffixes: DataFrame | None = None) -> DataFrame:
     """Add ``{prefix}host``, ``{prefix}domain`` (label left of the
     suffix) and ``{prefix}suffix`` by the longest known public suffix.
 
-    The candidate suffixes of a host are its dot-separated tails (at most as
-    many as it has labels); they are matched against a small fixed suffix
-    set inside the expression, so no join or shuffle is needed.
+    ``suffixes`` is a table whose first column lists public suffixes of up to
+    ``MAX_SUFFIX_LABELS`` labels; it is joined once per length (broadcast when
+    its size allows). Without it a small built-in list is matched inside the
+    expression. A host that ends in no known suffix has its last label as the
+    suffix; an IP address or a single label is a domain without suffix.
     """
-    host = url_host(url_col)
     labels = F.split(F.col(f"{prefix}host"), r"\.")
-    known = F.array(*[F.lit(s) for s in K.PUBLIC_SUFFIXES])
-    # tails ordered longest first; pick the first that is a known suffix
-    tails = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
-                        lambda i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
-    suffix = F.get(F.filter(tails, lambda t: F.array_contains(known, t)), 0)
-    n_suffix_labels = F.size(F.split(F.col(f"{prefix}suffix"), r"\."))
-    domain = F.when(F.col(f"{prefix}suffix").isNull(), F.get(labels, F.size(labels) - 1)) \
-              .otherwise(F.get(labels, F.size(labels) - n_suffix_labels - 1))
-    return (df.withColumn(f"{prefix}host", host)
-              .withColumn(f"{prefix}suffix", F.when(F.size(labels) > 1, suffix))
-              .withColumn(f"{prefix}domain", F.coalesce(domain, F.lit("")))
-              .withColumn(f"{prefix}suffix", F.coalesce(F.col(f"{prefix}suffix"), F.lit(""))))
+    out = df.withColumn(f"{prefix}host", url_host(url_col))
+    if suffixes is None:
+        known = F.array(*[F.lit(s) for s in K.PUBLIC_SUFFIXES])
+        found = [F.when(F.array_contains(known, t), t)
+                 for t in (_tail(labels, n) for n in range(MAX_SUFFIX_LABELS, 0, -1))]
+    else:
+        listed = broadcast_if_small(suffixes.select(F.lower(F.col(suffixes.columns[0])).alias("_suffix")).distinct())
+        found = []
+        for n in range(MAX_SUFFIX_LABELS, 0, -1):
+            out = out.withColumn("_tail", _tail(labels, n)) \
+                .join(listed.withColumnRenamed("_suffix", f"_s{n}"), F.col("_tail") == F.col(f"_s{n}"), "left").drop("_tail")
+            found.append(F.col(f"_s{n}"))
+    plain = (F.size(labels) < 2) | F.col(f"{prefix}host").rlike(_IPV4)
+    suffix = F.when(plain, "").otherwise(F.coalesce(*found, F.element_at(labels, -1)))
+    n_suffix = F.size(F.split(F.col(f"{prefix}suffix"), r"\."))
+    domain = F.when(F.col(f"{prefix}suffix") == "", F.col(f"{prefix}host")) \
+        .otherwise(F.get(labels, F.size(labels) - n_suffix - 1))
+    out = out.withColumn(f"{prefix}suffix", F.coalesce(suffix, F.lit("")))
+    return out.withColumn(f"{prefix}domain", F.coalesce(domain, F.lit(""))) \
+        .drop(*[f"_s{n}" for n in range(1, MAX_SUFFIX_LABELS + 1)])
 
 
 def registered_domain(prefix: str = "") -> Column:

@@ -16,7 +16,7 @@ from .. import constants as K
 from ..functions.text import join_page_texts, one_hot_labels, truncate
 from .enrich import has_some_url
 from .html import page_text, parse_pages
-from .ordered import BROADCAST_MAX_ROWS, broadcast_if_small, fits_broadcast, prefix_rank
+from .ordered import BROADCAST_MAX_BYTES, broadcast_if_small, fits_broadcast, prefix_rank
 
 
 def primary_code(branch_col: str = "branch_codes") -> Column:
@@ -54,18 +54,18 @@ def attach_companies(texts: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def unmatched_pages(pages: DataFrame, companies: DataFrame, html_col: str = "raw_html",
-                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Pages whose label is no company's organisation number (the
     error report: page columns without the HTML, which is not shuffled)."""
     keys = companies.select(F.col("org_nr").alias("label")).distinct()
-    if fits_broadcast(companies, max_broadcast_rows):
+    if fits_broadcast(companies, max_broadcast_bytes):
         keys = F.broadcast(keys)
     return pages.drop(html_col).join(keys, "label", "left_anti")
 
 
 def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
                    extract_meta: bool = True, extract_body: bool = True, p_only: bool = False,
-                   seq_col: str = "page_id", max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                   seq_col: str = "page_id", max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
                    mode: str = "reference") -> DataFrame:
     """Pages -> extracted rows in long form.
 
@@ -79,7 +79,7 @@ def extraction_job(pages: DataFrame, companies: DataFrame, run_ts: str,
     """
     comp = first_company_per_org_nr(companies)
     # the raw row count bounds the de-duplicated one, and needs no shuffle
-    small = fits_broadcast(companies, max_broadcast_rows)
+    small = fits_broadcast(companies, max_broadcast_bytes)
     if small:
         comp = F.broadcast(comp)
         pages = pages.join(comp.select(F.col("org_nr").alias("label")), "label", "left_semi")
@@ -157,7 +157,7 @@ def split_assignment(companies: DataFrame, extracted: DataFrame,
                          bounds_from=withurl.select("company_id"))
     quotas = broadcast_if_small(
         n.select("code", (F.col("n") * dev / 100).cast("long").alias("d"),
-                 (F.col("n") * test / 100).cast("long").alias("t")), 100_000)
+                 (F.col("n") * test / 100).cast("long").alias("t")))
     j = ranked.join(quotas, ranked["code"].eqNullSafe(quotas["code"]), "inner").drop(quotas["code"])
     first_dev = (F.col("r") == 1) if mode == "reference" else F.lit(False)
     split = (F.when(first_dev | (F.col("r") <= F.col("d")), "dev")
@@ -258,7 +258,7 @@ def split_by_rank(df: DataFrame, key: str, order: str, pct=K.SPLIT_PCT) -> DataF
         raise ValueError("The sum of the data split percentages must be 100.")
     ranked = prefix_rank(df, [key], order, rank_col="_r")
     n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    j = ranked.join(broadcast_if_small(n, 100_000), key)
+    j = ranked.join(broadcast_if_small(n), key)
     d = (F.col("_n") * dev / 100).cast("long")
     t = (F.col("_n") * test / 100).cast("long")
     split = (F.when((F.col("_r") == 1) | (F.col("_r") <= d), "dev")

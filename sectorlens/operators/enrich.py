@@ -104,7 +104,7 @@ def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOO
         kept = top_k_per_key(cur, ["code"], ["company_id"], limit, salt_on="company_id", salts=salts)
         # at most codes x limit rows: broadcast (checked) so the proposals
         # are not shuffled again in every round
-        kept_ids = broadcast_if_small(kept.select("company_id", F.lit(True).alias("_kept")), 1_000_000)
+        kept_ids = broadcast_if_small(kept.select("company_id", F.lit(True).alias("_kept")))
         nxt = (cur.join(kept_ids, "company_id", "left")
                .withColumn("idx", F.when(F.col("_kept"), F.col("idx")).otherwise(F.col("idx") + 1))
                .withColumn("_rejected", F.col("_kept").isNull())
@@ -119,10 +119,10 @@ def apply_lookup_results(companies: DataFrame, processed: DataFrame, hits: DataF
     """Processed companies get the first-hit url when it is non-empty and
     not blacklisted; otherwise they are removed. Others are unchanged."""
     # processed companies number at most codes x limit: broadcast (checked)
-    done = broadcast_if_small(processed.select("company_id").distinct(), 1_000_000)
+    done = broadcast_if_small(processed.select("company_id").distinct())
     found = (attach_first_hit(companies.join(done, "company_id", "left_semi"), hits)
              .select("company_id", "link"))
-    j = companies.join(broadcast_if_small(found, 1_000_000), "company_id", "left")
+    j = companies.join(broadcast_if_small(found), "company_id", "left")
     ok = (F.col("link") != "") & not_blacklisted("link")
     return (j.filter(F.col("link").isNull() | ok)
             .withColumn("url", F.when(F.col("link").isNotNull(), F.col("link")).otherwise(F.col("url")))
@@ -144,8 +144,10 @@ def company_by_url(urls: DataFrame, companies: DataFrame, url_col: str = "url")
     by_host = c.groupBy(F.col("c_host").alias("q_host")).agg(F.min("company_id").alias("company_id"))
     by_dom = c.groupBy(F.col("c_regdom").alias("q_regdom")).agg(F.min("company_id").alias("company_id"))
     first = u.join(by_host.filter("q_host != ''"), "q_host", "left")
-    hits = first.filter(F.col("company_id").isNotNull())
-    # only the misses take the second (registered-domain) join
-    misses = first.filter(F.col("company_id").isNull()).drop("company_id") \
-        .join(by_dom.filter("q_regdom != ''"), "q_regdom", "left")
-    return hits.unionByName(misses)
+    # one more join for the misses; hits get a key of their own that matches nothing
+    # (spread, so they do not meet in one task)
+    missing = F.col("company_id").isNull() & (F.col("q_regdom") != "")
+    key = F.when(missing, F.col("q_regdom")).otherwise(F.concat(F.lit("/"), F.xxhash64("q_host", url_col).cast("string")))
+    by_dom = by_dom.filter("q_regdom != ''").select(F.col("q_regdom").alias("_dom"), F.col("company_id").alias("_by_dom"))
+    return (first.withColumn("_key", key).join(by_dom, F.col("_key") == F.col("_dom"), "left")
+            .withColumn("company_id", F.coalesce("company_id", "_by_dom")).drop("_key", "_dom", "_by_dom"))

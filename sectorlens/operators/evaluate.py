@@ -29,7 +29,7 @@ def rank_labels(pred: DataFrame) -> DataFrame:
 def top_labels(pred: DataFrame, codes: DataFrame, n: int = 10) -> DataFrame:
     """W07 + J06: top ``n`` labels per document with the code description."""
     top = rank_labels(pred).filter(F.col("rank") <= n)
-    desc = broadcast_if_small(codes.select(F.col("sni_code").alias("label"), "description"), 100_000)
+    desc = broadcast_if_small(codes.select(F.col("sni_code").alias("label"), "description"))
     return top.join(desc, "label", "left")
 
 

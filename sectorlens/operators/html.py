@@ -17,7 +17,7 @@ from .. import constants as K
 from ..functions.text import clean_chars
 from . import htmlparse
 from .htmlparse import parse_html
-from .ordered import spread_if_coarse
+from .ordered import spread_small
 
 # The parse runs in Python workers, which may not have this package on their
 # path: ship the parser module by value inside the task closure.
@@ -30,7 +30,6 @@ NODE = T.StructType([
     T.StructField("in_a", T.BooleanType()),
     T.StructField("in_script", T.BooleanType()),
     T.StructField("in_cookie", T.BooleanType()),
-    T.StructField("p_ids", T.ArrayType(T.IntegerType())),
 ])
 META = T.StructType([
     T.StructField("name", T.StringType()),
@@ -56,11 +55,13 @@ PARSED = [
 
 
 ALL_PARTS = ("nodes", "anchors", "metas", "paras")
+#: paragraphs repeat nested text, so they are made only where asked for
+DEFAULT_PARTS = ("nodes", "anchors", "metas")
 
 
 def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "url",
                 keep: list[str] | None = None, with_links: bool = False,
-                parts: tuple[str, ...] = ALL_PARTS) -> DataFrame:
+                parts: tuple[str, ...] = DEFAULT_PARTS) -> DataFrame:
     """Parse raw HTML into node arrays; the HTML column is dropped.
 
     ``keep`` lists the columns carried through (default: all but the HTML).
@@ -74,16 +75,13 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
     cols = list(dict.fromkeys(keep + [html_col] + ([url_col] if url_col and url_col not in keep else [])))
     src = df.select(*cols)
-    # A coarse input (fewer partitions than cores, e.g. one small file) would
-    # parse on one core; spread it. Large inputs already have many splits and
-    # are parsed where they are read (raw HTML is not shuffled).
-    src = spread_if_coarse(src)
+    src = spread_small(src)
     out_schema = T.StructType([src.schema[c] for c in keep] + PARSED)
 
     def run(batches):
         for pdf in batches:
             urls = pdf[url_col] if url_col else [None] * len(pdf)
-            parsed = [parse_html(h, u, with_links) for h, u in zip(pdf[html_col], urls)]
+            parsed = [parse_html(h, u, with_links, "paras" in parts) for h, u in zip(pdf[html_col], urls)]
             res = pdf[keep].copy()
             for f in ("nodes", "anchors", "metas", "paras", "links", "ok"):
                 if f in parts or f in ("links", "ok"):
@@ -127,14 +125,18 @@ def paragraph_strings(paras: Column | str = "paras", filtered: bool = False) ->
     return F.transform(p, lambda q: q["text_all"])
 
 
-def meta_strings(metas: Column | str = "metas", filtered: bool = True) -> Column:
+def meta_strings(metas: Column | str = "metas", filtered: bool = True, subtrees_removed: bool = True) -> Column:
     """Meta contents keyed by ``name`` (else ``property``); filtered mode
-    keeps keys containing ``title`` or ``description``; missing content is ''."""
+    keeps keys containing ``title`` or ``description``; missing content is ''.
+    Metas below links and cookie divs go only if these subtrees were removed
+    (``subtrees_removed``), which happens when the body is extracted."""
     m = F.col(metas) if isinstance(metas, str) else metas
     key = lambda x: F.coalesce(x["name"], x["property"])
     if filtered:
-        sel = F.filter(m, lambda x: (key(x).contains("title") | key(x).contains("description"))
-                       & ~x["in_a"] & ~x["in_cookie"])
+        def wanted(x):
+            named = key(x).contains("title") | key(x).contains("description")
+            return named & ~x["in_a"] & ~x["in_cookie"] if subtrees_removed else named
+        sel = F.filter(m, wanted)
     else:
         sel = F.filter(m, lambda x: key(x).isNotNull())
     return F.transform(sel, lambda x: F.coalesce(x["content"], F.lit("")))
@@ -184,7 +186,7 @@ def page_text(filter_: bool = True, p_only: bool = False, extract_meta: bool = T
             body = F.array_distinct(drop_year_strings(body, year_mode))
         parts.append(_spaced(body))
     if extract_meta:
-        meta = meta_strings("metas", filtered=filter_)
+        meta = meta_strings("metas", filtered=filter_, subtrees_removed=extract_body or p_only)
         if filter_:
             meta = F.array_distinct(meta)
         parts.append(_spaced(meta))

@@ -15,6 +15,7 @@ emitted arrays, so one parse serves every extraction option.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse, urlunparse
 
@@ -40,16 +41,22 @@ class _Open:
 
 
 class PageParser(HTMLParser):
-    def __init__(self):
+    """Work is linear in the page: strings are stored once, and a paragraph is
+    the range of strings between its start and end."""
+
+    def __init__(self, with_paras: bool = True):
         super().__init__(convert_charrefs=True)
+        self.with_paras = with_paras
         self.stack: list[_Open] = []
+        self.n_open: Counter[str] = Counter()
         self.buf: list[str] = []
         self.nodes: list[dict] = []
         self.anchors: list[str] = []
         self.metas: list[dict] = []
-        self.paras: list[dict] = []      # p_id, removed, text_all pieces, text_kept pieces
+        self.paras: list[dict] = []      # p_id, removed, first and last string
+        self.strings: list[tuple[str, bool]] = []   # raw string, removed
         self.base_href: str | None = None
-        self.closed_void: list[str] = []
+        self.closed_void: Counter[str] = Counter()
 
     # -- state of the innermost open element --------------------------------
     def _top(self):
@@ -77,20 +84,14 @@ class PageParser(HTMLParser):
         self._emit(kind, text, a, script, cookie)
 
     def _emit(self, kind, text, a, script, cookie):
-        p_ids = [o.p_id for o in self.stack if o.p_id is not None]
         # Nodes carry the stripped string (empty ones are never body text);
         # paragraphs below keep the raw strings they are made of.
         stripped = text.strip()
         if stripped:
             self.nodes.append({"seq": len(self.nodes), "kind": kind, "text": stripped,
-                               "in_a": a, "in_script": script, "in_cookie": cookie,
-                               "p_ids": p_ids})
-        removed = a or script or cookie
-        for pid in p_ids:
-            para = self.paras[pid]
-            para["all"].append(text)
-            if not removed:
-                para["kept"].append(text)
+                               "in_a": a, "in_script": script, "in_cookie": cookie})
+        if self.with_paras:
+            self.strings.append((text, a or script or cookie))
 
     def handle_data(self, data):
         self.buf.append(data)
@@ -137,18 +138,19 @@ class PageParser(HTMLParser):
         elif tag == "base" and self.base_href is None and attr.get("href"):
             self.base_href = attr["href"]
         p_id = None
-        if tag == "p":
+        if tag == "p" and self.with_paras:
             p_id = len(self.paras)
             self.paras.append({"p_id": p_id, "removed": a or script or cookie,
-                               "all": [], "kept": []})
+                               "from": len(self.strings), "to": None})
         if tag in STRING_CONTAINERS:
             container = tag
         if tag in PRESERVE_WS:
             pre = True
         self.stack.append(_Open(tag, a, script, cookie, p_id, container, pre))
+        self.n_open[tag] += 1
         if tag in VOID_ELEMENTS and not self_closing:
             self._pop_to(tag)
-            self.closed_void.append(tag)
+            self.closed_void[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs, self_closing=True)
@@ -157,15 +159,20 @@ class PageParser(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if tag in self.closed_void:
-            self.closed_void.remove(tag)
+        if self.closed_void[tag]:
+            self.closed_void[tag] -= 1
             return
         self._pop_to(tag)
 
     def _pop_to(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].name == tag:
-                del self.stack[i:]
+        if not self.n_open[tag]:
+            return
+        while True:
+            gone = self.stack.pop()
+            self.n_open[gone.name] -= 1
+            if gone.p_id is not None:
+                self.paras[gone.p_id]["to"] = len(self.strings)
+            if gone.name == tag:
                 return
 
     def finish(self):
@@ -200,19 +207,23 @@ def _absolute_links(anchors: list[str], page_url: str | None, base_href: str | N
     return out
 
 
-def parse_html(html: str | None, page_url: str | None = None, with_links: bool = True) -> dict:
+def parse_html(html: str | None, page_url: str | None = None, with_links: bool = True,
+               with_paras: bool = False) -> dict:
     if not isinstance(html, str):
         return {"nodes": None, "anchors": None, "metas": None, "paras": None,
                 "links": None, "ok": False}
-    p = PageParser()
+    p = PageParser(with_paras)
     try:
         p.feed(html)
         p.finish()
     except Exception:  # malformed beyond the tokenizer's tolerance
         return {"nodes": None, "anchors": None, "metas": None, "paras": None,
                 "links": None, "ok": False}
-    paras = [{"p_id": q["p_id"], "removed": q["removed"],
-              "text_all": "".join(q["all"]), "text_kept": "".join(q["kept"])} for q in p.paras]
+    paras = None
+    if with_paras:
+        spans = [(q, p.strings[q["from"]:q["to"]]) for q in p.paras]
+        paras = [{"p_id": q["p_id"], "removed": q["removed"], "text_all": "".join(t for t, _ in s),
+                  "text_kept": "".join(t for t, gone in s if not gone)} for q, s in spans]
     links = _absolute_links(p.anchors, page_url, p.base_href) if with_links else None
     return {"nodes": p.nodes, "anchors": p.anchors, "metas": p.metas, "paras": paras,
             "links": links, "ok": True}

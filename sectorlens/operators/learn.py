@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .ordered import spread_if_coarse
+from .ordered import spread_small
 
 NUM_FEATURES = 262144          # 2^18 hash buckets
 TOKEN_PATTERN = r"(?U)\w+"
@@ -29,7 +29,7 @@ def tokenizer(input_col: str = "text", output_col: str = "tokens") -> RegexToken
 
 
 def tokenize(df: DataFrame, text_col: str = "text") -> DataFrame:
-    return tokenizer(text_col).transform(spread_if_coarse(df)).withColumn("n_tokens", F.size("tokens").cast("long"))
+    return tokenizer(text_col).transform(spread_small(df)).withColumn("n_tokens", F.size("tokens").cast("long"))
 
 
 def bow_stages(ngram: int = 1, num_features: int = NUM_FEATURES, tokens: str = "tokens",
@@ -77,7 +77,7 @@ def score(model: PipelineModel, docs: DataFrame, keep: list[str] | None = None)
     """Every document -> ``scores`` map {code: probability}."""
     keep = keep or [c for c in docs.columns if c != "text"]
     labels = F.array(*[F.lit(x) for x in labels_of(model)])
-    out = model.transform(spread_if_coarse(docs))
+    out = model.transform(spread_small(docs))
     if "p_bow" in out.columns:      # ensemble: mean of the two probability vectors
         probs = F.zip_with(vector_to_array("p_bow"), vector_to_array("p_vec"), lambda a, b: (a + b) / 2)
     else:

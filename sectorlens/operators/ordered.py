@@ -17,15 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 
-def quantile_bucket(df: DataFrame, order: str, n_buckets: int, rel_err: float = 0.001) -> Column:
+def quantile_bucket(df: DataFrame, order: str, n_buckets: int) -> Column:
     """Bucket index (0..n) of ``order`` against approximate global quantiles.
 
     Computing the bounds is one pass over a single column; the bounds
     (at most ``n_buckets - 1`` numbers) are the only data brought to the
-    driver.
+    driver; their error is a fraction of a bucket, however many there are.
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted({float(b) for b in df.approxQuantile(order, probs, rel_err)}) if probs else []
+    bounds = sorted({float(b) for b in df.approxQuantile(order, probs, min(0.001, 0.25 / n_buckets))}) if probs else []
     if not bounds:
         return F.lit(0)
     v = F.col(order).cast("double")
@@ -85,35 +85,37 @@ def prefix_rank(df: DataFrame, keys: list[str], order: str, value: Column | str
     )
 
 
-def spread_if_coarse(df: DataFrame) -> DataFrame:
-    """Spread a coarse input (fewer partitions than cores, e.g. one small
-    file) over the cores before heavy per-row work. Inputs read from many
-    files already have many partitions and are left where they are (no
-    shuffle at scale)."""
-    if df.isStreaming:       # micro-batches are split by the source itself
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Largest dimension, in bytes as the planner knows them, that is ever broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
+
 
+def planned_bytes(df: DataFrame) -> int:
+    """Size of ``df`` by the planner's statistics: file sizes at a scan, an
+    upper bound (often a loose one) after joins. No job is started."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-# Largest dimension (in rows) ever broadcast; beyond it a shuffle join is used.
-BROADCAST_MAX_ROWS = 1_000_000
+
+def spread_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Deal an input of few bytes (one small file is one partition) over the
+    cores before heavy per-row work. An input above ``max_bytes`` is worked on
+    where it is read: its pages or texts are never shuffled for this."""
+    if df.isStreaming or planned_bytes(df) > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows to decide)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_bytes`` by the planner's statistics."""
+    return planned_bytes(df) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when the planned size is within ``max_bytes``.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    frame is returned as is and the planner (with AQE's run-time size
-    statistics) picks a shuffle join.
+    Otherwise ``df`` is returned as is, and adaptive execution decides from
+    the sizes it meets at run time.
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def top_k_per_key(df: DataFrame, keys: list[str], order: list, k: int, salt_on: str,

@@ -159,7 +159,7 @@ class RegistryQuery:
         out = self.df.filter(self.predicate())
         for i, (col, codes, code_col) in enumerate(self.semis):
             key = f"_k{i}"
-            small = broadcast_if_small(codes.select(F.col(code_col).alias(key)).distinct(), 100_000)
+            small = broadcast_if_small(codes.select(F.col(code_col).alias(key)).distinct())
             out = out.withColumn(key, col).join(small, key, "left_semi").drop(key)
         return out
 
@@ -219,7 +219,7 @@ def variable_catalog(all_vars: DataFrame, owned: DataFrame) -> DataFrame:
     ``owned`` flag. ``all_vars``: (variable, operators); ``owned``: (variable)."""
     m = F.create_map(*[x for k, v in OPERATOR_METHODS.items() for x in (F.lit(k), F.lit(v))])
     o = owned.select("variable").distinct().withColumn("_owned", F.lit(True))
-    return (all_vars.join(broadcast_if_small(o, 100_000), "variable", "left")
+    return (all_vars.join(broadcast_if_small(o), "variable", "left")
             .select("variable",
                     F.transform("operators", lambda op: m[op]).alias("methods"),
                     F.coalesce("_owned", F.lit(False)).alias("owned")))
@@ -236,7 +236,7 @@ def legal_forms_from_categories(tables: DataFrame, include: DataFrame, col: str
     cats = tables.select(F.explode(F.col(col)).alias("t")).filter(F.col("t.Id_Kategori_JE") == "Juridisk form")
     vals = cats.select(F.explode("t.VardeLista").alias("v")).select(
         F.col("v.Varde").alias("code"), F.col("v.Text").alias("description"))
-    inc = broadcast_if_small(include.select(F.col(include.columns[0]).alias("code")), 100_000)
+    inc = broadcast_if_small(include.select(F.col(include.columns[0]).alias("code")))
     return vals.join(inc, "code", "left_semi")
 
 
@@ -250,9 +250,9 @@ def exclude_codes(all_codes: DataFrame, codes) -> DataFrame:
 def restrict_companies(companies: DataFrame, sni_code: str, municipality: str,
                        legal_forms: DataFrame, branch_col: str = "branch_codes",
                        form_col: str = "legal_form") -> DataFrame:
-    """Companies of one code in one municipality with an included legal form."""
-    forms = broadcast_if_small(legal_forms.select(F.col(legal_forms.columns[0]).alias(form_col)).distinct(),
-                               100_000)
-    return (companies.filter((F.get(F.col(branch_col), 0) == sni_code)
+    """Active, registered companies (F10) of one code in one municipality
+    with an included legal form."""
+    forms = broadcast_if_small(legal_forms.select(F.col(legal_forms.columns[0]).alias(form_col)).distinct())
+    return (companies.filter(base_filter() & (F.get(F.col(branch_col), 0) == sni_code)
                              & (F.col("municipality_code") == municipality))
             .join(forms, form_col, "left_semi"))

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from .ordered import broadcast_if_small
+from .registry import base_filter
 
 
 def counts_by_code_and_municipality(companies: DataFrame, legal_forms: DataFrame | None = None,
                                     form_col: str = "legal_form") -> DataFrame:
-    """Companies per (primary code, seat municipality), restricted to
-    included legal forms; computed once for all groups."""
-    c = companies
+    """Active, registered companies (F10) per (primary code, seat
+    municipality), restricted to included legal forms; computed once for all
+    groups."""
+    c = companies.filter(base_filter())
     if legal_forms is not None:
-        forms = broadcast_if_small(legal_forms.select(F.col(legal_forms.columns[0]).alias(form_col)).distinct(),
-                                   100_000)
+        forms = broadcast_if_small(legal_forms.select(F.col(legal_forms.columns[0]).alias(form_col)).distinct())
         c = c.join(forms, form_col, "left_semi")
     return (c.groupBy(F.get(F.col("branch_codes"), 0).alias("sni_code"), "municipality_code")
             .agg(F.count(F.lit(1)).alias("cnt")))
@@ -59,10 +60,10 @@ def budgeted_selection(counts: DataFrame, limit: int = K.FETCH_LIMIT, seed: int
 
 
 def sampled_companies(companies: DataFrame, selection: DataFrame) -> DataFrame:
-    """W05 output rows: companies of the taken (code, municipality) pairs."""
+    """W05 output rows: active, registered companies (F10) of the taken (code, municipality) pairs."""
     # at most codes x municipalities rows: broadcast behind the check
-    sel = broadcast_if_small(selection.select("sni_code", "municipality_code"), 1_000_000)
-    return (companies.withColumn("sni_code", F.get(F.col("branch_codes"), 0))
+    sel = broadcast_if_small(selection.select("sni_code", "municipality_code"))
+    return (companies.filter(base_filter()).withColumn("sni_code", F.get(F.col("branch_codes"), 0))
             .join(sel, ["sni_code", "municipality_code"], "left_semi"))
 
 

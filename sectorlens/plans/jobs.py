@@ -115,7 +115,7 @@ def evaluate_job(spark: SparkSession, dataset_path: str, model_path: str, top_n:
     per, tot = V.evaluate(docs, pred, top_n, min_chars, mode)
     prf, prf_tot = V.multilabel_scores(pred)
     auc, macro = V.label_auc(pred)
-    return V.label_report(per, mode), V.total_report(tot), prf_tot, macro
+    return V.label_report(per, mode), V.total_report(tot, mode), prf_tot, macro
 
 
 def predict_job(spark: SparkSession, pages: DataFrame, model_path: str, codes: DataFrame,

@@ -152,7 +152,8 @@ def a04(spark, sf):
 
 
 A05_SQL = """SELECT branch_codes[1] AS sni_code, municipality_code, count(*) AS cnt FROM v_companies
-WHERE legal_form IN (SELECT DISTINCT legal_form FROM v_companies WHERE legal_form IN ('49', '31', '51'))
+WHERE company_status = '1' AND registration_status = '1'
+  AND legal_form IN (SELECT DISTINCT legal_form FROM v_companies WHERE legal_form IN ('49', '31', '51'))
 GROUP BY branch_codes[1], municipality_code"""
 
 
@@ -186,7 +187,7 @@ def w05(spark, sf):
 
 
 @query("w05_sampled_companies",
-       "SELECT company_id, org_nr FROM v_companies c JOIN sel s ON s.sni_code = c.branch_codes[1] AND s.municipality_code = c.municipality_code",
+       "SELECT company_id, org_nr FROM v_companies c JOIN sel s ON s.sni_code = c.branch_codes[1] AND s.municipality_code = c.municipality_code WHERE c.company_status = '1' AND c.registration_status = '1'",
        extra={"cnts": A05_SQL, "sel": W05_SQL})
 def w05c(spark, sf):
     sel = S.budgeted_selection(_a05(spark, sf), limit=50, seed=None)

@@ -89,25 +89,25 @@ ON p.page_id = b.page_id"""
 @query("h01_parse_pages",
        """SELECT page_id, true AS ok, len(regexp_extract_all(html, '<a\\s[^>]*href="', 0)) AS n_anchors FROM pages""")
 def h01(spark, sf):
-    p = H.parse_pages(_pages(spark, sf), "html", "url", keep=["page_id"])
+    p = H.parse_pages(_pages(spark, sf), "html", "url", keep=["page_id"], parts=("anchors",))
     return p.select("page_id", "ok", F.size("anchors").cast("long").alias("n_anchors"))
 
 
 @query("h02_body_strings", STRINGS_SQL, extra={"body": body_cte(False)})
 def h02(spark, sf):
-    p = H.parse_pages(_pages(spark, sf), keep=["page_id"])
+    p = H.parse_pages(_pages(spark, sf), keep=["page_id"], parts=("nodes",))
     return _strings_out(p, H.body_strings("nodes"))
 
 
 @query("h03_drop_links", STRINGS_SQL, extra={"body": body_cte(True)})
 def h03(spark, sf):
-    p = H.parse_pages(_pages(spark, sf), keep=["page_id"])
+    p = H.parse_pages(_pages(spark, sf), keep=["page_id"], parts=("nodes",))
     return _strings_out(p, H.body_strings("nodes", drop_links=True))
 
 
 @query("h05_drop_scripts", STRINGS_SQL, extra={"body": body_cte(False)})
 def h05(spark, sf):
-    p = H.parse_pages(_pages(spark, sf), keep=["page_id"])
+    p = H.parse_pages(_pages(spark, sf), keep=["page_id"], parts=("nodes",))
     return _strings_out(p, H.body_strings("nodes", drop_scripts=True))
 
 
@@ -133,7 +133,7 @@ def _cookie_pages(spark, sf):
               ELSE concat(source, chr(1), lang, chr(1), CAST(n_chars AS VARCHAR)) END AS strings
 FROM (SELECT doc_id AS page_id, source, lang, n_chars FROM documents)""")
 def h04(spark, sf):
-    p = H.parse_pages(_cookie_pages(spark, sf), url_col=None, keep=["page_id"])
+    p = H.parse_pages(_cookie_pages(spark, sf), url_col=None, keep=["page_id"], parts=("nodes",))
     return p.select("page_id", F.array_join(H.body_strings("nodes", drop_cookies=True), SEP).alias("strings"))
 
 
@@ -147,7 +147,7 @@ def h06(spark, sf):
     html = F.concat(F.lit("<p>"), F.col("lang"), F.lit("<p>"), F.col("source"), F.lit(" </p></p><p>"),
                     F.col("n_chars").cast("string"), F.lit("</p>"))
     p = H.parse_pages(d.select(F.col("doc_id").alias("page_id"), html.alias("html")), url_col=None,
-                      keep=["page_id"])
+                      keep=["page_id"], parts=("paras",))
     return p.select("page_id", F.array_join(H.paragraph_strings("paras"), SEP).alias("paragraphs"))
 
 
@@ -162,11 +162,24 @@ def h07(spark, sf):
                     F.lit('"><meta name="keywords" content="'), F.col("lang"),
                     F.lit('"><meta name="description"><meta charset="utf-8">'))
     p = H.parse_pages(d.select(F.col("doc_id").alias("page_id"), html.alias("html")), url_col=None,
-                      keep=["page_id"])
+                      keep=["page_id"], parts=("metas",))
     return p.select("page_id", F.array_join(H.meta_strings("metas", True), SEP).alias("meta_filtered"),
                     F.array_join(H.meta_strings("metas", False), SEP).alias("meta_all"))
 
 
+# H07 / H09 with the body left out: metas below links and cookie divs stay; with it they go.
+@query("h09_meta_only",
+       """SELECT doc_id AS page_id, md5(concat(source, ' ', lang, ' ')) AS meta_md5, md5(concat('kx ', source, ' ')) AS both_md5
+FROM documents""")
+def h09m(spark, sf):
+    d = table(spark, sf, "documents")
+    html = F.concat(F.lit('kx<meta name="title" content="'), F.col("source"), F.lit('"><a href="/x">link<meta name="description" content="'),
+                    F.col("lang"), F.lit('"></a>'))
+    p = H.parse_pages(d.select(F.col("doc_id").alias("page_id"), html.alias("html")), url_col=None, keep=["page_id"],
+                      parts=("nodes", "metas"))
+    return p.select("page_id", F.md5(H.page_text(extract_body=False)).alias("meta_md5"), F.md5(H.page_text()).alias("both_md5"))
+
+
 # Sentences of every document, some prefixed with a year.
 def _year_lists(spark, sf):
     d = table(spark, sf, "documents")
@@ -207,7 +220,7 @@ def e10(spark, sf):
 
 @query("h09_page_text", PAGE_TEXT_SQL, extra={"body": body_cte(True), "kept": YEAR_DEDUP_CTE})
 def h09(spark, sf):
-    p = H.parse_pages(_pages(spark, sf), keep=["page_id"]).filter("ok")
+    p = H.parse_pages(_pages(spark, sf), keep=["page_id"], parts=("nodes", "metas")).filter("ok")
     t = T.truncate(H.page_text(filter_=True, p_only=False, extract_meta=True, extract_body=True))
     return p.select("page_id", t.alias("t")).select("page_id", F.length("t").cast("long").alias("n_chars"),
                                                    F.md5("t").alias("text_md5"))
@@ -219,7 +232,7 @@ def h09(spark, sf):
   FROM pages p LEFT JOIN (SELECT page_id, string_agg(s || ' ', '' ORDER BY i) AS raw FROM body GROUP BY page_id) b
   ON p.page_id = b.page_id) p""", extra={"body": body_cte(False)})
 def h09u(spark, sf):
-    p = H.parse_pages(_pages(spark, sf), keep=["page_id"]).filter("ok")
+    p = H.parse_pages(_pages(spark, sf), keep=["page_id"], parts=("nodes", "metas")).filter("ok")
     t = H.page_text(filter_=False, extract_meta=True, extract_body=True)
     return p.select("page_id", t.alias("t")).select("page_id", F.length("t").cast("long").alias("n_chars"),
                                                    F.md5("t").alias("text_md5"))
@@ -282,14 +295,14 @@ def e08(spark, sf):
        """SELECT page_id, concat('0', CAST(page_id % 10 AS VARCHAR), '1234', '5', CAST(page_id % 3 AS VARCHAR)) AS phones
 FROM v_hrefs""")
 def h11(spark, sf):
-    p = H.parse_pages(fx.v_hrefs(spark, sf), url_col=None, keep=["page_id"])
+    p = H.parse_pages(fx.v_hrefs(spark, sf), url_col=None, keep=["page_id"], parts=("anchors",))
     return p.select("page_id", F.array_join(H.phone_numbers("anchors"), ",").alias("phones"))
 
 
 @query("h12_email_addresses",
        """SELECT page_id, concat('u', CAST(page_id % 50 AS VARCHAR), '@example.org') AS emails FROM v_hrefs""")
 def h12(spark, sf):
-    p = H.parse_pages(fx.v_hrefs(spark, sf), url_col=None, keep=["page_id"])
+    p = H.parse_pages(fx.v_hrefs(spark, sf), url_col=None, keep=["page_id"], parts=("anchors",))
     return p.select("page_id", F.array_join(H.email_addresses("anchors"), ",").alias("emails"))
 
 
@@ -313,7 +326,7 @@ def _linked_pages(spark, sf):
        ',http://www.c', CAST(page_id AS VARCHAR), '.example.com/om/oss',
        ',http://www.c', CAST(page_id AS VARCHAR), '.example.com/en/about') AS links FROM v_hrefs""")
 def h13(spark, sf):
-    p = H.parse_pages(_linked_pages(spark, sf), keep=["page_id"], with_links=True)
+    p = H.parse_pages(_linked_pages(spark, sf), keep=["page_id"], with_links=True, parts=())
     return p.select("page_id", F.array_join("links", ",").alias("links"))
 
 

@@ -103,6 +103,17 @@ def s06d(spark, sf):
     return spark.read.parquet(path).select("company_id", "split")
 
 
+@query("s06_split_table_delete_all", "SELECT company_id, split FROM splits WHERE split = 'dev'", extra=_pipe("splits"))
+def s06a(spark, sf):
+    """Everything is deleted, then one split is inserted again."""
+    path = _scratch(spark, "s06a")
+    s = D.split_assignment(fx.v_companies(spark, sf), extracted(spark, sf)).select("company_id", "split")
+    s.write.partitionBy("split").parquet(path)
+    S.delete_all_splits(s, path)
+    S.insert_split(s.filter("split = 'dev'").drop("split"), path, "dev")
+    return spark.read.parquet(path).select("company_id", "split")
+
+
 @query("s07_write_corpora",
        "SELECT company_id, split, n_chars FROM corpus", extra=_pipe("corpus"))
 def s07(spark, sf):
@@ -134,3 +145,18 @@ def x01(spark, sf):
     _dump_pages(spark, sf, src, F.col("page_id") % 2 == 1)
     ingest_new_pages(spark, src, out, ck, run_id=2)
     return spark.read.parquet(out).select("label", "url", "run_id")
+
+
+@query("x01_repeated_and_null",
+       """SELECT label, url, CASE WHEN page_id % 2 = 0 THEN 1 ELSE 2 END AS run_id FROM (
+  SELECT CASE WHEN page_id % 5 = 0 THEN NULL ELSE label END AS label, url, page_id FROM v_scraped) s
+WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id % 2, label NULLS LAST) = 1""")
+def x01_repeated(spark, sf):
+    """Every record twice in its file, a fifth of the labels missing, the first run's pages in the second run again."""
+    src, out, ck = _scratch(spark, "x01r-in"), _scratch(spark, "x01r-out"), _scratch(spark, "x01r-ck")
+    p = fx.v_scraped(spark, sf).withColumn("label", F.when(F.col("page_id") % 5 != 0, F.col("label")))
+    for run_id, cond in ((1, F.col("page_id") % 2 == 0), (2, F.lit(True))):
+        d = p.filter(cond).select("label", "url", "raw_html")
+        d.unionByName(d).coalesce(1).sortWithinPartitions("url").write.mode("append").json(src)
+        ingest_new_pages(spark, src, out, ck, run_id=run_id)
+    return spark.read.parquet(out).select("label", "url", "run_id")

@@ -230,7 +230,7 @@ def o01(spark, sf):
 
 @query("j07_code_municipality_forms",
        """SELECT company_id, org_nr FROM v_companies WHERE branch_codes[1] = '10112' AND municipality_code = '0005'
-AND legal_form IN (SELECT DISTINCT legal_form FROM v_companies WHERE legal_form IN ('49', '31'))""")
+AND company_status = '1' AND registration_status = '1' AND legal_form IN (SELECT DISTINCT legal_form FROM v_companies WHERE legal_form IN ('49', '31'))""")
 def j07(spark, sf):
     c = fx.v_companies(spark, sf)
     forms = c.select("legal_form").filter(F.col("legal_form").isin("49", "31")).distinct()
@@ -297,3 +297,28 @@ _HOST_SQL = "lower(regexp_extract(url, '^(?:[^:/?#]+:)?//(?:[^@/?#]*@)?([^:/?#]*
 def e19(spark, sf):
     p = U.with_registered_domain(table(spark, sf, "pages"), "url")
     return p.select("page_id", "host", "domain", "suffix")
+
+
+# Url forms built from each page: unlisted suffix, two-label suffix, listed only in a given table, IP, no scheme, one label.
+_FORMS = ["concat('http://www.a', {i}, '.mx/x')", "concat('https://shop.b', {i}, '.co.uk?q=1')", "concat('http://u@c', {i}, '.com.mx:8080/')",
+          "concat('http://10.0.0.', {i}, '/om')", "concat('www.d', {i}, '.se/om?u=http://x.de/')", "concat('HTTP://Host', {i}, '#top')",
+          "concat('//e', {i}, '.example.tv')"]
+
+
+def _forms(i: str) -> str:
+    return " ".join(f"WHEN {k} THEN " + f.format(i=i) for k, f in enumerate(_FORMS))
+
+
+@query("e19_url_forms",
+       f"""SELECT page_id, host, regdom FROM (SELECT page_id, lower(h) AS host, CASE page_id % 7
+  WHEN 0 THEN concat('a', i, '.mx') WHEN 1 THEN concat('b', i, '.co.uk') WHEN 2 THEN concat('c', i, '.com.mx') WHEN 3 THEN lower(h)
+  WHEN 4 THEN concat('d', i, '.se') WHEN 5 THEN lower(h) ELSE 'example.tv' END AS regdom
+FROM (SELECT page_id, i, regexp_extract(regexp_replace(regexp_replace(url, '^([A-Za-z]+:)?//', ''), '^u@', ''), '^[^:/?#]*') AS h
+  FROM (SELECT page_id, i, CASE page_id % 7 {_forms('i')} END AS url
+    FROM (SELECT page_id, CAST(page_id % 200 AS VARCHAR) AS i FROM pages) a) b) c) d""")
+def e19_forms(spark, sf):
+    """Registered domains by a suffix table and the default rule (last label)."""
+    p = table(spark, sf, "pages").select("page_id", (F.col("page_id") % 200).cast("string").alias("i"))
+    p = p.select("page_id", F.expr(f"CASE page_id % 7 {_forms('i')} END").alias("url"))
+    listed = spark.createDataFrame([("co.uk",), ("com.mx",), ("se",), ("mx",)], "suffix string")
+    return U.with_registered_domain(p, "url", suffixes=listed).select("page_id", "host", U.registered_domain().alias("regdom"))

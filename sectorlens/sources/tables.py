@@ -55,17 +55,18 @@ def read_code_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("sni_code")).filter("sni_code != ''")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system; read faults are raised, not taken for an absent table."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def init_if_empty(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
     """Write ``df`` only if the table at ``path`` is missing or empty."""
     spark = df.sparkSession
-    try:
-        existing = spark.read.format(fmt).load(path)
-        if not existing.isEmpty():
-            return False
-        mode = "append"
-    except Exception:  # missing path
-        mode = "ignore"
-    df.write.mode(mode).format(fmt).save(path)
+    if path_exists(spark, path) and not spark.read.schema(df.schema).format(fmt).load(path).isEmpty():
+        return False
+    df.write.mode("append").format(fmt).save(path)
     return True
 
 
@@ -103,7 +104,9 @@ def delete_split(spark: SparkSession, path: str, split: str) -> None:
 
 
 def delete_all_splits(df_schema_source: DataFrame, path: str) -> None:
-    df_schema_source.limit(0).write.mode("overwrite").partitionBy("split").parquet(path)
+    """Empty the table whatever partition-overwrite mode the session has."""
+    df_schema_source.limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy("split").parquet(path)
 
 
 def write_corpora(corpus: DataFrame, path: str) -> None:

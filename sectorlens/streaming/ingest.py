@@ -11,48 +11,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from .. import schemas
 from ..operators.ordered import broadcast_if_small
+from ..sources.tables import path_exists
+
+
+_ROW = ("url", "label", "source_file", "html_key")
 
 
 def _stored_urls(spark: SparkSession, out_path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(out_path).select("url").distinct()
-    except Exception:  # nothing stored yet
+    if not path_exists(spark, out_path):
         return spark.createDataFrame([], "url string")
+    return spark.read.parquet(out_path).select("url").distinct()
+
+
+def _same_row(a: DataFrame, b: DataFrame):
+    cond = a["url"] == b["url"]
+    for c in _ROW[1:]:
+        cond = cond & a[c].eqNullSafe(b[c])
+    return cond
 
 
 def ingest_new_pages(spark: SparkSession, in_dir: str, out_path: str, checkpoint: str,
-                     transform=None, run_id: int = 0, max_files_per_batch: int = 10_000,
-                     max_broadcast_keys: int = 5_000_000) -> None:
+                     transform=None, run_id: int = 0, max_files_per_batch: int = 10_000) -> None:
     """Process every page file not processed before, then stop
     (``availableNow``). ``transform`` maps a batch of new pages
     ``(label, url, raw_html)`` to the rows to append (default: as is).
 
-    Per micro-batch (bounded by ``max_files_per_batch``) the choice of one
-    page per url and the check against stored urls run on the keys
-    ``(url, label, file)`` only; the bounded key set is broadcast (checked)
-    into the scan of the store and into the semi-join that selects the
-    pages, so neither page bodies nor the store are shuffled.
+    Per micro-batch (bounded by ``max_files_per_batch``) one page per url is
+    chosen on keys alone: url, label, file and a digest of the page, compared
+    null-safe, smallest first (no label last). Urls already stored are dropped
+    from the keys, which are kept on disk for the batch; the pages follow by a
+    semi-join. Only records repeated within a file are de-duplicated as rows.
+    A page without a url cannot be known again and is left out.
     """
     stream = (spark.readStream.schema(schemas.SCRAPED_PAGE_JSON)
               .option("maxFilesPerTrigger", max_files_per_batch).json(in_dir)
               .withColumn("source_file", F.col("_metadata.file_path")))
 
     def batch(df: DataFrame, epoch: int) -> None:
-        keys = (df.select("url", "label", "source_file")
-                .groupBy("url").agg(F.min(F.struct("label", "source_file")).alias("k"))
-                .select("url", F.col("k.label").alias("label"), F.col("k.source_file").alias("source_file")))
-        # The store grows without bound, the batch keys do not: find the
-        # stored ones among them with a broadcast semi-join (the store is
-        # scanned, not shuffled), then drop them from the bounded key set.
-        keys_b = broadcast_if_small(keys, max_broadcast_keys)
-        seen = _stored_urls(df.sparkSession, out_path).join(keys_b.select("url"), "url", "left_semi")
-        chosen = broadcast_if_small(keys.join(seen, "url", "left_anti"), max_broadcast_keys)
-        new = df.join(chosen, ["url", "label", "source_file"], "left_semi").select("label", "url", "raw_html")
+        df = df.filter("url is not null").withColumn("html_key", F.md5("raw_html"))
+        first = F.min(F.struct(F.col("label").isNull().alias("unlabelled"), *_ROW[1:], "n")).alias("k")
+        keys = (df.groupBy(*_ROW).agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("url").agg(first).select("url", *[F.col(f"k.{c}").alias(c) for c in (*_ROW[1:], "n")])
+                .persist(StorageLevel.DISK_ONLY))
+        seen = _stored_urls(df.sparkSession, out_path).join(broadcast_if_small(keys.select("url")), "url", "left_semi")
+        fresh = keys.join(seen, "url", "left_anti")
+        once, often = fresh.filter("n = 1"), fresh.filter("n > 1")
+        new = (df.join(once, _same_row(df, once), "left_semi")
+               .unionByName(df.join(often, _same_row(df, often), "left_semi").dropDuplicates(["url"]))
+               .select("label", "url", "raw_html"))
         rows = transform(new) if transform else new
         rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(out_path)
+        keys.unpersist()
 
     q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -24,7 +24,7 @@ def test_char_filters_clean_mode(spark):
 
 def _parse(spark, html, url=None):
     df = spark.createDataFrame([(1, html, url)], "id int, html string, url string")
-    return H.parse_pages(df, keep=["id"])
+    return H.parse_pages(df, keep=["id"], parts=H.ALL_PARTS)
 
 
 def test_links_and_scripts_dropped(spark):
@@ -77,10 +77,12 @@ def test_url_path(spark):
 
 
 def test_registered_domain(spark):
-    df = spark.createDataFrame([("https://shop.Example.co.uk/x",), ("http://a.se",), ("nohost",)], "url string")
+    df = spark.createDataFrame([("https://shop.Example.co.uk/x",), ("http://a.se",), ("nohost",), ("www.foo.se/om",), ("http://10.0.0.1/x",), ("http://beta.mx",)],
+                               "url string")
     rows = with_registered_domain(df, "url").select("host", "domain", "suffix").collect()
     assert [tuple(r) for r in rows] == [("shop.example.co.uk", "example", "co.uk"), ("a.se", "a", "se"),
-                                        ("", "", "")]
+                                        ("nohost", "nohost", ""), ("www.foo.se", "foo", "se"), ("10.0.0.1", "10.0.0.1", ""),
+                                        ("beta.mx", "beta", "mx")]
 
 
 def test_page_text_composition(spark):
@@ -90,3 +92,14 @@ def test_page_text_composition(spark):
     t = p.select(H.page_text(filter_=True).alias("t")).first()["t"]
     # strings: T, 2019 old (dropped), kept after year (skipped test), x, x (dedup) ; meta D
     assert t == "T kept after year x D "
+
+
+def test_unclosed_paragraphs_parse_in_linear_time():
+    import time
+    from sectorlens.operators.htmlparse import parse_html
+    html = "<b>" + "<p>some words of text" * 20_000 + "</i>" * 20_000
+    began = time.time()
+    r = parse_html(html)
+    assert time.time() - began < 3 and len(r["nodes"]) == 20_000 and r["paras"] is None
+    small = parse_html("<p>a<p>b<a>c</a></p>d", with_paras=True)["paras"]
+    assert [(q["text_all"], q["text_kept"]) for q in small] == [("abcd", "abd"), ("bc", "b")]

@@ -14,7 +14,7 @@ def _rows(df):
 def test_extraction_job_shuffle_path(spark):
     pages, comp = fx.v_scraped(spark, SF_SMALL), fx.v_companies(spark, SF_SMALL)
     small = extraction_job(pages, comp, "2024-03-01 00:00:00")
-    big = extraction_job(pages, comp, "2024-03-01 00:00:00", max_broadcast_rows=0)
+    big = extraction_job(pages, comp, "2024-03-01 00:00:00", max_broadcast_bytes=0)
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin LeftSemi" not in plan      # no pre-parse broadcast filter
     assert _rows(small) == _rows(big)
