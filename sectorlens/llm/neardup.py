@@ -135,7 +135,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     near = 100 * both >= percent * (F.size("x") + F.size("y") - both)
-    return stored(pairs.join(left, "a").join(right, "b").where(near & (F.size("x") > 0)).select("a", "b").distinct(), "links")
+    # no distinct() here: on the join's own key it would keep adaptive execution from splitting a hot ``b``
+    return stored(pairs.join(left, "a").join(right, "b").where(near & (F.size("x") > 0)).select("a", "b"), "links")
 
 
 def joined_parts(parts: np.ndarray, sides: np.ndarray, sets: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
