@@ -16,6 +16,7 @@ from .. import constants as K
 from ..functions.text import join_page_texts, one_hot_labels, truncate
 from .enrich import has_some_url
 from .html import page_text, parse_pages
+from ..session import staged
 from .ordered import BROADCAST_MAX_BYTES, broadcast_if_small, fits_broadcast, prefix_rank
 
 
@@ -149,7 +150,7 @@ def split_assignment(companies: DataFrame, extracted: DataFrame,
     withurl = companies.filter(has_some_url("url")).select(
         "company_id", "branch_codes", primary_code().alias("code"))
     n = withurl.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-    has_data = latest_runs(extracted).select("company_id").distinct()
+    has_data = extracted.select("company_id").distinct()
     members = withurl.join(has_data, "company_id", "left_semi")
     if mode == "clean":
         n = members.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
@@ -165,55 +166,61 @@ def split_assignment(companies: DataFrame, extracted: DataFrame,
     return j.select("company_id", "code", "branch_codes", split.alias("split"))
 
 
-def build_dataset(companies: DataFrame, extracted: DataFrame, pct=K.SPLIT_PCT) -> DataFrame:
-    """W02 + S06 input: latest-run pages of each split company with its split."""
-    latest = latest_runs(extracted)
-    s = split_assignment(companies, latest, pct)
-    pages = latest.drop("branch_codes") if "branch_codes" in latest.columns else latest
-    return pages.join(s.select("company_id", "branch_codes", "split"), "company_id", "inner")
+def build_dataset(companies: DataFrame, extracted: DataFrame, pct=K.SPLIT_PCT,
+                  mode: str = "reference") -> DataFrame:
+    """W02 + S06 input: latest-run pages of each split company with its split.
+
+    Latest run and split meet on a table of companies; the page texts are
+    joined to it once.
+    """
+    last = extracted.groupBy("company_id").agg(F.max("run_ts").alias("run_ts"))
+    keys = split_assignment(companies, extracted, pct, mode).select("company_id", "branch_codes", "split")
+    pages = extracted.drop("branch_codes") if "branch_codes" in extracted.columns else extracted
+    return pages.join(last.join(keys, "company_id"), ["company_id", "run_ts"], "inner") \
+        .select(*pages.columns, "branch_codes", "split")
 
 
 def assemble_documents(pages: DataFrame, keys: list[str], seq_col: str = "seq",
                        text_col: str = "data", max_chars: int = K.MAX_TEXT_CHARS,
-                       bounds_from: DataFrame | None = None) -> DataFrame:
+                       bounds_from: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """E09 + E08: one text per key = each page text preceded by one space,
-    in ``seq`` order, cut at ``max_chars``.
-
-    Every collected group is bounded: keys whose whole text fits the cut
-    (almost all) are grouped directly; for the others the skew-safe running
-    length (``prefix_rank``) first drops the pages that start beyond the
-    cut, so a group holds at most ``max_chars`` plus one page.
+    in ``seq`` order, cut at ``max_chars``. ``carry`` columns depend on the
+    key and are kept.
+
+    Lengths are summed per key without the texts, and the keys beyond the cut
+    are staged (they are few, so the planner broadcasts them by their size).
+    All others hold at most ``max_chars`` and are grouped directly: the texts
+    are shuffled once. For the keys beyond it the skew-safe running length
+    (``prefix_rank``) first drops the pages that start beyond the cut, so a
+    group never holds more than ``max_chars`` plus one page.
     """
     plen = F.length(F.col(text_col)) + 1
-    x = pages.select(*keys, seq_col, text_col)
-    totals = x.groupBy(*keys).agg(F.sum(plen).alias("_tot"))
-    j = x.join(totals, keys)
+    x = pages.select(*keys, *carry, seq_col, text_col)
 
     def nest(df: DataFrame) -> DataFrame:
-        docs = df.groupBy(*keys).agg(
+        docs = df.groupBy(*keys, *carry).agg(
             F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"),
                                                  F.col(text_col).alias("data")))).alias("_p"))
-        return docs.select(*keys, truncate(join_page_texts("_p"), max_chars).alias("text"))
+        return docs.select(*keys, *carry, truncate(join_page_texts("_p"), max_chars).alias("text"))
 
-    fits = nest(j.filter(F.col("_tot") <= max_chars).drop("_tot"))
-    long = j.filter(F.col("_tot") > max_chars).drop("_tot")
-    ranked = prefix_rank(long, keys, seq_col, value=plen, rank_col="_r", before_col="_before",
+    over = staged(x.groupBy(*keys).agg(F.sum(plen).alias("_tot")).filter(F.col("_tot") > max_chars).select(*keys), "long_keys")
+    if over.isEmpty():
+        return nest(x)
+    ranked = prefix_rank(x.join(over, keys, "left_semi"), keys, seq_col, value=plen, rank_col="_r", before_col="_before",
                          bounds_from=bounds_from)
     cut = nest(ranked.filter(F.col("_before") < max_chars).drop("_r", "_before"))
-    return fits.unionByName(cut)
+    return nest(x.join(over, keys, "left_anti")).unionByName(cut)
 
 
 def build_corpus(dataset: DataFrame, min_chars: int = K.MIN_TEXT_CHARS,
                  max_chars: int = K.MAX_TEXT_CHARS, bounds_from: DataFrame | None = None) -> DataFrame:
     """One labelled document per company and split; documents shorter
-    than ``min_chars`` are dropped (F23); ``cats`` is the one-hot map (E15)."""
-    # A company lies in exactly one split, so documents are assembled per
-    # company (the dataset is already partitioned by company_id after its
-    # join) and the split and label are attached afterwards.
-    meta = dataset.select("company_id", "split", primary_code().alias("sni_code")).distinct()
-    docs = assemble_documents(dataset, ["company_id"], max_chars=max_chars, bounds_from=bounds_from)
-    out = docs.filter(F.length("text") >= min_chars).join(meta, ["company_id"], "inner")
-    return out.withColumn("n_chars", F.length("text"))
+    than ``min_chars`` are dropped (F23); ``cats`` is the one-hot map (E15).
+    A company lies in one split, so split and label are carried along."""
+    labelled = dataset.withColumn("sni_code", primary_code())
+    docs = assemble_documents(labelled, ["company_id"], max_chars=max_chars, bounds_from=bounds_from,
+                              carry=("split", "sni_code"))
+    return docs.filter(F.length("text") >= min_chars).withColumn("n_chars", F.length("text"))
 
 
 def with_cats(corpus: DataFrame, code_list: list[str]) -> DataFrame:

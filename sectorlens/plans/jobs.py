@@ -73,9 +73,9 @@ def extract_job(spark: SparkSession, pages: DataFrame, companies_path: str, out_
 
 
 def divide_job(spark: SparkSession, companies_path: str, extracted_path: str, dataset_path: str,
-               pct=K.SPLIT_PCT) -> None:
+               pct=K.SPLIT_PCT, mode: str = "reference") -> None:
     """Exact stratified split of the latest extracted pages (S06 table)."""
-    ds = D.build_dataset(spark.read.parquet(companies_path), spark.read.parquet(extracted_path), pct)
+    ds = D.build_dataset(spark.read.parquet(companies_path), spark.read.parquet(extracted_path), pct, mode)
     ds.write.mode("overwrite").option("partitionOverwriteMode", "static") \
         .partitionBy("split").parquet(dataset_path)
 
@@ -106,9 +106,9 @@ def evaluate_job(spark: SparkSession, dataset_path: str, model_path: str, top_n:
     scores and AUC."""
     model = PipelineModel.load(model_path)
     test = spark.read.parquet(dataset_path).filter("split = 'test'")
-    docs = D.assemble_documents(test, ["company_id"], bounds_from=test.select("seq"))
-    labels = test.select("company_id", D.primary_code().alias("true_label")).distinct()
-    docs = docs.join(labels, "company_id").withColumnRenamed("company_id", "doc_id")
+    test = test.withColumn("true_label", D.primary_code())
+    docs = D.assemble_documents(test, ["company_id"], bounds_from=test.select("seq"), carry=("true_label",))
+    docs = docs.withColumnRenamed("company_id", "doc_id")
     flags = V.skip_flags(docs, "text", min_chars)
     live = flags.filter("skipped = 0")
     pred = L.long_scores(L.score(model, live, ["doc_id", "true_label"]), model)

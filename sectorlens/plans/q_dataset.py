@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import dataset as D
 from ..operators import sampling as S
-from ..session import ensure_checkpoint_dir
+from ..session import staged
 from ..sources import fixtures as fx
 from ..sources.tables import table
 from .q_html import PAGE_TEXT_SQL, YEAR_DEDUP_CTE, body_cte
@@ -67,8 +67,7 @@ def _corpus(spark, sf):
     ext = extracted(spark, sf)
     # stage boundary (the divide job writes this table): cut the lineage so
     # the corpus plan starts from the materialised dataset
-    ensure_checkpoint_dir(spark)
-    ds = D.build_dataset(c, ext).checkpoint()
+    ds = staged(D.build_dataset(c, ext), "dataset")
     return D.build_corpus(ds, bounds_from=ds.select("seq"))
 
 
@@ -208,6 +207,20 @@ def t03(spark, sf):
     return S.budgeted_selection(_a05(spark, sf), limit=50, seed=42)
 
 
+SMALL_CUT = 3000
+
+
+@query("m01_small_cut",
+       f"""SELECT company_id, split, sni_code, length(t) AS n_chars, md5(t) AS text_md5
+FROM (SELECT company_id, split, sni_code, substring(text, 1, {SMALL_CUT}) AS t FROM docs) d WHERE length(t) >= 300""",
+       extra=_pipe("docs"))
+def m01_small(spark, sf):
+    """The corpus with a cut that most companies reach: their pages pass through the running length."""
+    ds = staged(D.build_dataset(fx.v_companies(spark, sf), extracted(spark, sf)), "dataset")
+    c = D.build_corpus(ds, max_chars=SMALL_CUT, bounds_from=ds.select("seq"))
+    return c.select("company_id", "split", "sni_code", F.col("n_chars").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 @query("w06_last_code", "SELECT branch_codes[1] AS last_code FROM v_companies ORDER BY company_id DESC LIMIT 1")
 def w06(spark, sf):
     return S.last_code(fx.v_companies(spark, sf))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold at any scale: AQE re-plans shuffles at run time
 # (coalescing small partitions, splitting skewed join partitions), and the
@@ -72,3 +73,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it
+    back: the lineage is cut and the planner knows the size."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/sectorlens-stage/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
