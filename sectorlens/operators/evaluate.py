@@ -1,15 +1,16 @@
 """Evaluation: E11-E14, F24, J06, W04, W07, W08, A07-A12, M10.
 
-Predictions are in long form ``(doc_id, true_label, label, score, label_pos)``:
-one row per document and label. Per-document windows are bounded by the
-label set; per-label statistics use decomposable aggregates, and the AUC
-ranks go through the skew-safe ``prefix_rank`` (every label is a hot key:
-it has one row per document).
+Predictions have one row per document with an array ``scored`` of (label,
+label_pos, score); ranking and document indicators work inside the row,
+without a shuffle. Per-label statistics (A10, A11) take the long form, one
+row per document and label, with decomposable aggregates; the AUC ranks go
+through the skew-safe ``prefix_rank`` (every label is a hot key: it has one
+row per document).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -19,34 +20,48 @@ from .ordered import broadcast_if_small, prefix_rank
 COUNTERS = ["correct_label", "top_n_label", "correct_category", "top_n_category"]
 
 
+def ranked_labels(scored: Column | str = "scored") -> Column:
+    """The labels of one document by score, descending; ties keep label
+    order (``label_pos``). ``scored``: array of (label, label_pos, score);
+    result: array of (label, rank, score), sorted inside the row."""
+    x = F.col(scored) if isinstance(scored, str) else scored
+    by = F.array_sort(F.transform(x, lambda e: F.struct((-e["score"]).alias("minus"), e["label_pos"].alias("pos"),
+                                                        e["label"].alias("label"), e["score"].alias("score"))))
+    return F.transform(by, lambda e, i: F.struct(e["label"].alias("label"), (i + 1).alias("rank"), e["score"].alias("score")))
+
+
 def rank_labels(pred: DataFrame) -> DataFrame:
-    """Rank labels per document by score, descending; ties keep label
-    order (``label_pos``)."""
-    w = Window.partitionBy("doc_id").orderBy(F.desc("score"), F.asc("label_pos"))
-    return pred.withColumn("rank", F.row_number().over(w))
+    """W04 in long form: ``pred`` has one row per document with ``scored``."""
+    rest = [c for c in pred.columns if c != "scored"]
+    return pred.select(*rest, F.inline(ranked_labels()))
 
 
 def top_labels(pred: DataFrame, codes: DataFrame, n: int = 10) -> DataFrame:
     """W07 + J06: top ``n`` labels per document with the code description."""
-    top = rank_labels(pred).filter(F.col("rank") <= n)
+    rest = [c for c in pred.columns if c != "scored"]
+    top = pred.select(*rest, F.inline(F.slice(ranked_labels(), 1, n)))
     desc = broadcast_if_small(codes.select(F.col("sni_code").alias("label"), "description"))
     return top.join(desc, "label", "left")
 
 
-def doc_indicators(ranked: DataFrame, top_n: int = K.TOP_N, mode: str = "reference") -> DataFrame:
+def doc_indicators(pred: DataFrame, top_n: int = K.TOP_N, mode: str = "reference") -> DataFrame:
     """Per document, top-1/top-N label and category hits and the
     weighted category score (reference: 1/rank of the last-ranked label of
-    the true category; clean: of the first)."""
-    same_cat = category("label") == category("true_label")
-    same = F.col("label") == F.col("true_label")
-    r = F.col("rank")
-    w_rank = F.max(F.when(same_cat, r)) if mode == "reference" else F.min(F.when(same_cat, r))
-    return ranked.groupBy("doc_id", "true_label").agg(
-        F.max(F.when(same & (r == 1), 1).otherwise(0)).alias("correct_label"),
-        F.max(F.when(same & (r <= top_n), 1).otherwise(0)).alias("top_n_label"),
-        F.max(F.when(same_cat & (r == 1), 1).otherwise(0)).alias("correct_category"),
-        F.max(F.when(same_cat & (r <= top_n), 1).otherwise(0)).alias("top_n_category"),
-        F.coalesce(F.lit(1.0) / w_rank, F.lit(0.0)).alias("weighted_category_score"))
+    the true category; clean: of the first). All of it is read off the
+    document's own ranked array."""
+    labels = F.transform("ranked", lambda e: e["label"])
+    cats = F.transform("ranked", lambda e: category(e["label"]))
+    r = (pred.withColumn("ranked", ranked_labels())
+         .select("doc_id", "true_label", labels.alias("labels"), cats.alias("cats"), category("true_label").alias("cat"))
+         .select("doc_id", "true_label",
+                 F.coalesce(F.array_position("labels", F.col("true_label")), F.lit(0)).alias("at"),
+                 F.coalesce(F.array_position("cats", F.col("cat")), F.lit(0)).alias("first"),
+                 (F.size("cats") + 1 - F.array_position(F.reverse("cats"), F.col("cat"))).alias("last")))
+    hit = lambda c, n: F.col(c).between(1, n).cast("int")
+    w_rank = F.when(F.col("first") > 0, F.col("last" if mode == "reference" else "first"))
+    return r.select("doc_id", "true_label", hit("at", 1).alias("correct_label"), hit("at", top_n).alias("top_n_label"),
+                    hit("first", 1).alias("correct_category"), hit("first", top_n).alias("top_n_category"),
+                    F.coalesce(F.lit(1.0) / w_rank, F.lit(0.0)).alias("weighted_category_score"))
 
 
 def skip_flags(docs: DataFrame, text_col: str = "text", min_chars: int = K.MIN_TEXT_CHARS) -> DataFrame:
@@ -115,7 +130,7 @@ def evaluate(docs: DataFrame, pred: DataFrame, top_n: int = K.TOP_N,
     """Docs (doc_id, true_label, text) x predictions -> (per label, totals)."""
     flags = skip_flags(docs, "text", min_chars)
     live = pred.join(flags.filter("skipped = 0").select("doc_id"), "doc_id", "left_semi")
-    ind = doc_indicators(rank_labels(live), top_n, mode)
+    ind = doc_indicators(live, top_n, mode)
     per = label_results(ind, flags)
     return per, total_results(per)
 

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .ordered import spread_small
+from ..session import staged
+from .ordered import planned_bytes, spread_small
 
 NUM_FEATURES = 262144          # 2^18 hash buckets
 TOKEN_PATTERN = r"(?U)\w+"
@@ -41,30 +42,56 @@ def bow_stages(ngram: int = 1, num_features: int = NUM_FEATURES, tokens: str = "
             HashingTF(inputCol="_ngrams", outputCol=out, numFeatures=num_features)]
 
 
-def word_vector_stage(size: int = 50, tokens: str = "tokens", out: str = "wvec", seed: int = 7) -> Word2Vec:
-    """Mean-pooled word vectors (Word2Vec's transform averages them)."""
-    return Word2Vec(vectorSize=size, minCount=2, inputCol=tokens, outputCol=out, seed=seed, maxIter=1)
+def word_vector_stage(size: int = 50, tokens: str = "tokens", out: str = "wvec", seed: int = 7,
+                      partitions: int = 1) -> Word2Vec:
+    """Mean-pooled word vectors (Word2Vec's transform averages them),
+    trained in ``partitions`` tasks whose vectors are averaged each iteration."""
+    return Word2Vec(vectorSize=size, minCount=2, inputCol=tokens, outputCol=out, seed=seed, maxIter=1,
+                    numPartitions=partitions)
+
+
+def training_partitions(df: DataFrame, bytes_each: int = 64 << 20) -> int:
+    """Tasks to train in: one for each ``bytes_each`` of the planned input, at
+    most the session's shuffle partitions."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, planned_bytes(df) // bytes_each))
+
+
+def mean_vectors(docs: DataFrame, vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """M04 by a given table of (token, vector): the mean over a document's
+    tokens (unknown tokens count as zero, as Word2Vec's transform does).
+    Token counts are summed per document before the join, and components per
+    document after it, so neither a frequent token nor a long text is one task."""
+    terms = docs.select(id_col, "n_tokens", F.explode("tokens").alias("token")).groupBy(id_col, "n_tokens", "token") \
+        .agg(F.count(F.lit(1)).alias("tf"))
+    parts = (terms.join(vectors, "token").select(id_col, "n_tokens", "tf", F.posexplode("vector").alias("pos", "x"))
+             .groupBy(id_col, "pos").agg((F.sum(F.col("tf") * F.col("x")) / F.max("n_tokens")).alias("x")))
+    return parts
 
 
 def classifier_pipeline(ensemble: bool = False, reg: float = 0.0, ngram: int = 1,
-                        max_iter: int = 20, label_col: str = "true_label") -> Pipeline:
+                        max_iter: int = 20, label_col: str = "true_label", num_features: int = NUM_FEATURES,
+                        partitions: int = 1, aggregation_depth: int = 2) -> Pipeline:
     """Exclusive-class linear model over hashed BOW. With
     ``ensemble`` a second linear model over mean-pooled word vectors is fit
     in the same pipeline and ``score`` averages the two probability
-    vectors."""
+    vectors. The model is a dense ``num_features`` x classes matrix on the
+    driver: choose ``num_features`` (and ``aggregation_depth``) to its memory
+    when there are many classes."""
     stages = [StringIndexer(inputCol=label_col, outputCol="y", stringOrderType="alphabetAsc",
                             handleInvalid="keep"),
-              tokenizer()] + bow_stages(ngram)
+              tokenizer()] + bow_stages(ngram, num_features)
     if not ensemble:
         stages.append(LogisticRegression(featuresCol="bow", labelCol="y", family="multinomial",
-                                         regParam=reg, maxIter=max_iter))
+                                         regParam=reg, maxIter=max_iter,
+                                         aggregationDepth=aggregation_depth))
         return Pipeline(stages=stages)
-    stages += [word_vector_stage(),
+    stages += [word_vector_stage(partitions=partitions),
                LogisticRegression(featuresCol="bow", labelCol="y", family="multinomial", regParam=reg,
-                                  maxIter=max_iter, probabilityCol="p_bow", rawPredictionCol="r_bow",
+                                  maxIter=max_iter, aggregationDepth=aggregation_depth, probabilityCol="p_bow", rawPredictionCol="r_bow",
                                   predictionCol="y_bow"),
                LogisticRegression(featuresCol="wvec", labelCol="y", family="multinomial", regParam=reg,
-                                  maxIter=max_iter, probabilityCol="p_vec", rawPredictionCol="r_vec",
+                                  maxIter=max_iter, aggregationDepth=aggregation_depth, probabilityCol="p_vec", rawPredictionCol="r_vec",
                                   predictionCol="y_vec")]
     return Pipeline(stages=stages)
 
@@ -85,6 +112,14 @@ def score(model: PipelineModel, docs: DataFrame, keep: list[str] | None = None)
     return out.select(*keep, F.map_from_arrays(labels, F.slice(probs, 1, len(labels_of(model)))).alias("scores"))
 
 
+def scored_rows(scored: DataFrame, model: PipelineModel) -> DataFrame:
+    """M08 as the evaluation takes it: the map as an array ``scored`` of
+    (label, label_pos, score); the position is the code's place in the label list."""
+    entries = [F.struct(F.lit(c).alias("label"), F.lit(i).alias("label_pos"), F.col("scores")[c].alias("score"))
+               for i, c in enumerate(labels_of(model))]
+    return scored.select(*[c for c in scored.columns if c != "scores"], F.array(*entries).alias("scored"))
+
+
 def long_scores(scored: DataFrame, model: PipelineModel) -> DataFrame:
     """M08 long form ``(doc_id, true_label, label, score, label_pos)``; the
     label position is the code's place in the sorted label list."""
@@ -111,6 +146,7 @@ def select_model(train: DataFrame, dev: DataFrame, grid: list[dict]) -> tuple[Pi
     by macro F (threshold scorer), keep the best. Returns the model and a
     table of (params, dev score)."""
     from .evaluate import multilabel_scores
+    train, dev = (staged(d.select("doc_id", "true_label", "text"), "features") for d in (train, dev))  # read once per grid point
     rows = []
     best = None
     for i, params in enumerate(grid):

@@ -25,6 +25,7 @@ from ..operators import enrich as N
 from ..operators import evaluate as V
 from ..operators import learn as L
 from ..operators import sampling as S
+from ..session import staged
 from ..sources import tables as T
 
 
@@ -111,8 +112,11 @@ def evaluate_job(spark: SparkSession, dataset_path: str, model_path: str, top_n:
     docs = docs.withColumnRenamed("company_id", "doc_id")
     flags = V.skip_flags(docs, "text", min_chars)
     live = flags.filter("skipped = 0")
-    pred = L.long_scores(L.score(model, live, ["doc_id", "true_label"]), model)
-    per, tot = V.evaluate(docs, pred, top_n, min_chars, mode)
+    # the predictions are written once; every report reads them
+    rows = staged(L.scored_rows(L.score(model, live, ["doc_id", "true_label"]), model), "predictions")
+    pred = rows.select("doc_id", "true_label", F.inline("scored"))
+    docs = staged(docs.select("doc_id", "true_label", F.substring("text", 1, min_chars).alias("text")), "test_documents")
+    per, tot = V.evaluate(docs, rows, top_n, min_chars, mode)
     prf, prf_tot = V.multilabel_scores(pred)
     auc, macro = V.label_auc(pred)
     return V.label_report(per, mode), V.total_report(tot, mode), prf_tot, macro
@@ -124,5 +128,5 @@ def predict_job(spark: SparkSession, pages: DataFrame, model_path: str, codes: D
     model = PipelineModel.load(model_path)
     texts = D.extract_pages(pages, filter_=True, keep=["page_id"]).withColumnRenamed("data", "text")
     sc = L.score(model, texts.withColumn("true_label", F.lit(None).cast("string")), ["page_id"])
-    long = L.long_scores(sc.withColumnRenamed("page_id", "doc_id"), model)
-    return V.top_labels(long, codes, n)
+    rows = L.scored_rows(sc.withColumnRenamed("page_id", "doc_id"), model)
+    return V.top_labels(rows, codes, n)

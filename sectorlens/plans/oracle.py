@@ -46,7 +46,9 @@ FROM documents d""",
 FROM documents""",
     "v_scores": """SELECT d.doc_id, d.true_label, s.sni_code AS label, s.label_pos,
        ((d.doc_id * 7919 + s.label_pos * 104729) % 1000) / 1000.0e0 AS score
-FROM v_labelled_docs d CROSS JOIN v_sni s""",
+FROM v_labelled_docs d CROSS JOIN (SELECT * FROM (VALUES
+ ('10111',0), ('10112',1), ('10200',2), ('38110',3), ('38320',4), ('01110',5), ('10891',6), ('13100',7), ('38210',8),
+ ('41200',9), ('46390',10), ('56100',11), ('62010',12), ('85520',13)) AS t(sni_code, label_pos)) s""",
     "v_hits": """SELECT lower(name) AS name, company_id, 1 AS rank,
        CASE company_id % 5 WHEN 0 THEN 'https://www.facebook.com/x' WHEN 1 THEN ''
             ELSE concat('https://www.f', CAST(company_id AS VARCHAR), '.example.org') END AS link

@@ -42,28 +42,28 @@ EVAL = {"ranked": RANKED_SQL, "ind": IND_SQL, "flags": FLAGS_SQL, "per_label": P
 
 
 def _per_label(spark, sf, mode="reference"):
-    per, tot = V.evaluate(_docs(spark, sf), fx.v_scores(spark, sf), top_n=5, min_chars=MIN_CHARS, mode=mode)
+    per, tot = V.evaluate(_docs(spark, sf), fx.v_score_rows(spark, sf), top_n=5, min_chars=MIN_CHARS, mode=mode)
     return per, tot
 
 
 @query("w04_rank_labels", "SELECT doc_id, label, rank FROM ranked", extra={"ranked": RANKED_SQL})
 def w04(spark, sf):
-    return V.rank_labels(fx.v_scores(spark, sf)).select("doc_id", "label", F.col("rank").cast("long").alias("rank"))
+    return V.rank_labels(fx.v_score_rows(spark, sf)).select("doc_id", "label", F.col("rank").cast("long").alias("rank"))
 
 
 @query("w07_top_labels_with_description",
        """SELECT r.doc_id, r.label, r.rank, s.description FROM ranked r LEFT JOIN v_sni s ON s.sni_code = r.label
 WHERE r.rank <= 10""", extra={"ranked": RANKED_SQL})
 def w07(spark, sf):
-    t = V.top_labels(fx.v_scores(spark, sf), fx.v_sni(spark), n=10)
+    t = V.top_labels(fx.v_score_rows(spark, sf), fx.v_sni(spark), n=10)
     return t.select("doc_id", "label", F.col("rank").cast("long").alias("rank"), "description")
 
 
 @query("j06_prediction_descriptions",
-       """SELECT r.doc_id, r.label, s.description FROM ranked r JOIN v_sni s ON s.sni_code = r.label WHERE r.rank = 1""",
+       """SELECT r.doc_id, r.label, s.description FROM ranked r LEFT JOIN v_sni s ON s.sni_code = r.label WHERE r.rank = 1""",
        extra={"ranked": RANKED_SQL})
 def j06(spark, sf):
-    t = V.top_labels(fx.v_scores(spark, sf), fx.v_sni(spark), n=1)
+    t = V.top_labels(fx.v_score_rows(spark, sf), fx.v_sni(spark), n=1)
     return t.select("doc_id", "label", "description")
 
 
@@ -71,7 +71,7 @@ def j06(spark, sf):
        """SELECT doc_id, true_label, correct_label, top_n_label, correct_category, top_n_category,
        round(wref, 6) AS weighted_category_score FROM ind""", extra={"ranked": RANKED_SQL, "ind": IND_SQL})
 def w08(spark, sf):
-    i = V.doc_indicators(V.rank_labels(fx.v_scores(spark, sf)), 5, "reference")
+    i = V.doc_indicators(fx.v_score_rows(spark, sf), 5, "reference")
     return i.withColumn("weighted_category_score", F.round("weighted_category_score", 6))
 
 
@@ -79,7 +79,7 @@ def w08(spark, sf):
        """SELECT doc_id, true_label, correct_label, top_n_label, correct_category, top_n_category,
        round(wclean, 6) AS weighted_category_score FROM ind""", extra={"ranked": RANKED_SQL, "ind": IND_SQL})
 def w08c(spark, sf):
-    i = V.doc_indicators(V.rank_labels(fx.v_scores(spark, sf)), 5, "clean")
+    i = V.doc_indicators(fx.v_score_rows(spark, sf), 5, "clean")
     return i.withColumn("weighted_category_score", F.round("weighted_category_score", 6))
 
 
@@ -169,7 +169,7 @@ def a12(spark, sf):
        round(weighted_category_score, 6) AS weighted_category_score, skipped, label_count FROM per_label""",
        extra=EVAL)
 def m10(spark, sf):
-    per, _ = V.evaluate(_docs(spark, sf), fx.v_scores(spark, sf), 5, MIN_CHARS, "reference")
+    per, _ = V.evaluate(_docs(spark, sf), fx.v_score_rows(spark, sf), 5, MIN_CHARS, "reference")
     return per.withColumn("weighted_category_score", F.round("weighted_category_score", 6))
 
 
@@ -243,7 +243,7 @@ def e12(spark, sf):
 @query("e13_reciprocal_rank", "SELECT doc_id, label, round(1.0e0 / rank, 6) AS rr FROM ranked",
        extra={"ranked": RANKED_SQL})
 def e13(spark, sf):
-    r = V.rank_labels(fx.v_scores(spark, sf))
+    r = V.rank_labels(fx.v_score_rows(spark, sf))
     return r.select("doc_id", "label", F.round(T.reciprocal_rank("rank"), 6).alias("rr"))
 
 

@@ -20,7 +20,7 @@ def _split_docs(spark, sf):
 def _trained(spark, sf, ensemble=False):
     s = _split_docs(spark, sf)
     train = s.filter(F.col("split") == "train")
-    model = L.classifier_pipeline(ensemble=ensemble).fit(train)
+    model = L.classifier_pipeline(ensemble=ensemble, partitions=L.training_partitions(train)).fit(train)
     return model, s
 
 
@@ -47,7 +47,7 @@ def m03(spark, sf):
 @query("m04_mean_word_vectors")
 def m04(spark, sf):
     d = L.tokenize(fx.v_labelled_docs(spark, sf))
-    model = L.word_vector_stage(size=20).fit(d)
+    model = L.word_vector_stage(size=20, partitions=L.training_partitions(d)).fit(d)
     from pyspark.ml.functions import vector_to_array
     return model.transform(d).select("doc_id", F.size(vector_to_array("wvec")).alias("dims"))
 
@@ -96,7 +96,7 @@ def m09(spark, sf):
 def m10m(spark, sf):
     model, s = _trained(spark, sf)
     test = s.filter(F.col("split") == "test").withColumn("text", F.concat(F.lit(" "), "text"))
-    pred = L.long_scores(L.score(model, test, ["doc_id", "true_label"]), model)
+    pred = L.scored_rows(L.score(model, test, ["doc_id", "true_label"]), model)
     per, _ = V.evaluate(test, pred, top_n=5, min_chars=300)
     return V.label_report(per)
 
@@ -108,8 +108,39 @@ def m11(spark, sf):
     pages = fx.v_scraped(spark, sf).select("page_id", "url", "raw_html")
     texts = D.extract_pages(pages, filter_=True, keep=["page_id", "url"]).withColumnRenamed("data", "text")
     sc = L.score(model, texts.withColumn("true_label", F.lit(None).cast("string")), ["page_id"])
-    long = sc.select("page_id", F.explode("scores").alias("label", "score"))
-    labels = L.labels_of(model)
-    pos = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
-    long = long.withColumn("label_pos", pos[F.col("label")]).withColumnRenamed("page_id", "doc_id")
-    return V.top_labels(long, fx.v_sni(spark), n=10).select("doc_id", "label", "rank", "score", "description")
+    rows = L.scored_rows(sc, model).withColumnRenamed("page_id", "doc_id")
+    return V.top_labels(rows, fx.v_sni(spark), n=10).select("doc_id", "label", "rank", "score", "description")
+
+
+@query("m09_threshold_of_scores",
+       """SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM v_scores WHERE score >= 0.368 GROUP BY doc_id""")
+def m09_given(spark, sf):
+    """M09 on given scores: the labels that reach the decision threshold."""
+    s = fx.v_score_rows(spark, sf).withColumn("scores", F.map_from_entries(
+        F.transform("scored", lambda e: F.struct(e["label"], e["score"]))))
+    labels = F.array_sort(F.map_keys(L.threshold_labels()))
+    return s.select("doc_id", F.array_join(labels, ",").alias("labels")).where("labels != ''")
+
+
+TOKENS_SQL = "SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pM\\p{Nd}_]+', 0) AS t FROM v_labelled_docs"
+
+
+@query("m03_token_counts",
+       f"""SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct FROM ({TOKENS_SQL}) x""")
+def m03_counts(spark, sf):
+    d = L.tokenize(fx.v_labelled_docs(spark, sf))
+    return d.select("doc_id", "n_tokens", F.size(F.array_distinct("tokens")).cast("long").alias("n_distinct"))
+
+
+@query("m04_mean_of_given_vectors",
+       f"""SELECT doc_id, pos, round(sum(x) / max(n), 6) AS x FROM (
+  SELECT doc_id, len(t) AS n, unnest(t) AS token FROM ({TOKENS_SQL}) a) d,
+  LATERAL (SELECT unnest([0, 1]) AS pos, unnest([length(token) * 1.0e0, CASE WHEN substring(token, 1, 1) < 'm' THEN 1.0e0 ELSE 0.0e0 END]) AS x) v
+GROUP BY doc_id, pos""")
+def m04_given(spark, sf):
+    """M04 with a given vector per token (its length, and 0 or 1 by its first letter)."""
+    d = L.tokenize(fx.v_labelled_docs(spark, sf))
+    words = d.select(F.explode("tokens").alias("token")).distinct()
+    vectors = words.select("token", F.array(F.length("token").cast("double"), F.when(
+        F.substring("token", 1, 1) < "m", F.lit(1.0)).otherwise(0.0)).alias("vector"))
+    return L.mean_vectors(d, vectors).select("doc_id", "pos", F.round("x", 6).alias("x"))

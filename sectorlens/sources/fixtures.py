@@ -94,18 +94,25 @@ def v_labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "text", "n_chars", lab.alias("true_label"))
 
 
-def v_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deterministic pseudo-scores, one row per document and known code.
+# Labels of the pseudo-scores beyond the register's codes, so that cut-offs of 5 and 10 bind.
+MORE_LABELS = ["01110", "10891", "13100", "38210", "41200", "46390", "56100", "62010", "85520"]
+
 
-    The code list is a fixed five-entry dimension, so it is expanded with a
-    generator (``explode`` of a literal array) rather than a join.
-    """
+def v_score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic pseudo-scores: one row per document with an array
+    ``scored`` of (label, label_pos, score) over a fixed label list."""
     d = v_labelled_docs(spark, sf_dir).select("doc_id", "true_label")
-    codes = F.array(*[F.struct(F.lit(code).alias("label"), F.lit(pos).alias("label_pos"))
-                      for code, _, _, pos in SNI_ROWS])
-    x = d.select("doc_id", "true_label", F.inline(codes))
-    score = ((F.col("doc_id") * 7919 + F.col("label_pos") * 104729) % 1000) / F.lit(1000.0)
-    return x.select("doc_id", "true_label", "label", "label_pos", score.alias("score"))
+    labels = [code for code, *_ in SNI_ROWS] + MORE_LABELS
+
+    def entry(pos: int, label: str):
+        score = ((F.col("doc_id") * 7919 + pos * 104729) % 1000) / F.lit(1000.0)
+        return F.struct(F.lit(label).alias("label"), F.lit(pos).alias("label_pos"), score.alias("score"))
+    return d.select("doc_id", "true_label", F.array(*[entry(i, c) for i, c in enumerate(labels)]).alias("scored"))
+
+
+def v_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``v_score_rows`` in long form, one row per document and label."""
+    return v_score_rows(spark, sf_dir).select("doc_id", "true_label", F.inline("scored"))
 
 
 def v_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
