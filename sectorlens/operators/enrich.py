@@ -80,7 +80,7 @@ def bulk_first_hits(queries: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOOKUPS_PER_CODE,
-                      has_url: str = "NO", salts: int = 64) -> DataFrame:
+                      has_url: str = "NO", salts: int = 64, staying: DataFrame | None = None) -> DataFrame:
     """Which companies get looked up, and for which code.
 
     Codes are visited in ascending order; each takes up to ``limit`` of its
@@ -88,6 +88,8 @@ def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOO
     taken by an earlier code is not eligible later. That is the
     company-proposing deferred acceptance with quotas, computed in rounds
     until no proposal is rejected. Each round is checkpointed (lineage cut).
+    ``staying`` names companies (company_id) that remain eligible for later
+    codes after they were taken: each of their codes is a proposal of its own.
     Returns ``(company_id, code)``.
     """
     from ..session import ensure_checkpoint_dir
@@ -97,24 +99,34 @@ def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOO
     pairs = (elig.select("company_id", F.explode(F.array_distinct("branch_codes")).alias("code"))
              .join(code_list, "code", "left_semi"))
     # each company's candidate codes in ascending order
-    ranked = (pairs.groupBy("company_id").agg(F.array_sort(F.collect_set("code")).alias("prefs")))
-    prop = ranked.select("company_id", "prefs", F.lit(1).alias("idx")).checkpoint()
+    ranked = pairs.groupBy("company_id").agg(F.array_sort(F.collect_set("code")).alias("prefs")).withColumn("seat", F.lit(""))
+    if staying is not None:
+        ids = broadcast_if_small(staying.select("company_id").distinct())
+        ranked = ranked.join(ids, "company_id", "left_anti").unionByName(
+            pairs.distinct().join(ids, "company_id", "left_semi")
+            .select("company_id", F.array("code").alias("prefs"), F.col("code").alias("seat")))
+    prop = ranked.select("company_id", "seat", "prefs", F.lit(1).alias("idx")).checkpoint()
     while True:
         cur = prop.withColumn("code", F.get(F.col("prefs"), F.col("idx") - 1))
         kept = top_k_per_key(cur, ["code"], ["company_id"], limit, salt_on="company_id", salts=salts)
         # at most codes x limit rows: broadcast (checked) so the proposals
         # are not shuffled again in every round
-        kept_ids = broadcast_if_small(kept.select("company_id", F.lit(True).alias("_kept")))
-        nxt = (cur.join(kept_ids, "company_id", "left")
+        kept_ids = broadcast_if_small(kept.select("company_id", "seat", F.lit(True).alias("_kept")))
+        nxt = (cur.join(kept_ids, ["company_id", "seat"], "left")
                .withColumn("idx", F.when(F.col("_kept"), F.col("idx")).otherwise(F.col("idx") + 1))
                .withColumn("_rejected", F.col("_kept").isNull())
                .filter(F.col("idx") <= F.size("prefs"))
-               .select("company_id", "prefs", "idx", "_rejected")).checkpoint()
+               .select("company_id", "seat", "prefs", "idx", "_rejected")).checkpoint()
         if nxt.filter("_rejected").isEmpty():
             return nxt.select("company_id", F.get(F.col("prefs"), F.col("idx") - 1).alias("code"))
         prop = nxt.drop("_rejected")
 
 
+def successful_lookups(companies: DataFrame, hits: DataFrame) -> DataFrame:
+    """Companies whose first hit is a usable url: a lookup keeps them."""
+    return attach_first_hit(companies, hits).filter((F.col("link") != "") & not_blacklisted("link")).select("company_id")
+
+
 def apply_lookup_results(companies: DataFrame, processed: DataFrame, hits: DataFrame) -> DataFrame:
     """Processed companies get the first-hit url when it is non-empty and
     not blacklisted; otherwise they are removed. Others are unchanged."""

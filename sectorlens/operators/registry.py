@@ -18,16 +18,20 @@ from pyspark.sql import functions as F
 from .ordered import broadcast_if_small
 
 
-class VariableDoesNotExist(Exception):
-    """The variable is not in the catalog of all variables."""
+class RequestError(ValueError):
+    """A request that the variable catalog does not allow."""
 
 
-class DoesNotOwnVariable(Exception):
-    """The variable exists but is not one of the owned variables."""
+class UnknownVariable(RequestError):
+    """No such variable in the catalog."""
 
 
-class VariableDoesNotSupportOperation(Exception):
-    """The variable does not support the requested operator."""
+class VariableNotOwned(RequestError):
+    """The variable may not be used."""
+
+
+class OperatorNotAllowed(RequestError):
+    """The variable does not take this operator."""
 
 
 # Register operator names and the builder method each maps to.
@@ -74,14 +78,13 @@ class RegistryQuery:
 
     # -- validation (F12) -----------------------------------------------------
     def _check(self, method: str, names) -> None:
-        for v in names:
-            if v not in self.catalog:
-                raise VariableDoesNotExist(f"'{v}' does not exist in the list of all variables!")
-            var = self.catalog[v]
-            if not var.owned:
-                raise DoesNotOwnVariable(f"'{v}' exists, but is not in the list of owned variables!")
-            if method not in var.methods:
-                raise VariableDoesNotSupportOperation(f"'{v}' does not support '{method}'!")
+        for name in names:
+            found = self.catalog.get(name)
+            if found is None:
+                raise UnknownVariable(f"unknown variable {name!r}")
+            if method not in found.methods if found.owned else True:
+                kind = OperatorNotAllowed if found.owned else VariableNotOwned
+                raise kind(f"{method!r} on {name!r}: allowed are {list(found.methods) if found.owned else 'no operators'}")
 
     def _col(self, v: str) -> Column:
         return F.col(self.catalog[v].column)
@@ -225,6 +228,16 @@ def variable_catalog(all_vars: DataFrame, owned: DataFrame) -> DataFrame:
                     F.coalesce("_owned", F.lit(False)).alias("owned")))
 
 
+def judge_requests(requests: DataFrame, catalog: DataFrame) -> DataFrame:
+    """F12 for a table of requests (variable, method) against the catalog of
+    ``variable_catalog``: adds ``verdict`` (ok, unknown, not owned, not allowed)."""
+    found = catalog.withColumn("_known", F.lit(True))
+    verdict = (F.when(F.col("_known").isNull(), "unknown").when(~F.col("owned"), "not owned")
+               .when(~F.array_contains("methods", F.col("method")), "not allowed").otherwise("ok"))
+    return (requests.join(broadcast_if_small(found), "variable", "left")
+            .withColumn("verdict", verdict).drop("methods", "owned", "_known"))
+
+
 def municipalities_from_categories(tables: DataFrame, col: str = "tables") -> DataFrame:
     """Entry 4 of the category tables holds the municipalities."""
     return (tables.select(F.explode(F.get(F.col(col), 4)["VardeLista"]).alias("v"))

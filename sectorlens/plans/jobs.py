@@ -23,18 +23,36 @@ from ..operators import crawl as C
 from ..operators import dataset as D
 from ..operators import enrich as N
 from ..operators import evaluate as V
+from ..operators import html as H
 from ..operators import learn as L
+from ..operators import registry as R
 from ..operators import sampling as S
 from ..session import staged
 from ..sources import tables as T
 
 
 def sample_job(spark: SparkSession, register_path: str, legal_forms_path: str, out_path: str,
-               limit: int = K.FETCH_LIMIT, seed: int | None = 42) -> DataFrame:
-    """Budgeted sample of the register per code; appends to ``out_path``."""
+               limit: int = K.FETCH_LIMIT, seed: int | None = 42, codes_path: str | None = None,
+               raw: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Budgeted sample of the register per code; appends to ``out_path``.
+
+    ``raw`` registers are normalised first (P01; ``keep`` fields are carried).
+    With ``codes_path`` (included codes) only codes of the configured range
+    are visited, after the last code that ``out_path`` already holds (W06,
+    F21, T01). Inactive and unregistered companies never count (F10).
+    """
     reg = spark.read.parquet(register_path)
+    if raw:
+        reg = R.normalise_register(reg, keep)
     forms = spark.read.parquet(legal_forms_path)
-    sel = S.budgeted_selection(S.counts_by_code_and_municipality(reg, forms), limit, seed)
+    counts = S.counts_by_code_and_municipality(reg, forms)
+    if codes_path is not None:
+        last = None
+        if T.path_exists(spark, out_path):
+            last = S.last_code(spark.read.parquet(out_path)).first()["last_code"]  # one value
+        codes = S.code_range(spark.read.parquet(codes_path).select("sni_code"), last)
+        counts = counts.join(codes, "sni_code", "left_semi")
+    sel = S.budgeted_selection(counts, limit, seed)
     picked = S.sampled_companies(reg, sel).drop("sni_code")
     picked.write.mode("append").parquet(out_path)
     return S.fetched_total(sel)
@@ -42,20 +60,35 @@ def sample_job(spark: SparkSession, register_path: str, legal_forms_path: str, o
 
 def lookup_job(spark: SparkSession, companies_path: str, hits_path: str, codes_path: str,
                out_path: str, limit: int = K.LOOKUPS_PER_CODE, regenerate: bool = False) -> None:
-    """Companies get the first search hit as url (or are removed)."""
-    comp = spark.read.parquet(companies_path)
+    """Companies get the first search hit as url (or are removed). With
+    ``regenerate`` those with a url are looked up again, and whoever got one
+    counts again for its later codes."""
+    comp, hits = spark.read.parquet(companies_path), spark.read.parquet(hits_path)
     codes = spark.read.parquet(codes_path).select("sni_code")
-    processed = N.serial_code_quota(comp, codes, limit, has_url="BOTH" if regenerate else "NO")
-    N.apply_lookup_results(comp, processed, spark.read.parquet(hits_path)) \
+    if regenerate:
+        processed = N.serial_code_quota(comp, codes, limit, has_url="BOTH", staying=N.successful_lookups(comp, hits))
+    else:
+        processed = N.serial_code_quota(comp, codes, limit, has_url="NO")
+    N.apply_lookup_results(comp, processed, hits) \
         .write.mode("overwrite").parquet(out_path)
 
 
 def frontier_job(spark: SparkSession, companies_path: str, stored_pages_path: str | None,
-                 out_path: str, filter_: bool = True, mode: str = "reference") -> None:
-    """Urls still to fetch: start urls minus stored ones (stop-listed dropped)."""
+                 out_path: str, filter_: bool = True, mode: str = "reference", follow_links: bool = False) -> None:
+    """Urls still to fetch: start urls minus stored ones (stop-listed dropped).
+
+    With ``follow_links`` the stored start pages are parsed and their links of
+    the same site join the frontier one level deeper (H14).
+    """
     seed = C.start_urls(spark.read.parquet(companies_path))
     stored = (T.scraped_urls(spark, stored_pages_path) if stored_pages_path
               else spark.createDataFrame([], "url string"))
+    if follow_links and stored_pages_path:
+        pages = T.read_page_dump(spark, stored_pages_path).join(seed.select("url").distinct(), "url", "left_semi")
+        linked = H.parse_pages(pages, html_col="raw_html", keep=["label", "url"], with_links=True, parts=()) \
+            .filter("ok").withColumn("depth", F.lit(0))
+        C.next_frontier(seed, linked, stored, filter_, mode).write.mode("overwrite").parquet(out_path)
+        return
     if filter_:
         seed = seed.filter(~C.stop_listed("url", mode))
     C.unscraped(seed, stored).write.mode("overwrite").parquet(out_path)

@@ -122,6 +122,27 @@ def w03(spark, sf):
     return N.serial_code_quota(fx.v_companies(spark, sf), codes, limit=100)
 
 
+# The same with companies of any url; only those whose lookup fails leave the pool.
+_USABLE = """SELECT c.company_id FROM v_companies c
+  JOIN (SELECT name, min(link) AS link FROM v_hits WHERE rank = 1 GROUP BY name) h
+    ON h.name = replace(replace(lower(c.name), 'aktiebolag', ''), 'handelsbolag', '')
+  WHERE h.link <> '' AND NOT EXISTS (SELECT 1 FROM (SELECT unnest([{bl}]) AS d) b WHERE contains(h.link, b.d))""".format(
+    bl=", ".join(f"'{d}'" for d in K.URL_BLACKLIST))
+W03_REGENERATE_SQL = (W03_SQL.replace("(url IS NULL OR regexp_matches(url, '^\\s*$')) AND ", "")
+                      .replace("AND NOT list_contains(list_transform(s.taken, lambda t: t.company_id), e.company_id)",
+                               "AND (e.company_id IN (SELECT company_id FROM usable) OR"
+                               " NOT list_contains(list_transform(s.taken, lambda t: t.company_id), e.company_id))")
+                      .replace("steps(k, taken) AS (", f"usable AS ({_USABLE}),\nsteps(k, taken) AS ("))
+
+
+@query("w03_regenerating_quota", W03_REGENERATE_SQL)
+def w03_regenerate(spark, sf):
+    """Lookups that regenerate urls: a company that got one counts again for its later codes."""
+    c = fx.v_companies(spark, sf)
+    return N.serial_code_quota(c, fx.v_sni(spark).select("sni_code"), limit=100, has_url="BOTH",
+                               staying=N.successful_lookups(c, fx.v_hits(spark, sf)))
+
+
 def _j10_sql():
     body = W03_SQL[len("WITH RECURSIVE "):]
     head, final = body.rsplit("SELECT t.company_id, t.code FROM (", 1)

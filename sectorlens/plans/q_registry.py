@@ -299,6 +299,37 @@ def e19(spark, sf):
     return p.select("page_id", "host", "domain", "suffix")
 
 
+def _variables(spark, sf):
+    """Variables from the part brands, with register operators by the brand's number; the low numbers are owned."""
+    brands = table(spark, sf, "part").select("p_brand", F.regexp_extract("p_brand", "(\\d+)", 1).cast("int").alias("n")).distinct()
+    ops = F.when(F.col("n") % 2 == 0, F.array(F.lit("Innehaller"), F.lit("ArLikaMed"))).otherwise(F.array(F.lit("Mellan"), F.lit("Finns")))
+    return (brands.select(F.col("p_brand").alias("variable"), ops.alias("operators")),
+            brands.where("n <= 12").select(F.col("p_brand").alias("variable")))
+
+
+_BRANDS = "SELECT DISTINCT p_brand AS variable, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) AS n FROM part"
+
+
+@query("p04_variable_catalog",
+       f"""SELECT variable, CASE WHEN n % 2 = 0 THEN 'contains,equals' ELSE 'between,exists' END AS methods, n <= 12 AS owned
+FROM ({_BRANDS}) b""")
+def p04(spark, sf):
+    c = R.variable_catalog(*_variables(spark, sf))
+    return c.select("variable", F.array_join("methods", ",").alias("methods"), "owned")
+
+
+@query("f12_request_verdicts",
+       f"""SELECT p_partkey, r.variable, method, CASE WHEN n IS NULL THEN 'unknown' WHEN n > 12 THEN 'not owned'
+  WHEN (n % 2 = 0) <> (method = 'equals') THEN 'not allowed' ELSE 'ok' END AS verdict
+FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'Nothing' ELSE p_brand END AS variable,
+        CASE WHEN p_size % 2 = 0 THEN 'equals' ELSE 'exists' END AS method FROM part) r LEFT JOIN ({_BRANDS}) b USING (variable)""")
+def f12(spark, sf):
+    part = table(spark, sf, "part")
+    requests = part.select("p_partkey", F.when(F.col("p_partkey") % 7 == 0, "Nothing").otherwise(F.col("p_brand")).alias("variable"),
+                           F.when(F.col("p_size") % 2 == 0, "equals").otherwise("exists").alias("method"))
+    return R.judge_requests(requests, R.variable_catalog(*_variables(spark, sf)))
+
+
 # Url forms built from each page: unlisted suffix, two-label suffix, listed only in a given table, IP, no scheme, one label.
 _FORMS = ["concat('http://www.a', {i}, '.mx/x')", "concat('https://shop.b', {i}, '.co.uk?q=1')", "concat('http://u@c', {i}, '.com.mx:8080/')",
           "concat('http://10.0.0.', {i}, '/om')", "concat('www.d', {i}, '.se/om?u=http://x.de/')", "concat('HTTP://Host', {i}, '#top')",

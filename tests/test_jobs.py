@@ -26,6 +26,20 @@ def test_stage_chain(spark):
     J.frontier_job(spark, f"{base}/register", None, f"{base}/frontier")
     assert spark.read.parquet(f"{base}/frontier").count() > 0
 
+    J.lookup_job(spark, f"{base}/register", f"{base}/hits", f"{base}/codes", f"{base}/companies3", limit=5, regenerate=True)
+    assert spark.read.parquet(f"{base}/companies3").count() > 0
+    start = spark.read.parquet(f"{base}/frontier").first()
+    linked = [(start["label"], start["url"], '<a href="/om/oss">o</a><a href="/x">x</a><a href="http://other.dk/om">p</a>')]
+    spark.createDataFrame(linked, "label string, url string, raw_html string").write.json(f"{base}/stored")
+    J.frontier_job(spark, f"{base}/register", f"{base}/stored", f"{base}/frontier2", follow_links=True)
+    urls = {r["url"]: r["depth"] for r in spark.read.parquet(f"{base}/frontier2").collect()}
+    assert start["url"] not in urls and [u for u, d in urls.items() if d == 1] == [start["url"].rstrip("/") + "/om/oss"]
+
+    J.sample_job(spark, f"{base}/register", f"{base}/forms", f"{base}/resumed", seed=None, codes_path=f"{base}/codes")
+    first = spark.read.parquet(f"{base}/resumed").count()
+    J.sample_job(spark, f"{base}/register", f"{base}/forms", f"{base}/resumed", seed=None, codes_path=f"{base}/codes")
+    assert 0 < first <= spark.read.parquet(f"{base}/resumed").count()
+
     pages = fx.v_scraped(spark, SF_SMALL)
     per, tot = J.extract_job(spark, pages, f"{base}/register", f"{base}/extracted", "2024-03-01 00:00:00")
     assert tot.first()["n_urls"] > 0

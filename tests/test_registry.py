@@ -10,11 +10,11 @@ def test_validation_errors(spark):
     cat = R.default_catalog(c, owned=["name", "url"])
     cat["org_nr"] = R.Variable("org_nr", ("equals",), owned=True)
     q = R.RegistryQuery(c, cat)
-    with pytest.raises(R.VariableDoesNotExist):
+    with pytest.raises(R.UnknownVariable):
         q.equals({"nope": "1"})
-    with pytest.raises(R.DoesNotOwnVariable):
+    with pytest.raises(R.VariableNotOwned):
         q.equals({"legal_form": "49"})
-    with pytest.raises(R.VariableDoesNotSupportOperation):
+    with pytest.raises(R.OperatorNotAllowed):
         q.prefix({"org_nr": "0"})
     assert q.equals({"org_nr": "0000000001"}).fetch().count() <= 1
 
