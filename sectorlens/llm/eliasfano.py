@@ -19,6 +19,7 @@ for _b in range(256):
     _at = [i for i in range(8) if _b >> i & 1]
     _NTH[_b, :len(_at)] = _at
 _HEAD = "<4Q"
+_SLICE = 1 << 14
 
 
 def _select(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
@@ -55,10 +56,11 @@ class EliasFano:
         bits = max(0, (universe // max(n, 1)).bit_length() - 1)
         packed = np.zeros(n * bits // 64 + 2, dtype=np.uint64)
         if bits:
-            shifts = np.arange(bits, dtype=np.uint64)
-            flags = ((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8)
-            raw = np.packbits(flags.reshape(-1), bitorder="little")
-            packed.view(np.uint8)[:len(raw)] = raw
+            shifts, raw = np.arange(bits, dtype=np.uint64), packed.view(np.uint8)
+            for at in range(0, n, _SLICE):  # a slice's bits fill whole bytes
+                flags = ((values[at:at + _SLICE, None] >> shifts) & np.uint64(1)).astype(np.uint8)
+                part = np.packbits(flags.reshape(-1), bitorder="little")
+                raw[at * bits // 8:at * bits // 8 + len(part)] = part
         tops = (values >> np.uint64(bits)).astype(np.int64) if bits < 64 else np.zeros(n, np.int64)
         size = n + int((universe - 1) >> bits) + 2
         marks = np.zeros((size + 63) // 64 * 64, dtype=np.uint8)

@@ -39,7 +39,7 @@ from .words import whitespace_words
 
 FOLDS, HELD_OUT = 5, 1
 LAMBDA = 0.7
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS, CHUNK_BYTES = 1 << 20, 8 << 20
 LEAST_SHARE = 2.0 ** -20
 FINGER_BITS = 40
 LOWEST = -9.0  # logarithm of code 1; code 255 is 0, code 0 means unseen
@@ -130,7 +130,7 @@ def pack_documents(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part, texts in chunks(batch, batch.column(2)):
+            for part, texts in chunks(batch, batch.column(2), CHUNK_BYTES):
                 vocabulary: dict[bytes, int] = {}
                 tokens, sizes = [], []
                 for text in texts.to_pylist():
