@@ -9,7 +9,7 @@ from sectorlens.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.check_oracles import digest
 
-SLOW = {"m07_model_selection"}
+SLOW = {"m07_model_selection", "pipeline"}    # fitted in test_jobs; chained in tests/llm
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +29,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query(spark, con, name):
     if name in SLOW:
-        pytest.skip("slow model fit; covered by the oracle tool")
+        pytest.skip("slow; covered by another test and the oracle tool")
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
