@@ -3,9 +3,12 @@
 All templates and base phrases go into one automaton over word numbers. A
 document streams through it once; at each word the automaton knows the
 longest stretch ending there that occurs in some template (the matching
-statistics). Stretches that cannot be longer are chained, in order, along a
-template; a chain that covers enough of it is a span with the template's
-label. A base phrase ends wherever the matched stretch ends with it.
+statistics), and by its suffix links the longest of every other template.
+Stretches that cannot be longer are chained, in order, along a template: every
+stretch starts a chain and extends all that it fits, and of chains that share
+words the one that covers most is kept. A chain that covers enough is a span
+with the template's label. A base phrase ends wherever the matched stretch
+ends with it.
 
 Defined cases: a null text counts as empty; texts without words have n_words
 0, no spans, score 0 and empty labels; every row gives one row, repeated rows
@@ -14,6 +17,8 @@ alike; input columns named like an output column are replaced by it.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -126,9 +131,18 @@ class Scanner:
             for i, p in enumerate(self.sequences[len(templates):]):
                 if longest[len(longest) - len(p):] == p:
                     self.phrases[state].append((i, len(p)))
+        # for each state (template, end in it, length) of the longest stretches; length 0 stands for the matched one
+        self.places: list[list[tuple[int, int, int]]] = [[] for _ in self.automaton.size]
+        for state in range(1, len(self.automaton.size)):
+            seen, at = set(), state
+            while self.automaton.size[at] >= MIN_MATCH:
+                new = {e for e in self.automaton.ends[at] if e[0] < len(self.labels)} - seen
+                self.places[state] += [(n, stop, self.automaton.size[at] if at != state else 0) for n, stop in sorted(new)]
+                seen |= new
+                at = self.automaton.link[at]
 
     def scan(self, words: list[bytes]):
-        """(places of base phrases, matched stretches) of a document's words."""
+        """(places of base phrases, matched stretches as (template, start, end, end in the template)) of a document's words."""
         get = self.terms.get
         ids = np.fromiter((get(w, -1) for w in words), dtype=np.int32, count=len(words))
         known = np.flatnonzero(ids >= 0)
@@ -138,53 +152,64 @@ class Scanner:
         for run in np.split(known, np.flatnonzero(np.diff(known) > 1) + 1):  # a foreign word ends every stretch
             if len(run) < 2:
                 continue
-            at, before = int(run[0]), (0, 0)
-            for length, state in self.automaton.statistics(ids[run].tolist()):
-                if length <= before[0] and before[0] >= MIN_MATCH:
-                    stretches.append((at - before[0], at, before[1]))
+            first, tokens = int(run[0]), [*ids[run].tolist(), -1]
+            for i, (length, state) in enumerate(self.automaton.statistics(tokens[:-1]), 1):
+                if length >= MIN_MATCH:
+                    for n, stop, size in self.places[state]:
+                        if stop == len(self.sequences[n]) or self.sequences[n][stop] != tokens[i]:
+                            stretches.append((n, first + i - (size or length), first + i, stop))
                 for phrase, size in self.phrases[state]:
                     if length >= size:
-                        places.append((at + 1 - size, phrase))
-                at, before = at + 1, (length, state)
-            if before[0] >= MIN_MATCH:
-                stretches.append((at - before[0], at, before[1]))
+                        places.append((first + i - size, phrase))
         return places, stretches
 
-    def chains(self, stretches) -> list[tuple[str, int, int, float]]:
-        """(label, start, end, cover) of every chain of stretches along a template."""
-        open_: dict[int, list[int]] = {}  # template: start, end in the document, end in the template, words matched
-        done = []
-
-        def close(n: int) -> None:
-            start, end, _, matched = open_.pop(n)
-            done.append((self.labels[n], start, end, matched / max(len(self.sequences[n]), end - start)))
-        for start, end, state in stretches:
-            places: dict[int, list[int]] = {}
-            for n, stop in self.automaton.ends[state]:
-                if n < len(self.labels):
-                    places.setdefault(n, []).append(stop)
-            for n, stops in places.items():
-                if n in open_:
-                    _, till, reached, _ = open_[n]
-                    onward = [(max(till - start, reached - stop + end - start, 0), stop) for stop in stops if stop > reached]
-                    cut, stop = min(onward, default=(0, 0))
-                    if stop and start - till <= MAX_GAP and cut < end - start:
-                        open_[n][1:] = [end, stop, open_[n][3] + end - start - cut]
-                        continue
-                    close(n)
-                open_[n] = [start, end, min(stops), end - start]
-        for n in list(open_):
-            close(n)
-        return sorted(done, key=lambda c: (c[1], c[2], c[0]))
+    def chains(self, stretches) -> tuple[list[tuple[str, int, int, float]], float]:
+        """((label, start, end, cover) of the spans, best cover of any chain).
+
+        Per template, the most words matched are kept for each last stretch
+        and start of a chain. Longer chains than ``reach`` need no look: they
+        have a part that covers as much.
+        """
+        spans, best = [], 0.0
+        of: dict[int, list[tuple[int, int, int]]] = {}
+        for n, start, end, stop in stretches:
+            of.setdefault(n, []).append((end, start, stop))
+        for n, mine in of.items():
+            size = len(self.sequences[n])
+            reach = 3 * size + MAX_GAP
+            found: list[tuple[float, int, int]] = []
+            recent: deque[tuple[int, int, dict[int, int]]] = deque()  # end, end in the template, start: words matched
+            for end, start, stop in sorted(mine):
+                while recent and recent[0][0] < end - size - MAX_GAP:
+                    recent.popleft()
+                chains = {start: end - start}
+                for till, reached, others in recent:
+                    cut = max(till - start, reached - stop + end - start, 0)
+                    if stop > reached and start - till <= MAX_GAP and cut < end - start:
+                        for first, matched in others.items():
+                            if first < start and end - first <= reach:
+                                chains[first] = max(chains.get(first, 0), matched + end - start - cut)
+                recent.append((end, stop, chains))
+                for first, matched in chains.items():
+                    cover = matched / max(size, end - first)
+                    best = max(best, cover)
+                    if cover >= COVER:
+                        found.append((-cover, first, end))
+            taken: list[tuple[int, int]] = []
+            for cover, start, end in sorted(found):
+                at = bisect_left(taken, (start, end))
+                if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
+                    taken.insert(at, (start, end))
+                    spans.append((self.labels[n], start, end, -cover))
+        return sorted(spans, key=lambda c: (c[1], c[2], c[0])), best
 
     def row(self, words: list[bytes]) -> tuple:
         places, stretches = self.scan(words)
-        chains = self.chains(stretches)
-        spans = [c for c in chains if c[3] >= COVER]
+        spans, best = self.chains(stretches)
         base = {self.base[p] for _, p in places}
         starts = [s for s, _ in places]
         return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
-                ",".join(sorted(base | {c[0] for c in spans})), max((c[3] for c in chains), default=0.0),
+                ",".join(sorted(base | {c[0] for c in spans})), best,
                 [dict(zip(("label", "start", "end", "cover"), c)) for c in spans])
 
 

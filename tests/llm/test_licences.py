@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sectorlens.llm import q_licences  # noqa: F401
-from sectorlens.llm.licences import PHRASES, Automaton, Scanner, scan_licences
+from sectorlens.llm.licences import COVER, MAX_GAP, MIN_MATCH, PHRASES, TEMPLATES, Automaton, Scanner, scan_licences
 from sectorlens.llm.registry import QUERIES
 from sectorlens.llm.words import alnum_words
 from tests.llm.common import docs
@@ -59,3 +59,43 @@ def test_whole_table(spark):
 
 def test_scanner_is_small():
     assert len(Scanner().automaton.size) < 1000
+
+
+def test_verbatim_after_fragments():
+    """Every template verbatim, each time after one of its own fragments, is a full span."""
+    scanner = Scanner()
+    for label, template in TEMPLATES:
+        w = template.encode().split()
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for between in ([b"or"], [b"zz"] * 3):
+                    spans, best = scanner.row([*w[i:j], *between, *w])[-1], scanner.row([*w[i:j], *between, *w])[-2]
+                    at = j - i + len(between)
+                    assert {"label": label, "start": at, "end": at + len(w), "cover": 1.0} in spans and best == 1.0
+    row = scanner.row(alnum_words(b"licensed under the GNU General Public License, that is, licensed under the GNU General Public License version 3"))
+    assert "gpl-3.0" in row[5]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcd"), min_size=3, max_size=8), min_size=1, max_size=3),
+       st.lists(st.sampled_from("abcdx"), max_size=16))
+def test_best_cover_by_brute_force(templates, text):
+    """The best cover against all chains of all maximal stretches of each template."""
+    best = 0.0
+    for t in templates:
+        m = [(i, j, k) for i in range(len(text)) for j in range(len(t)) for k in [next(
+            (k for k in range(len(t) + 1) if i + k >= len(text) or j + k >= len(t) or text[i + k] != t[j + k]), 0)]
+            if k >= MIN_MATCH and not (i and j and text[i - 1] == t[j - 1])]
+
+        def extend(first, end, stop, matched):
+            nonlocal best
+            best = max(best, matched / max(len(t), end - first))
+            for i, j, k in m:
+                cut = max(end - i, stop - j, 0)
+                if j + k > stop and i - end <= MAX_GAP and cut < k and i > first:
+                    extend(first, i + k, j + k, matched + k - cut)
+        for i, j, k in m:
+            extend(i, i + k, j + k, k)
+    scanner = Scanner([(str(n), " ".join(t)) for n, t in enumerate(templates)], ())
+    row = scanner.row([c.encode() for c in text])
+    assert abs(row[-2] - best) < 1e-12 and (best >= COVER) == bool(row[-1])
