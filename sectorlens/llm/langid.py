@@ -13,7 +13,7 @@ language, whatever the corpus size; only that is gathered and broadcast.
 Defined cases: null texts and texts without a letter give ``und`` with score
 0, as does everything if no labelled row exists; words in scripts that no
 language was seen in support none (a text of only such words gets the first
-language with score 0); a null doc_id counts as the empty string in the
+language with score and known 0); a null doc_id counts as the empty string in the
 fold; ties go to the first language in code-point order; repeated rows are
 predicted alike; input columns named like an output column are replaced.
 """
@@ -37,7 +37,7 @@ SCRIPT_SHARE = 0.01
 OUTSIDE_SCRIPT = 25.0
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
-OUT = "lang_pred string, score double, spans array<struct<lang:string,start:int,end:int>>"
+OUT = "lang_pred string, score double, known double, spans array<struct<lang:string,start:int,end:int>>"
 LETTERS = re.compile(r"[^\W\d_]+")
 # First code points of script ranges; what lies before a range's successor belongs to it.
 SCRIPTS = ((0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -176,7 +176,10 @@ def fit(docs: DataFrame) -> Model:
 
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), penalty: float = SWITCH_PENALTY,
              text: str = "text") -> DataFrame:
-    """``keep`` columns plus lang_pred, score and spans (word numbers, ends exclusive)."""
+    """``keep`` columns plus lang_pred, score, known and spans (word numbers, ends exclusive).
+
+    ``score`` is the share of letters labelled ``lang_pred``, ``known`` that of letters labelled with any language.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -192,7 +195,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
                 ids += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
                 sizes.append(len(words))
             if not ids:
-                return [[UNKNOWN] * len(sizes), [0.0] * len(sizes), [[] for _ in sizes]]
+                return [[UNKNOWN] * len(sizes), [0.0] * len(sizes), [0.0] * len(sizes), [[] for _ in sizes]]
             ids, sizes = np.array(ids), np.array(sizes)
             words = list(vocabulary)
             scores, known = model.scores(words)
@@ -203,6 +206,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
             every = np.bincount(doc, letters, len(sizes))
             best = np.where(sizes > 0, won.argmax(1), n_langs)
             score = won.max(1) / np.maximum(every, 1)
+            share = won.sum(1) / np.maximum(every, 1)
             first = np.concatenate([[0], np.cumsum(sizes)])
             change = np.flatnonzero(np.concatenate([[True], (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1])]))
             ends = np.append(change[1:], len(labels))
@@ -210,13 +214,13 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
             for d, la, s, e in zip(doc[change].tolist(), langs[labels[change]].tolist(),
                                    (change - first[doc[change]]).tolist(), (ends - first[doc[change]]).tolist()):
                 spans[d].append({"lang": la, "start": s, "end": e})
-            return [langs[best].tolist(), score.tolist(), spans]
+            return [langs[best].tolist(), score.tolist(), share.tolist(), spans]
         return compute
     return map_texts(docs, text, keep, OUT, make)
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """``docs`` whose language is known for at least ``least`` of their letters, the model fitted on ``docs`` itself."""
+    """``docs`` whose language is known (whichever it is) for at least ``least`` of their letters, the model fitted on ``docs`` itself."""
     rows, text = numbered(docs)
     found = identify(rows, fit(docs), keep=rows.columns, text=text)
-    return renamed_back(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)), docs.columns)
+    return renamed_back(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= least)), docs.columns)

@@ -66,3 +66,13 @@ def test_filter_and_empty(spark):
     assert keep_identified(df.limit(0)).count() == 0
     none = df.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r["lang_pred"] for r in identify(none, fit(none)).collect()} == {"und"}
+
+
+def test_mixed_documents_stay(spark):
+    """No language above half, but all letters labelled: kept; mostly unknown letters: dropped."""
+    mixed, foreign = f"{EN} {RU} {EL}", EN + " " + "漢" * 200
+    df = model_docs(spark).unionByName(docs(spark, [(100, mixed, None, None), (101, foreign, None, None)]))
+    found = {r["doc_id"]: r for r in identify(df, fit(df)).where("doc_id >= 100").collect()}
+    assert found[100]["score"] < 0.5 and found[100]["known"] == 1.0 and {s["lang"] for s in found[100]["spans"]} == {"en", "ru", "el"}
+    assert found[101]["known"] < 0.5
+    assert {r["doc_id"] for r in keep_identified(df).where("doc_id >= 100").collect()} == {100}
