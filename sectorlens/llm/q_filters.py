@@ -51,3 +51,9 @@ def op4_secrets(spark, sf_dir):
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(F.encode(span_list(F.col("base_spans")), "UTF-8"), 256).alias("base_sha256"),
                         span_list(F.col("spans")).alias("spans"))
+
+
+@query("op4_secrets_by_piece")
+def op4_secrets_by_piece(spark, sf_dir):
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), by_piece=True)
+    return found.select("doc_id", span_list(F.col("spans")).alias("spans"))

@@ -6,7 +6,10 @@ each, its character counts are kept incrementally (one character in, one
 out), and with them the sum of c * log2(c), which fixes the window's Shannon
 entropy. The hull of the windows at or above the class's threshold is a
 span, unless an allow-list entry covers the candidate or a base span meets
-it. Entropy sums are held in integer billionths, so they never drift.
+it. ``by_piece`` (redaction) skips no whole candidate: base spans are cut out
+of it, and of what remains the runs of letters and digits that an allow-list
+entry meets; the window slides over every piece left, unless an entry meets
+the whole piece. Entropy sums are held in integer billionths, so they never drift.
 
 Defined cases: a null text counts as empty; every row gives one row, repeated
 rows alike; positions are code points, ends exclusive; an empty table gives
@@ -36,6 +39,7 @@ ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)0123456789|abcdefghij",
 )
+RUN = r"[A-Za-z0-9]+"
 MASK = "[REDACTED]"
 UNIT = 10 ** 9
 _BLOCK = 64
@@ -135,16 +139,48 @@ def high_entropy(word: Column, window: int, bits: float, need: str) -> Column:
     return _let(codes, slide)
 
 
-def entropy_spans(text: Column, base: Column, allow: tuple[str, ...] = ALLOW) -> Column:
-    """Spans of high entropy that neither an allow-list entry nor a base span meets."""
+def _left(m: Column, places: Column, least: int) -> Column:
+    """(start, end, word) of the pieces of ``m``, ``least`` long or more, that no place (sorted by start) touches."""
+    def gap(to: Column, end: Column, out: Column) -> Column:
+        return F.when(end - to >= least, F.concat(out, F.array(F.struct(to.alias("start"), end.alias("end"))))).otherwise(out)
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    gaps = F.aggregate(
+        places, F.struct(m["start"].alias("to"), none.alias("out")),
+        lambda s, p: F.struct(F.greatest(s["to"], p["end"]).alias("to"), gap(s["to"], p["start"], s["out"]).alias("out")),
+        lambda s: gap(s["to"], m["end"], s["out"]))
+    return F.when(F.size(places) == 0, F.array(m)).otherwise(F.transform(gaps, lambda g: F.struct(
+        g["start"].alias("start"), g["end"].alias("end"),
+        F.substring(m["word"], g["start"] - m["start"] + 1, g["end"] - g["start"]).alias("word"))))
+
+
+def entropy_spans(text: Column, base: Column, allow: tuple[str, ...] = ALLOW, by_piece: bool = False) -> Column:
+    """Spans of high entropy in candidates that neither an allow-list entry nor a base span meets.
+
+    ``by_piece``: in what base spans and allow-listed runs leave of the candidates.
+    """
+    def allowed(word: Column) -> Column:
+        met = F.lit(False)
+        for entry in allow:
+            met = met | word.rlike(entry)
+        return met
     parts = []
     for rank, (kind, pattern, window, bits, need) in enumerate(CLASSES, len(BASE_KINDS)):
-        def open_(m):
-            ok = m["word"].rlike(f"[{need}]")
-            for entry in allow:
-                ok = ok & ~m["word"].rlike(entry)
-            return ok & ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        rated = F.transform(F.filter(matches(text, pattern), open_), lambda m: F.struct(
+        def beside_base(m):
+            return _let(F.filter(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+                        lambda met: _left(m, met, window))
+
+        def beside_allowed(m):
+            runs = F.transform(F.filter(matches(m["word"], RUN), lambda r: allowed(r["word"])), lambda r: F.struct(
+                (m["start"] + r["start"]).alias("start"), (m["start"] + r["end"]).alias("end")))
+            return F.when(allowed(m["word"]), F.filter(_let(runs, lambda met: _left(m, met, window)),
+                                                       lambda x: ~allowed(x["word"]))).otherwise(F.array(m))
+        open_ = F.filter(matches(text, pattern), lambda m: m["word"].rlike(f"[{need}]"))
+        if by_piece:
+            pieces = F.flatten(F.transform(F.flatten(F.transform(open_, beside_base)), beside_allowed))
+        else:
+            pieces = F.filter(open_, lambda m: ~allowed(m["word"]) & ~F.exists(
+                base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+        rated = F.transform(pieces, lambda m: F.struct(
             m["start"].alias("start"), high_entropy(m["word"], window, bits, need).alias("at")))
         spans = F.transform(F.filter(rated, lambda r: r["at"]["last"] > 0), lambda r: F.struct(
             (r["start"] + r["at"]["first"] - window).alias("start"), F.lit(rank).alias("rank"),
@@ -153,14 +189,14 @@ def entropy_spans(text: Column, base: Column, allow: tuple[str, ...] = ALLOW) ->
     return F.concat(*parts)
 
 
-def scan_secrets(docs: DataFrame) -> DataFrame:
+def scan_secrets(docs: DataFrame, by_piece: bool = False) -> DataFrame:
     """All columns of ``docs`` plus ``base_spans`` and ``spans`` (base and entropy), sorted by start and kind."""
     made = ("base_spans", "spans")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in made]
     text = F.coalesce(F.col("text"), F.lit(""))
     return (docs.select(*kept, base_spans(text).alias("base_spans"))
             .select("*", _let(F.col("base_spans"), lambda base: F.array_sort(
-                F.concat(base, entropy_spans(text, base)))).alias("spans")))
+                F.concat(base, entropy_spans(text, base, by_piece=by_piece)))).alias("spans")))
 
 
 def span_list(spans: Column) -> Column:
@@ -184,7 +220,7 @@ def redact(text: Column, spans: Column, mask: str = MASK) -> Column:
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret masked in ``text`` and ``n_chars`` (where there is one) following it."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    scanned = scan_secrets(row)
+    scanned = scan_secrets(row, by_piece=True)
     clean = scanned.select("row", F.when(F.size("spans") > 0, redact(F.col("text"), F.col("spans"))).alias("clean"))
     made = {"text": F.col("clean"), "n_chars": F.length("clean")}
     return clean.select(*[
