@@ -6,8 +6,8 @@ shards of documents, so no posting is ever shuffled). The benchmark is the
 query set; it is sent in blocks of bounded size. A window of consecutive item
 words is looked up from its rarest term: the lists of the next rarest terms,
 shifted by their offsets, are intersected with it until none or all are left.
-The same postings answer proximity: all terms of a window within ``near``
-words of its rarest one, in any order.
+The same postings answer proximity, for every window too: all its terms
+within ``near`` words of its rarest one, in any order.
 
 Defined cases: a null or wordless text has no words and no hits; an item
 without words has no window, one shorter than a window is a window itself; an
@@ -30,7 +30,8 @@ from .words import alnum_words
 WINDOW = 10
 NEAR = 20
 BLOCK_BYTES = 8 << 20
-OUT = "n_words long, n_hit long, n_items long, n_near long, items array<string>, items_sha256 string, contaminated boolean"
+OUT = ("n_words long, n_hit long, n_items long, n_near long, items array<string>, items_sha256 string, contaminated boolean, "
+       "near_items array<string>")
 
 
 class Queries:
@@ -47,7 +48,6 @@ class Queries:
                 continue
             for i in range(len(ids) - size + 1):
                 exact.setdefault(tuple(ids[i:i + size]), set()).add(item)
-            for i in range(0, len(ids) - size + 1, size):
                 apart.setdefault(tuple(sorted(set(ids[i:i + size]))), set()).add(item)
         self.exact = [(np.array(w), sorted(x for x in s if x is not None)) for w, s in exact.items()]
         self.apart = [(np.array(w), sorted(x for x in s if x is not None)) for w, s in apart.items()]
@@ -158,7 +158,10 @@ def query_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int =
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("doc_id",), window: int = WINDOW,
                near: int = NEAR, block_bytes: int = BLOCK_BYTES, text: str = "text") -> DataFrame:
-    """``keep`` columns plus n_words, n_hit, n_items, n_near, items, items_sha256, contaminated."""
+    """``keep`` columns plus n_words, n_hit, n_items, n_near, items, items_sha256, contaminated, near_items.
+
+    ``near_items`` are the n_near items matched exactly or nearby.
+    """
     blocks = query_blocks(benchmark, window, block_bytes)
 
     def make():
@@ -167,8 +170,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("do
             starts, hit, exact, close = search(documents, [b.value for b in blocks], near)
             n_hit = [int(hit[s:s + len(d)].sum()) for s, d in zip(starts.tolist(), documents)]
             items = [sorted(x) for x in exact]
-            return [[len(d) for d in documents], n_hit, [len(x) for x in items], [len(x | y) for x, y in zip(exact, close)],
-                    items, [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], [n > 0 for n in n_hit]]
+            nearby = [sorted(x | y) for x, y in zip(exact, close)]
+            return [[len(d) for d in documents], n_hit, [len(x) for x in items], [len(x) for x in nearby], items,
+                    [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], [n > 0 for n in n_hit], nearby]
         return compute
     return map_texts(docs, text, keep, OUT, make)
 

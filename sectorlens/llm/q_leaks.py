@@ -29,3 +29,9 @@ FROM dw LEFT JOIN pos USING (r) LEFT JOIN its USING (r)
 def op6_decontamination(spark, sf_dir):
     found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op6_proximity")
+def op6_proximity(spark, sf_dir):
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_near", "near_items")

@@ -61,3 +61,18 @@ def test_whole_table(spark):
 def test_very_long_text(spark):
     got = find_leaks(docs(spark, ["z " * 400000 + TEN + " z" * 100]), bench(spark, [(1, TEN)])).first()
     assert (got["n_words"], got["n_hit"], got["items"]) == (400110, 10, ["1"])
+
+
+def test_proximity_of_every_window(spark):
+    """Any window of an item in reverse order is found nearby, and the item is listed."""
+    words = [f"w{i}" for i in range(17)]
+    texts = [" ".join(words[i:i + 10][::-1]) for i in range(8)] + [" ".join(words[i:i + 9][::-1]) for i in range(9)]
+    got = find_leaks(docs(spark, texts), bench(spark, [(7, " ".join(words)), (8, TEN)])).orderBy("doc_id").collect()
+    assert [r["near_items"] for r in got] == [["7"]] * 8 + [[]] * 9
+    assert [r["n_near"] for r in got] == [1] * 8 + [0] * 9 and not any(r["contaminated"] for r in got)
+
+
+def test_proximity_query(spark):
+    rows = QUERIES["op6_proximity"](spark, SF).collect()
+    exact = {r["doc_id"]: r["n_items"] for r in QUERIES["op6_decontamination"](spark, SF).collect()}
+    assert all(r["n_near"] == len(r["near_items"]) >= exact[r["doc_id"]] for r in rows) and len(rows) == len(exact)
