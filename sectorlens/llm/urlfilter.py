@@ -17,6 +17,7 @@ blocked; no pages, no rows; input columns named like an output are replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -29,7 +30,10 @@ Rule = tuple[str, str, str]
 # The rules as (host, path, verdict).
 RULES: tuple[Rule, ...] = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
                            ("net", "/es/", "block"), ("net", "/fr/", "block"))
-DAMPING, ROUNDS, LEAST_FRONT = 0.85, 20, 1e-6
+DAMPING, LEAST_FRONT = 0.85, 1e-6
+#: Links after which damping alone leaves less than LEAST_FRONT of both kinds.
+ROUNDS = math.ceil(math.log(LEAST_FRONT / (2 * (1 - DAMPING)), DAMPING))
+FOLD = 8
 SEED_SHARE, THRESHOLD = 0.5, 0.2
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -75,13 +79,14 @@ def host_seeds(judged: DataFrame, share: float = SEED_SHARE) -> DataFrame:
     return seeds.join(F.broadcast(count), "kind").select("kind", "host", (1 / F.col("n")).alias("value"))  # two rows
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
-              least: float = LEAST_FRONT) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, least: float = LEAST_FRONT) -> DataFrame:
     """(host, trust, distrust): personalised PageRank of both kinds.
 
     The rank is the sum of what reaches a host after 0, 1, 2, ... links. Each
-    round moves only the newest part (the front), stores it, and ends the loop
-    when less than ``least`` of it is left.
+    round moves only the newest part (the front) and stores it, until all that
+    is left of it is at most ``least`` of the smallest seed; damping brings
+    that about whatever the links. Every ``FOLD`` rounds the fronts are added
+    to a stored sum.
     """
     forward = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
@@ -90,13 +95,15 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     moves = stored(both.join(total, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("share")),
                    "host_moves")
     front = stored(seeds.withColumn("value", F.col("value") * (1 - damping)), "front")
+    enough = least * (seeds.agg(F.min("value")).first()[0] or 0.0)
     fronts = [front]
-    for _ in range(rounds):
+    while (front.agg(F.sum("value")).first()[0] or 0.0) > enough:
         front = stored(front.join(moves, ["kind", "host"]).groupBy("kind", F.col("to").alias("host"))
                        .agg(F.sum(F.col("value") * F.col("share") * damping).alias("value")), "front")
         fronts.append(front)
-        if (front.agg(F.sum("value")).first()[0] or 0.0) < least:
-            break
+        if len(fronts) > FOLD:
+            fronts = [stored(reduce(DataFrame.unionByName, fronts).groupBy("kind", "host")
+                             .agg(F.sum("value").alias("value")), "ranks")]
     return (reduce(DataFrame.unionByName, fronts).groupBy("host")
             .agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("value"))), F.lit(0.0)).alias(k)
                    for k in ("trust", "distrust")]))

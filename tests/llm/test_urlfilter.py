@@ -7,7 +7,7 @@ import pytest
 
 from sectorlens.llm import q_urls  # noqa: F401
 from sectorlens.llm.registry import QUERIES
-from sectorlens.llm.urlfilter import DAMPING, LEAST_FRONT, ROUNDS, RULES, THRESHOLD, host_edges, judge_urls
+from sectorlens.llm.urlfilter import DAMPING, LEAST_FRONT, ROUNDS, RULES, THRESHOLD, host_edges, judge_urls, propagate
 from tests.llm.common import SF
 
 
@@ -92,3 +92,30 @@ def test_whole_table(spark):
     pages = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").collect()]
     got = {tuple(r) for r in QUERIES["op7_url_filters"](spark, SF).select("page_id", "host", "path", "rule", "verdict").collect()}
     assert got == {(p[0], *w) for p, w in zip(pages, brute(pages)[0])}
+
+
+def test_ranks_solve_the_linear_system(spark):
+    """A ring, a chain of 25 hosts and a cross link: ranks are those of the solved system."""
+    links = [("a", "b", 2), ("b", "c", 1), ("c", "a", 1), ("b", "h0", 3), ("h24", "a", 1)]
+    links += [(f"h{i}", f"h{i + 1}", 1) for i in range(24)]
+    seeds = [("trust", "a", 0.5), ("trust", "h3", 0.5), ("distrust", "c", 1.0)]
+    got = propagate(spark.createDataFrame(seeds, "kind string, host string, value double"),
+                    spark.createDataFrame(links, "src string, dst string, n bigint")).collect()
+    hosts = sorted({h for li in links for h in li[:2]})
+    m = np.zeros((len(hosts), len(hosts)))
+    for s, d, n in links:
+        m[hosts.index(s), hosts.index(d)] = n
+    for kind, a in (("trust", m), ("distrust", m.T)):
+        seed = np.array([sum(v for k, h, v in seeds if (k, h) == (kind, x)) for x in hosts])
+        want = np.linalg.solve(np.eye(len(hosts)) - DAMPING * (a / a.sum(1, keepdims=True)).T, (1 - DAMPING) * seed)
+        assert {r["host"]: r[kind] for r in got} == pytest.approx(dict(zip(hosts, want)), abs=10 * LEAST_FRONT)
+
+
+def test_host_far_from_many_seeds(spark):
+    """1,000 blocked seeds; a host 21 links from ten of them gets 4.9e-5, above the threshold of 3e-5."""
+    pages = [(i, f"http://s{i}.net/es/", None) for i in range(1000)]
+    pages.append((1001, "http://c1.org/", "".join(f'<a href="http://s{i}.net/">' for i in range(10))))
+    pages += [(1000 + k, f"http://c{k}.org/", f'<a href="http://c{k - 1}.org/">') for k in range(2, 30)]
+    got = {r["page_id"] - 1000: r for r in judge_urls(frame(spark, pages)).where("page_id > 1000").collect()}
+    assert got[21]["distrust"] == pytest.approx(0.15 / 100 * DAMPING ** 21)
+    assert all((r["verdict"] == "block") == (0.01 * DAMPING ** k >= THRESHOLD / 1000) for k, r in got.items())
