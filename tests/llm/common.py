@@ -22,7 +22,7 @@ def table_rows(spark, name, *cols):
 def duck(sql, sf=SF, **frames):
     """Rows of DuckDB SQL over the tables of ``sf``, some replaced by pandas frames."""
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         if t not in frames:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for t, f in frames.items():
