@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .audit import pieces
+from .storage import broadcast_checked, stored
 from .textmap import map_texts
 
 FOLDS, HELD_OUT = 5, 0
@@ -261,20 +262,22 @@ def train(toxic: Sequence[bytes], ordinary: Sequence[bytes], rows: Sequence[tupl
 def training_rows(docs: DataFrame, labels: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> list[tuple[bytes, int, bool]]:
     """(text, label, whether it calibrates) of a sample of at most about ``sample_bytes`` a class and use.
 
-    Rows are chosen by a hash of their id below the share that the class's bytes allow.
+    Rows are chosen on ids and sizes alone, by a hash of the id below the share
+    that the class's bytes allow; only the chosen texts leave their place.
     """
     marked = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
-    mine = (docs.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("text").cast("binary").alias("text"))
-            .where(F.length("text").between(1, LONGEST)).join(marked, "doc_id")
-            .select("text", "toxic", F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("draw"),
-                    (F.floor(fold(F.col("doc_id")) / FOLDS) % CALIBRATION == 0).alias("calibrates")))
-    sizes = mine.groupBy("toxic", "calibrates").agg(F.sum(F.length("text")).alias("n")).collect()
+    uses = ["toxic", "calibrates"]
+    sizes = stored(docs.where(~held_out(F.col("doc_id"))).select("doc_id", F.octet_length("text").alias("size"))
+                   .where(F.col("size").between(1, LONGEST)).join(marked, "doc_id")
+                   .select("doc_id", "size", "toxic", (F.floor(fold(F.col("doc_id")) / FOLDS) % CALIBRATION == 0).alias("calibrates"),
+                           F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)).alias("draw")), "toxicity-sizes")
     taken = F.lit(False)
-    for r in sizes:
-        share = min(1.0, sample_bytes / r["n"])
-        below = F.lit(True) if share == 1.0 else F.pmod(F.col("draw"), F.lit(1 << 20)) < int(share * (1 << 20))
+    for r in sizes.groupBy(*uses).agg(F.sum("size").alias("n")).collect():
+        below = F.col("draw") < math.ceil(min(1.0, sample_bytes / r["n"]) * (1 << 20))
         taken = taken | ((F.col("toxic") == r["toxic"]) & (F.col("calibrates") == r["calibrates"]) & below)
-    rows = mine.where(taken).select("text", "toxic", "calibrates").collect()
+    sample = broadcast_checked(stored(sizes.where(taken).select("doc_id", *uses), "toxicity-sample"))
+    rows = (docs.where(~held_out(F.col("doc_id")) & F.octet_length("text").between(1, LONGEST)).join(sample, "doc_id")
+            .select(F.col("text").cast("binary").alias("text"), *uses).collect())
     return sorted((bytes(r["text"]), r["toxic"], r["calibrates"]) for r in rows)
 
 
