@@ -46,9 +46,9 @@ from .textmap import map_texts
 
 FOLDS, HELD_OUT = 5, 0
 CALIBRATION = 4
-SAMPLE_BYTES, LONGEST = 8 << 20, 256 << 10
+SAMPLE_BYTES, LONGEST = 4 << 20, 256 << 10
 WINDOW = 8
-ORDINARY_BYTES, TOXIC_BYTES = 64 << 10, 16 << 10
+ORDINARY_BYTES, TOXIC_BYTES = 32 << 10, 16 << 10
 NGRAMS = (4, 5, 6, 7, 8)
 RATIO, LEAST_G, LEAST_SEEN = 3, 25.0, 3
 LEVEL = 13
@@ -275,7 +275,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_bytes: int = SAMPLE
     for r in sizes.groupBy(*uses).agg(F.sum("size").alias("n")).collect():
         below = F.col("draw") < math.ceil(min(1.0, sample_bytes / r["n"]) * (1 << 20))
         taken = taken | ((F.col("toxic") == r["toxic"]) & (F.col("calibrates") == r["calibrates"]) & below)
-    sample = broadcast_checked(stored(sizes.where(taken).select("doc_id", *uses), "toxicity-sample"))
+    sample = broadcast_checked(stored(sizes.where(taken).select("doc_id", *uses).distinct(), "toxicity-sample"))
     rows = (docs.where(~held_out(F.col("doc_id")) & F.octet_length("text").between(1, LONGEST)).join(sample, "doc_id")
             .select(F.col("text").cast("binary").alias("text"), *uses).collect())
     return sorted((bytes(r["text"]), r["toxic"], r["calibrates"]) for r in rows)
