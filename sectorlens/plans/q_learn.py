@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import dataset as D
 from ..operators import evaluate as V
 from ..operators import learn as L
+from ..operators import sharded as S
 from ..sources import fixtures as fx
 from .registry import query
 
@@ -144,3 +145,82 @@ def m04_given(spark, sf):
     vectors = words.select("token", F.array(F.length("token").cast("double"), F.when(
         F.substring("token", 1, 1) < "m", F.lit(1.0)).otherwise(0.0)).alias("vector"))
     return L.mean_vectors(d, vectors).select("doc_id", "pos", F.round("x", 6).alias("x"))
+
+
+BUCKETS, REGS, ROUNDS = 64, (0.001, 0.05), 3
+
+
+def _softmax_rounds(source: str, rounds: int = ROUNDS) -> str:
+    """CTEs of the training rounds in SQL: w1, w2, ... hold (model, f, label, w, u), u the point of the next gradient, over all rows of ``source``."""
+    regs = ", ".join(f"({i}, CAST({r!r} AS DOUBLE))" for i, r in enumerate(REGS))
+    out = f"""t AS (SELECT doc_id, true_label, unnest(regexp_extract_all(lower(text), '[\\pL\\pM\\p{{Nd}}_]+', 0)) AS token FROM {source}),
+c AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {BUCKETS} AS INT) AS f, count(*) AS k FROM t GROUP BY ALL),
+x AS (SELECT doc_id, f, k / sqrt(sum(k * k) OVER (PARTITION BY doc_id)) AS x FROM c UNION ALL SELECT doc_id, {BUCKETS}, 1.0 FROM {source}),
+s AS (SELECT doc_id, sum(x) AS s FROM x GROUP BY doc_id),
+b AS (SELECT f, sum(x * s) / 2 AS d FROM x JOIN s USING (doc_id) GROUP BY f),
+m AS (SELECT * FROM (VALUES {regs}) AS r(model, reg)),
+n AS (SELECT count(*) AS n FROM {source}),
+w0 AS (SELECT model, f, label, 0.0e0 AS w, 0.0e0 AS u FROM m, b, (SELECT DISTINCT true_label AS label FROM {source}) l)"""
+    for k in range(1, rounds + 1):
+        out += f""",
+z{k} AS (SELECT model, doc_id, label, sum(x * u) AS z FROM x JOIN w{k - 1} USING (f) GROUP BY ALL),
+p{k} AS (SELECT model, doc_id, label, exp(z) / sum(exp(z)) OVER (PARTITION BY model, doc_id) AS p FROM z{k}),
+g{k} AS (SELECT model, f, label, sum(x * (p - CASE WHEN label = true_label THEN 1 ELSE 0 END)) AS g
+         FROM x JOIN p{k} USING (doc_id) JOIN {source} USING (doc_id) GROUP BY ALL),
+h{k} AS (SELECT model, f, label, w, u - (g / n + CASE WHEN f = {BUCKETS} THEN 0 ELSE reg END * u)
+                / (d / n + CASE WHEN f = {BUCKETS} THEN 0 ELSE reg END) AS v
+         FROM w{k - 1} JOIN g{k} USING (model, f, label) JOIN b USING (f) JOIN m USING (model), n),
+w{k} AS (SELECT model, f, label, v AS w, v + {S._momentum(k)!r} * (v - w) AS u FROM h{k})"""
+    return out
+
+
+def _scores_sql(k: int, source: str) -> str:
+    return f"""SELECT model, doc_id, label, exp(z) / sum(exp(z)) OVER (PARTITION BY model, doc_id) AS p
+FROM (SELECT model, doc_id, label, sum(x * w) AS z FROM {source} JOIN w{k} USING (f) GROUP BY ALL) y"""
+
+
+def _sharded(spark, sf):
+    d = fx.v_labelled_docs(spark, sf).select("doc_id", "true_label", "text")
+    return d, S.train(d, ROUNDS, regs=REGS, buckets=BUCKETS, span=16, width=2)
+
+
+@query("m05_sharded_weights", f"""WITH {_softmax_rounds("v_labelled_docs")}
+SELECT model, f AS feature, label, round(w, 6) AS w FROM w{ROUNDS} WHERE round(w, 6) <> 0""")
+def m05_sharded(spark, sf):
+    """M05 by the sharded learner: a grid of two models, their coefficients after three rounds."""
+    _, model = _sharded(spark, sf)
+    return S.weights(model).select("model", "feature", "label", F.round("w", 6).alias("w")).where("w <> 0")
+
+
+@query("m08_sharded_scores", f"""WITH {_softmax_rounds("v_labelled_docs")}
+SELECT model, doc_id, label, round(p, 6) AS score FROM ({_scores_sql(ROUNDS, "x")}) q""")
+def m08_sharded(spark, sf):
+    """M08 by the sharded learner: every document's probability of every code."""
+    d, model = _sharded(spark, sf)
+    return (S.score_map(model, S.probabilities(model, d.select("doc_id", "text")))
+            .select("model", "doc_id", F.explode("scores").alias("label", "score")).withColumn("score", F.round("score", 6)))
+
+
+def _checkpoints_sql() -> str:
+    checks = " UNION ALL ".join(f"SELECT {k} AS round, * FROM ({_scores_sql(k, 'xd')}) q" for k in range(1, ROUNDS + 1))
+    return f"""WITH {_softmax_rounds("v_train")},
+td AS (SELECT doc_id, true_label, unnest(regexp_extract_all(lower(text), '[\\pL\\pM\\p{{Nd}}_]+', 0)) AS token FROM v_dev),
+cd AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {BUCKETS} AS INT) AS f, count(*) AS k FROM td GROUP BY ALL),
+xd AS (SELECT doc_id, f, k / sqrt(sum(k * k) OVER (PARTITION BY doc_id)) AS x FROM cd UNION ALL SELECT doc_id, {BUCKETS}, 1.0 FROM v_dev),
+q AS (SELECT u.*, v.true_label, row_number() OVER (PARTITION BY round, model, u.doc_id ORDER BY p DESC, label) AS r
+      FROM ({checks}) u JOIN v_dev v ON v.doc_id = u.doc_id),
+per AS (SELECT round, model, label, count(*) FILTER (p >= 0.368 AND label = true_label) AS tp, count(*) FILTER (p >= 0.368) AS said,
+               count(*) FILTER (label = true_label) AS gold, count(*) FILTER (r = 1 AND label = true_label) AS hit FROM q GROUP BY ALL)
+SELECT CAST(round AS INT) AS round, model, reg, round(avg(CASE WHEN said + gold > 0 THEN 2 * tp / (said + gold) ELSE 0 END), 6) AS dev_macro_f,
+       round(sum(hit) / sum(gold), 6) AS dev_accuracy FROM per JOIN m USING (model) GROUP BY ALL"""
+
+
+@query("m07_best_checkpoint", _checkpoints_sql(),
+       extra={"v_train": "SELECT * FROM v_labelled_docs WHERE doc_id % 5 <> 0", "v_dev": "SELECT * FROM v_labelled_docs WHERE doc_id % 5 = 0"})
+def m07_checkpoints(spark, sf):
+    """The grid trained in one pass a round, every checkpoint scored on the dev rows."""
+    d = fx.v_labelled_docs(spark, sf).select("doc_id", "true_label", "text")
+    _, _, table = S.train_with_dev(d.where("doc_id % 5 <> 0"), d.where("doc_id % 5 = 0"), REGS, ROUNDS, every=1, patience=ROUNDS,
+                                   buckets=BUCKETS, span=16, width=2)
+    return table.select("round", "model", "reg", F.round("dev_macro_f", 6).alias("dev_macro_f"),
+                        F.round("dev_accuracy", 6).alias("dev_accuracy"))

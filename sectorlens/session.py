@@ -75,6 +75,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sectorlens-run/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back: the lineage is cut and the planner knows the size."""
