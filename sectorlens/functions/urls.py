@@ -13,6 +13,7 @@ _PATH = r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)"
 _HOST = r"^(?:(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//)?(?:[^@/?#]*@)?([^:/?#]*)"
 _IPV4 = r"^\d{1,3}(\.\d{1,3}){3}$"
 MAX_SUFFIX_LABELS = 4
+BUILT_IN_LABELS = max(s.count(".") + 1 for s in K.PUBLIC_SUFFIXES)
 
 
 def url_path(url) -> Column:
@@ -46,12 +47,13 @@ def with_registered_domain(df: DataFrame, url_col: str = "url", prefix: str = ""
     expression. A host that ends in no known suffix has its last label as the
     suffix; an IP address or a single label is a domain without suffix.
     """
-    labels = F.split(F.col(f"{prefix}host"), r"\.")
-    out = df.withColumn(f"{prefix}host", url_host(url_col))
+    labels = F.col("_labels")
+    # the labels are a projection of their own: nested in each later use they would outgrow the generated code
+    out = df.withColumn(f"{prefix}host", url_host(url_col)).withColumn("_labels", F.split(F.col(f"{prefix}host"), r"\."))
     if suffixes is None:
-        known = F.array(*[F.lit(s) for s in K.PUBLIC_SUFFIXES])
-        found = [F.when(F.array_contains(known, t), t)
-                 for t in (_tail(labels, n) for n in range(MAX_SUFFIX_LABELS, 0, -1))]
+        listed = F.array(*[F.array(*[F.lit(s) for s in K.PUBLIC_SUFFIXES if s.count(".") == n - 1]) for n in range(BUILT_IN_LABELS, 0, -1)])
+        tails = F.array(*[_tail(labels, n) for n in range(BUILT_IN_LABELS, 0, -1)])
+        found = [F.get(F.filter(tails, lambda t, i: t.isNotNull() & F.array_contains(F.get(listed, i), t)), 0)]
     else:
         listed = broadcast_if_small(suffixes.select(F.lower(F.col(suffixes.columns[0])).alias("_suffix")).distinct())
         found = []
@@ -66,7 +68,7 @@ def with_registered_domain(df: DataFrame, url_col: str = "url", prefix: str = ""
         .otherwise(F.get(labels, F.size(labels) - n_suffix - 1))
     out = out.withColumn(f"{prefix}suffix", F.coalesce(suffix, F.lit("")))
     return out.withColumn(f"{prefix}domain", F.coalesce(domain, F.lit(""))) \
-        .drop(*[f"_s{n}" for n in range(1, MAX_SUFFIX_LABELS + 1)])
+        .drop("_labels", *[f"_s{n}" for n in range(1, MAX_SUFFIX_LABELS + 1)])
 
 
 def registered_domain(prefix: str = "") -> Column:

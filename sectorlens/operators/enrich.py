@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import contains_any, normalise_name
 from ..functions.urls import registered_domain, with_registered_domain
+from ..session import staged
 from .ordered import broadcast_if_small, top_k_per_key
 
 # Java regex: (?U) gives Unicode \s / \S.
@@ -145,9 +146,8 @@ def company_by_url(urls: DataFrame, companies: DataFrame, url_col: str = "url")
     """J05 (scalable form): find the company of each url.
 
     First an equi-join on the full host, then, for the misses, on the
-    registered domain; the first company by ``company_id`` wins. (The
-    reference searches the host as an unescaped regular expression inside
-    every stored url; that is a nested-loop scan and is not reproduced.)
+    registered domain; the first company by ``company_id`` wins.
+    ``company_by_url_reference`` finds hosts anywhere in the stored url.
     """
     u = with_registered_domain(urls, url_col, prefix="q_").withColumn("q_regdom", registered_domain("q_"))
     c = (with_registered_domain(companies.select("company_id", F.col("url").alias("c_url"))
@@ -163,3 +163,69 @@ def company_by_url(urls: DataFrame, companies: DataFrame, url_col: str = "url")
     by_dom = by_dom.filter("q_regdom != ''").select(F.col("q_regdom").alias("_dom"), F.col("company_id").alias("_by_dom"))
     return (first.withColumn("_key", key).join(by_dom, F.col("_key") == F.col("_dom"), "left")
             .withColumn("company_id", F.coalesce("company_id", "_by_dom")).drop("_key", "_dom", "_by_dom"))
+
+
+GRAM_SIZES = (4, 3, 2, 1)
+
+
+def _grams(text: Column, n: Column) -> Column:
+    """Every run of ``n`` characters of ``text``."""
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.substring(text, i, n))
+
+
+def first_by_pattern(patterns: DataFrame, stored: DataFrame) -> DataFrame:
+    """(pattern, company_id): the first company whose url holds the pattern, ``.`` standing for any character.
+
+    ``patterns`` has distinct rows of one column ``pattern``, ``stored`` distinct
+    rows (s_url, company_id). The urls are posted by character n-grams, only
+    those that some pattern holds; each pattern looks at the postings of its
+    rarest literal n-gram (of the longest size it has) and verifies the whole
+    pattern there. An empty pattern is in every url.
+    """
+    pieces = F.split("pattern", r"\.")
+    longest = F.array_max(F.transform(pieces, lambda p: F.length(p)))
+    size = F.least(F.lit(GRAM_SIZES[0]), longest)
+    held = staged(patterns.where("pattern != ''").select("pattern", size.alias("n")).select(
+        "pattern", "n", F.explode(F.array_distinct(F.flatten(F.transform(pieces, lambda p: _grams(p, F.col("n")))))).alias("gram")), "pattern-grams")
+    needed = held.select("gram").distinct()
+    sizes = F.array(*[F.lit(r[0]) for r in held.select("n").distinct().collect()] or [F.lit(1)])
+    posted = stored.select("s_url", "company_id", F.explode(F.array_distinct(F.flatten(
+        F.transform(sizes, lambda n: _grams(F.col("s_url"), n))))).alias("gram"))
+    postings = staged(posted.join(broadcast_if_small(needed), "gram", "left_semi"), "url-grams")
+    times = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
+    rarest = (held.join(times, "gram", "left").groupBy("pattern")
+              .agg(F.min(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "gram")).alias("k"))
+              .where("k.times > 0").select("pattern", F.col("k.gram").alias("gram")))
+    whole = F.concat(F.lit("\\Q"), F.replace(F.col("pattern"), F.lit("."), F.lit("\\E.\\Q")), F.lit("\\E"))
+    found = (rarest.join(postings, "gram").where(F.regexp_like("s_url", whole))
+             .groupBy("pattern").agg(F.min("company_id").alias("company_id")))
+    every = stored.agg(F.min("company_id").alias("company_id")).where("company_id is not null")
+    return found.unionByName(every.select(F.lit("").alias("pattern"), "company_id"))
+
+
+def company_by_url_reference(urls: DataFrame, companies: DataFrame, url_col: str = "url") -> DataFrame:
+    """J05 as observed: the company whose url holds the looked-up host anywhere.
+
+    The host (empty where it has no suffix, as for an IP address) is searched
+    unescaped, so ``.`` matches any character and an empty host every stored
+    url; then, for the misses, the registered domain. The first company by
+    ``company_id`` wins; a null stored url matches nothing. Other characters
+    are literal, and the search keeps upper and lower case apart.
+    """
+    taken = {"q_host", "q_domain", "q_suffix", "pattern", "company_id", "_base", "_found"} & set(urls.columns) - {url_col}
+    if taken:
+        raise ValueError(f"columns are taken: {sorted(taken)}")
+    stored = staged(companies.where(F.col("url").isNotNull()).groupBy(F.col("url").alias("s_url"))
+                    .agg(F.min("company_id").alias("company_id")), "urls")
+    q = with_registered_domain(urls, url_col, prefix="q_")
+    full = F.when(F.col("q_suffix") == "", "").otherwise(F.col("q_host"))
+    q = staged(q.withColumn("pattern", full).withColumn("_base", F.concat_ws(".", "q_domain", "q_suffix")), "lookups")
+    first = first_by_pattern(q.select("pattern").distinct(), stored)
+    hit = staged(q.select("pattern", "_base").distinct().join(first, "pattern", "left"), "lookups-host")
+    second = first_by_pattern(hit.where("company_id is null").select(F.col("_base").alias("pattern")).distinct(), stored)
+    named = (hit.where("company_id is null").drop("company_id").join(second.withColumnRenamed("pattern", "_base"), "_base", "left")
+             .unionByName(hit.where("company_id is not null"))
+             .select("pattern", F.col("_base").alias("_b"), "company_id"))
+    return (q.join(named, (q["pattern"] == named["pattern"]) & (q["_base"] == named["_b"]), "left")
+            .select(*[q[f"`{c}`"] for c in urls.columns], "company_id"))

@@ -79,6 +79,39 @@ def j05(spark, sf):
     return r.select("qid", "url", "company_id")
 
 
+def _loose_urls(spark, sf):
+    """Lookups of hosts that are parts of stored ones, of wildcards and of hosts without a suffix."""
+    c = fx.v_companies(spark, sf).filter(N.has_url_filter("ONLY"))
+    k = F.col("company_id").cast("string")
+
+    def form(tag, url):
+        return c.select(F.concat(k, F.lit(tag)).alias("qid"), url.alias("url"))
+    return (_lookup_urls(spark, sf).unionByName(form("c", F.concat(F.lit("https://W.c"), k, F.lit(".example.com/x?y"))))
+            .unionByName(form("d", F.concat(F.lit("http://tt.//www.c"), k, F.lit(".net"))))
+            .unionByName(form("e", F.concat(F.lit("http://w.c"), k, F.lit("xexample.com"))))
+            .unionByName(form("f", F.concat(F.lit("http://c"), k)))
+            .unionByName(form("g", F.concat(F.lit("http://"), k, F.lit(".se")))))
+
+
+@query("j05_company_by_url_reference",
+       """WITH k AS (SELECT company_id, CAST(company_id AS VARCHAR) AS k, url FROM v_companies WHERE regexp_matches(url, '^\\S+$')),
+q AS (SELECT concat(k, 'a') AS qid, concat(url, '/about') AS url FROM k UNION ALL SELECT concat(k, 'b'), replace(url, 'www', 'shop') FROM k
+  UNION ALL SELECT concat(k, 'c'), concat('https://W.c', k, '.example.com/x?y') FROM k
+  UNION ALL SELECT concat(k, 'd'), concat('http://tt.//www.c', k, '.net') FROM k
+  UNION ALL SELECT concat(k, 'e'), concat('http://w.c', k, 'xexample.com') FROM k
+  UNION ALL SELECT concat(k, 'f'), concat('http://c', k) FROM k UNION ALL SELECT concat(k, 'g'), concat('http://', k, '.se') FROM k),
+h AS (SELECT qid, url, HOSTQ AS host FROM q),
+p AS (SELECT *, CASE WHEN host LIKE '%_._%' THEN host ELSE '' END AS full_host, CASE WHEN host LIKE '%_._%' THEN REGQ ELSE '' END AS base FROM h),
+d AS (SELECT full_host, base, coalesce((SELECT min(company_id) FROM v_companies c WHERE c.url LIKE '%' || replace(full_host, '.', '_') || '%'),
+                           (SELECT min(company_id) FROM v_companies c WHERE c.url LIKE '%' || replace(base, '.', '_') || '%')) AS company_id
+      FROM (SELECT DISTINCT full_host, base FROM p) u)
+SELECT qid, url, company_id FROM p JOIN d USING (full_host, base)""".replace("HOSTQ", _HOST.format(u="url")).replace(
+           "REGQ", _REGDOM.format(h="host")))
+def j05_reference(spark, sf):
+    r = N.company_by_url_reference(_loose_urls(spark, sf), fx.v_companies(spark, sf))
+    return r.select("qid", "url", "company_id")
+
+
 @query("j08_attach_first_hit",
        """SELECT c.company_id, coalesce(h.link, '') AS link
 FROM (SELECT company_id, replace(replace(lower(name), 'aktiebolag', ''), 'handelsbolag', '') AS query FROM v_companies) c
