@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import accumulate as A
 from ..operators import dataset as D
 from ..operators import sampling as S
-from ..session import staged
+from ..session import run_folder, staged
 from ..sources import fixtures as fx
 from ..sources.tables import table
 from .q_html import PAGE_TEXT_SQL, YEAR_DEDUP_CTE, body_cte
@@ -112,6 +113,34 @@ def a02(spark, sf):
                     F.col("total_chars").cast("long").alias("total_chars"))
 
 
+@query("a01_company_id_blocks",
+       """WITH m AS (SELECT branch_codes[1] AS code, company_id FROM v_companies WHERE regexp_matches(url, '\\S')),
+r AS (SELECT code, company_id, (row_number() OVER (PARTITION BY code ORDER BY company_id) - 1) // 64 AS block FROM m),
+d AS (SELECT *, company_id - lag(company_id) OVER (PARTITION BY code, block ORDER BY company_id) AS delta FROM r)
+SELECT code, CAST(block AS INT) AS block, min(company_id) AS first_id, CAST(count(*) AS INT) AS n,
+       coalesce(string_agg(CAST(delta AS VARCHAR), ',' ORDER BY company_id), '') AS deltas FROM d GROUP BY code, block""")
+def a01_blocks(spark, sf):
+    """A01's id lists: every company of a code, in blocks of 64 ids."""
+    r = A.company_id_blocks(fx.v_companies(spark, sf), D.primary_code(), block=64)
+    return r.select("code", "block", "first_id", "n", F.array_join(F.col("deltas").cast("array<string>"), ",").alias("deltas"))
+
+
+@query("a02_accumulated_documents",
+       """SELECT company_id, strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run_ts, count(*) AS n_pages,
+       CAST(sum(length(data) + 1) AS BIGINT) AS total_chars,
+       md5(left(string_agg(' ' || data, '' ORDER BY CASE WHEN doc_id % 7 < 4 THEN 1 ELSE 2 END, doc_id), 1000000)) AS text_md5
+FROM v_extracted GROUP BY company_id, run_ts""")
+def a02_accumulated(spark, sf):
+    """Pages pushed in two batches, the first of them twice, read back as documents."""
+    path = run_folder(spark, "a02")
+    pages = extracted(spark, sf)
+    first = pages.where("seq % 7 < 4")
+    for name, part in (("first", first), ("first", first), ("second", pages.where("seq % 7 >= 4"))):
+        A.accumulate_pages(part, path, name, buckets=8)
+    docs = A.accumulated_documents(spark, path)
+    return docs.select("company_id", T.run_ts_string("run_ts").alias("run_ts"), "n_pages", "total_chars", F.md5("text").alias("text_md5"))
+
+
 _EXTRACTED_PAGES_SQL = f"""SELECT c.company_id, c.branch_codes[1] AS code, k.n_chars
 FROM ({PAGE_TEXT_SQL}) k JOIN v_scraped s ON s.page_id = k.page_id
 JOIN (SELECT org_nr, min(company_id) AS company_id FROM v_companies GROUP BY org_nr) f ON f.org_nr = s.label
