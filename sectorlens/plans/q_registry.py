@@ -353,3 +353,31 @@ def e19_forms(spark, sf):
     p = p.select("page_id", F.expr(f"CASE page_id % 7 {_forms('i')} END").alias("url"))
     listed = spark.createDataFrame([("co.uk",), ("com.mx",), ("se",), ("mx",)], "suffix string")
     return U.with_registered_domain(p, "url", suffixes=listed).select("page_id", "host", U.registered_domain().alias("regdom"))
+
+
+#: rules in the published forms: plain, wildcard, exception, in Unicode and in ASCII form
+RULE_LINES = ["// comment", "", "com", "uk", "co.uk  // text after the rule", "*.ck", "!www.ck", "cn", "公司.cn", "jp", "*.kawasaki.jp",
+              "!city.kawasaki.jp", "xn--p1ai", "blogspot.com"]
+TAILS = [".example.com", ".x.co.uk", ".a.b.ck", ".www.ck", ".city.kawasaki.jp", ".a.kawasaki.jp", ".b.c.kawasaki.jp", ".食狮.公司.cn",
+         ".xn--85x722f.xn--55qx5d.cn", ".nowhere", ".рф", ".blogspot.com", "b.ck"]
+_TAIL_CASE = "CASE page_id % 13 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(TAILS)) + " END"
+
+
+@query("e19_public_suffix_rules",
+       f"""WITH r AS (SELECT * FROM (VALUES ('com'), ('uk'), ('co.uk'), ('*.ck'), ('!www.ck'), ('cn'), ('xn--55qx5d.cn'), ('jp'),
+  ('*.kawasaki.jp'), ('!city.kawasaki.jp'), ('xn--p1ai'), ('blogspot.com')) AS t(rule)),
+h AS (SELECT page_id, concat('p', CAST(page_id % 100 AS VARCHAR), {_TAIL_CASE}) AS host FROM pages),
+l AS (SELECT page_id, host, string_split(host, '.') AS own,
+             string_split(replace(replace(host, '公司', 'xn--55qx5d'), 'рф', 'xn--p1ai'), '.') AS norm FROM h),
+e AS (SELECT page_id, k, array_to_string(norm[len(norm) - k + 1:], '.') AS tail, array_to_string(norm[len(norm) - k + 2:], '.') AS shorter
+      FROM (SELECT page_id, norm, unnest(range(1, len(norm) + 1)) AS k FROM l) x),
+m AS (SELECT page_id, max(CASE WHEN rule LIKE '!%' THEN 1000 + k - 1 ELSE k END) AS k
+      FROM e JOIN r ON rule = tail OR (k > 1 AND rule = '*.' || shorter) OR rule = '!' || tail GROUP BY page_id)
+SELECT page_id, host, coalesce(own[len(own) - coalesce(k % 1000, 1)], '') AS domain,
+       array_to_string(own[len(own) - coalesce(k % 1000, 1) + 1:], '.') AS suffix FROM l LEFT JOIN m USING (page_id)""")
+def e19_rules(spark, sf):
+    """E19 by published suffix rules over hosts of every form, one for each page."""
+    p = table(spark, sf, "pages").select("page_id")
+    host = F.concat(F.lit("http://p"), (F.col("page_id") % 100).cast("string"), F.expr(_TAIL_CASE), F.lit("/x"))
+    rules = U.suffix_rules(spark.createDataFrame([(r,) for r in RULE_LINES], "line string"))
+    return U.with_public_suffix(p.withColumn("url", host), rules).select("page_id", "host", "domain", "suffix")
