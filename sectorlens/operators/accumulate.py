@@ -3,14 +3,15 @@
 Page texts of a (company, run) accumulate over batches: each batch appends
 its pages behind those already there. Pages stay one row each, in folders by
 (bucket of the company, batch); beside them lies what every batch added to
-every document (pages, characters). So a batch reads the small state of the
+every document (pages, characters, last place). So a batch reads the small state of the
 buckets it touches and never an old text, writes only its own folders, and can
 be repeated: it replaces what it wrote before. A page that begins beyond the
 document's cut is counted in the state and not kept.
 
 Defined cases: a null text counts as empty; null keys are a document of their
 own; batches are named by strings and append in the order they are run, a
-repeated batch with what it held before; pages of one batch lie in ``seq`` order.
+repeated batch with what it held before; pages of one batch lie in ``seq``
+order, those of equal ``seq`` together.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from ..functions.text import truncate
 from ..session import staged
 from ..sources.tables import path_exists
 from .enrich import has_some_url
-from .ordered import prefix_rank
+from .ordered import broadcast_if_small, prefix_rank
 
 KEYS = ["company_id", "run_ts"]
 ID_BLOCK = 1024
@@ -49,24 +50,30 @@ def _write(df: DataFrame, path: str) -> None:
 def accumulate_pages(pages: DataFrame, path: str, batch: str, buckets: int = 64, max_chars: int = K.MAX_TEXT_CHARS) -> None:
     """Append a batch of (company_id, run_ts, seq, url, method, data) to the documents at ``path``."""
     spark = pages.sparkSession
-    new = staged(pages.select(*KEYS, "seq", "url", "method", F.coalesce("data", F.lit("")).alias("data"))
-                 .withColumn("bucket", _bucket(buckets)).withColumn("batch", F.lit(batch)), "batch")
-    size = F.length("data") + 1
-    added = new.groupBy(*KEYS, "bucket", "batch").agg(F.count(F.lit(1)).alias("n_pages"), F.sum(size).cast("long").alias("n_chars"))
-    touched = [r[0] for r in new.select("bucket").distinct().collect()]          # at most ``buckets`` numbers
-    ranked = prefix_rank(new, KEYS, "seq", value=size, rank_col="rank", before_col="before", bounds_from=new.select("seq"))
+    new = (pages.select(*KEYS, "seq", "url", "method", F.coalesce("data", F.lit("")).alias("data"))
+           .withColumn("bucket", _bucket(buckets)).withColumn("batch", F.lit(batch)))
+    # places are found on sizes alone; the texts meet them once
+    sizes = staged(new.groupBy(*KEYS, "seq", "bucket", "batch").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.sum(F.length("data") + 1).cast("long").alias("n_chars")), "batch-sizes")
+    added = sizes.groupBy(*KEYS, "bucket", "batch").agg(F.sum("n_pages").alias("n_pages"), F.sum("n_chars").alias("n_chars"))
+    touched = [r[0] for r in sizes.select("bucket").distinct().collect()]        # at most ``buckets`` numbers
+    ranked = prefix_rank(sizes, KEYS, "seq", value="n_chars", rank_col="rank", before_col="before")
     if path_exists(spark, f"{path}/state"):
-        prior = (_state(spark, path).where(F.col("bucket").isin(touched) & (F.col("batch") != batch))
-                 .groupBy(*KEYS).agg(F.sum("n_pages").alias("pages_so_far"), F.sum("n_chars").alias("chars_so_far")))
-        prior = staged(prior, "prior")
+        prior = staged(_state(spark, path).where(F.col("bucket").isin(touched) & (F.col("batch") != batch)).groupBy(*KEYS).agg(
+            F.max("last_pos").alias("last"), F.sum("n_chars").alias("chars_so_far")), "prior")
         ranked = ranked.join(prior, _same(ranked, prior), "left").drop(prior[KEYS[0]], prior[KEYS[1]])
     else:
-        ranked = ranked.withColumn("pages_so_far", F.lit(0)).withColumn("chars_so_far", F.lit(0))
-    placed = (ranked.withColumn("pos", (F.coalesce("pages_so_far", F.lit(0)) + F.col("rank")).cast("long"))
-              .withColumn("begins", (F.coalesce("chars_so_far", F.lit(0)) + F.col("before")).cast("long"))
-              .where(F.col("begins") < max_chars))
+        ranked = ranked.withColumn("last", F.lit(0)).withColumn("chars_so_far", F.lit(0))
+    places = staged(ranked.select(
+        *KEYS, "seq", (F.coalesce("last", F.lit(0)) + F.col("rank")).cast("long").alias("pos"),
+        (F.coalesce("chars_so_far", F.lit(0)) + F.col("before")).cast("long").alias("begins")), "places")
+    ends = places.groupBy(*KEYS).agg(F.max("pos").alias("last_pos"))
+    kept = broadcast_if_small(places.where(F.col("begins") < max_chars))
+    placed = (new.join(kept, _same(new, kept) & new["seq"].eqNullSafe(kept["seq"]))
+              .drop(kept[KEYS[0]], kept[KEYS[1]], kept["seq"]))
     _write(placed.select(*KEYS, "pos", "begins", "seq", "url", "method", "data", "bucket", "batch"), f"{path}/pages")
-    _write(added, f"{path}/state")
+    _write(added.join(ends, _same(added, ends)).drop(ends[KEYS[0]], ends[KEYS[1]])
+           .select(*KEYS, "n_pages", "n_chars", "last_pos", "bucket", "batch"), f"{path}/state")
 
 
 def accumulated_pages(spark: SparkSession, path: str) -> DataFrame:
