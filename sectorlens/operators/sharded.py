@@ -41,7 +41,7 @@ from ..session import run_folder
 from ..sources.tables import path_exists
 from .learn import tokenize
 
-TOKENS_PER_TILE = 1 << 18
+TILE_BYTES = 3 << 19
 TILES_PER_LANE = 16
 FAN_IN = 128
 CHUNK_NUMBERS = 1 << 22
@@ -86,13 +86,17 @@ def hashed(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str
     return tokenize(whole, text_col).withColumn("hashes", F.transform("tokens", lambda t: token_bucket(t, buckets)))
 
 
-def make_tiles(rows: DataFrame, buckets: int, id_col: str, tokens_per_tile: int = TOKENS_PER_TILE) -> tuple[DataFrame, int]:
-    """Tiles of rows (id, y, hashes) and their number.
+def tile_count(docs: DataFrame, text_col: str, tile_bytes: int) -> int:
+    """Tiles of about ``tile_bytes`` of text each; no text is split into words for it."""
+    total = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 1)).first()[0] or 0
+    return max(1, math.ceil(total / tile_bytes))
+
+
+def make_tiles(rows: DataFrame, buckets: int, id_col: str, blocks: int) -> DataFrame:
+    """``blocks`` tiles of rows (id, y, hashes).
 
     Values are counts scaled to length one per document, the intercept 1 beside them.
     """
-    total = rows.agg(F.sum(F.size("hashes") + 1)).first()[0] or 0
-    blocks = max(1, math.ceil(total / tokens_per_tile))
     kind = rows.schema[id_col].dataType.simpleString()
 
     def make(key, table):
@@ -111,17 +115,16 @@ def make_tiles(rows: DataFrame, buckets: int, id_col: str, tokens_per_tile: int
                                    ("weights", pa.list_(pa.float64()))]))
     dealt = rows.select(F.col(id_col).alias("id"), F.col("y").cast("int").alias("y"), "hashes",
                         F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"))
-    return dealt.groupBy("block").applyInArrow(make, _TILE.format(id=kind)), blocks
+    return dealt.groupBy("block").applyInArrow(make, _TILE.format(id=kind))
 
 
 class _Tile:
     """One tile's arrays, and its features as rows of the coefficients at hand."""
 
     def __init__(self, row: dict, at: Sequence[int], span: int):
-        self.block, self.ys = row["block"], np.array(row["ys"], dtype=np.int64)
-        self.sizes = np.array(row["sizes"], dtype=np.int64)
-        self.values = np.array(row["weights"])
-        features = np.array(row["features"], dtype=np.int64)
+        self.block, self.ys = row["block"], row["ys"].astype(np.int64)
+        self.sizes, self.values = row["sizes"].astype(np.int64), row["weights"]
+        features = row["features"].astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
         place = np.minimum(np.searchsorted(at, features // span), len(at) - 1)
         known = np.asarray(at)[place] == features // span
@@ -153,6 +156,14 @@ class _Tile:
             total[rows] += np.add.reduceat(self.values[order, None] * rest[doc[order]], first, axis=0)
 
 
+def _rows(table: pa.Table | pa.RecordBatch):
+    """The rows, their lists (but ids) as arrays."""
+    columns = dict(zip(table.schema.names, table.columns))
+    for i in range(table.num_rows):
+        yield {c: np.asarray(v[i].values) if c != "ids" and pa.types.is_list(v.type) and v[i].is_valid else v[i].as_py()
+               for c, v in columns.items()}
+
+
 def _matrix(coefs: pa.Table, name: str, layout: Layout, columns: int) -> tuple[list[int], np.ndarray]:
     """(feature ranges in order, their coefficients above a row of zeros)."""
     held = sorted(zip(coefs.column("frange").to_pylist(), range(coefs.num_rows)))
@@ -175,8 +186,7 @@ def _meet(tiles: DataFrame, coefs: DataFrame, layout: Layout, blocks: int, lane_
     def run(key, left, right):
         model, shard, lane = (k.as_py() for k in key)
         at, w = _matrix(right, "at", layout, layout.columns(shard)) if right.num_rows else ([0], np.zeros((layout.span + 1, layout.columns(shard))))
-        rows = ({c: left.column(c)[i].as_py() for c in left.column_names} for i in range(left.num_rows))
-        return work(model, shard, lane, rows, at, w)
+        return work(model, shard, lane, _rows(left), at, w)
     return spread.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
 
@@ -237,9 +247,8 @@ def curvature(tiles: DataFrame, layout: Layout, lanes: int) -> DataFrame:
     """(frange, g): half the sum over documents of x_df times the document's sum, per feature."""
     def part(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                features = np.array(row["features"], dtype=np.int64)
-                at = np.unique(features // layout.span).tolist()
+            for row in _rows(batch):
+                at = np.unique(row["features"] // layout.span).tolist()
                 tile = _Tile(row, at, layout.span)
                 total = np.zeros((len(at) * layout.span + 1, 1))
                 tile.add_gradient(total, np.add.reduceat(tile.values, tile.starts[:-1])[:, None] / 2)
@@ -255,7 +264,7 @@ def gradient(tiles: DataFrame, norms: DataFrame, coefs: DataFrame, layout: Layou
         total = np.zeros_like(w)
         for row in rows:
             tile = _Tile(row, at, layout.span)
-            rest = np.exp(tile.logits(w) - np.array(row["lse"])[:, None])
+            rest = np.exp(tile.logits(w) - row["lse"][:, None])
             y = tile.ys - shard * layout.width
             mine = np.flatnonzero((y >= 0) & (y < rest.shape[1]))
             rest[mine, y[mine]] -= 1
@@ -285,15 +294,15 @@ def stepped(coefs: DataFrame, grads: DataFrame, bound: DataFrame, layout: Layout
     def run(batches):
         for batch in batches:
             ws, ats = [], []
-            for row in batch.to_pylist():
-                w, at = np.array(row["w"]), np.array(row["at"])
-                g = np.array(row["g"]) if row["g"] is not None else np.zeros_like(w)
+            for row in _rows(batch):
+                w, at = row["w"], row["at"]
+                g = row["g"] if row["g"] is not None else np.zeros_like(w)
                 reg = np.full(layout.span, regs[row["model"]])
                 if row["frange"] == layout.buckets // layout.span:
                     reg[layout.buckets % layout.span] = 0.0
                 columns = len(w) // layout.span
                 slope = g / n + np.repeat(reg, columns) * at
-                steep = np.repeat(np.array(row["d"]) / n + reg, columns)
+                steep = np.repeat(row["d"] / n + reg, columns)
                 new = at - np.divide(slope, steep, out=np.zeros_like(w), where=steep > 0)
                 ws.append(new)
                 ats.append(new + beta * (new - w))
@@ -315,10 +324,10 @@ class Trainer:
 
     def __init__(self, docs: DataFrame, regs: Sequence[float] = (0.0,), buckets: int = 1 << 18, label_col: str = "true_label",
                  id_col: str = "doc_id", text_col: str = "text", path: str | None = None, span: int = 256, width: int = 32,
-                 tokens_per_tile: int = TOKENS_PER_TILE, tiles_per_lane: int = TILES_PER_LANE):
+                 tile_bytes: int = TILE_BYTES, tiles_per_lane: int = TILES_PER_LANE):
         self.spark, self.regs, self.id_col, self.text_col = docs.sparkSession, list(regs), id_col, text_col
         self.path = path or run_folder(self.spark, "softmax")
-        self.lane_size, self.tokens_per_tile = tiles_per_lane, tokens_per_tile
+        self.lane_size = tiles_per_lane
         labelled = docs.where(F.col(label_col).isNotNull())
         self.classes = sorted(r[0] for r in labelled.select(label_col).distinct().collect())
         if not self.classes:
@@ -327,7 +336,8 @@ class Trainer:
         named = self.spark.createDataFrame(list(zip(self.classes, range(len(self.classes)))), f"`{label_col}` string, y int")
         rows = hashed(labelled.select(id_col, F.col(label_col).cast("string").alias(label_col), text_col)
                       .join(F.broadcast(named), label_col), buckets, id_col, text_col)
-        tiles, self.blocks = make_tiles(rows, buckets, id_col, tokens_per_tile)
+        self.blocks = tile_count(labelled, text_col, tile_bytes)
+        tiles = make_tiles(rows, buckets, id_col, self.blocks)
         self.tiles = _kept(lambda: tiles, self.spark, f"{self.path}/tiles")
         self.n = self.tiles.agg(F.sum(F.size("ids"))).first()[0]
         self.bound = _kept(lambda: curvature(self.tiles, self.layout, self.blocks), self.spark, f"{self.path}/bound")
@@ -368,11 +378,12 @@ def train(docs: DataFrame, rounds: int = 20, **settings) -> ShardedModel:
 
 
 def probabilities(model: ShardedModel, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  tokens_per_tile: int = TOKENS_PER_TILE, tiles_per_lane: int = TILES_PER_LANE) -> DataFrame:
+                  tile_bytes: int = TILE_BYTES, tiles_per_lane: int = TILES_PER_LANE) -> DataFrame:
     """(model, id, probs), the probability of every class in the order of ``model.classes``."""
     layout = model.layout
     rows = hashed(docs.select(id_col, text_col, F.lit(-1).alias("y")), layout.buckets, id_col, text_col)
-    tiles, blocks = make_tiles(rows, layout.buckets, id_col, tokens_per_tile)
+    blocks = tile_count(docs, text_col, tile_bytes)
+    tiles = make_tiles(rows, layout.buckets, id_col, blocks)
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id_col].dataType)
 

@@ -56,7 +56,7 @@ def generated(n=60, seed=5):
     return rows + [(n, "a", ""), (n + 1, "b", None), (n + 2, None, "no label"), (n + 3, "c", "hot " * 5000)]
 
 
-@pytest.mark.parametrize("setting", [dict(span=8, width=2, tokens_per_tile=1 << 18), dict(span=4, width=5, tokens_per_tile=300, tiles_per_lane=2)])
+@pytest.mark.parametrize("setting", [dict(span=8, width=2, tile_bytes=1 << 20), dict(span=4, width=5, tile_bytes=1200, tiles_per_lane=2)])
 def test_equals_numpy(spark, monkeypatch, setting):
     """Weights, losses and probabilities to 1e-9, in one tile or many tiles, lanes and levels of sums."""
     monkeypatch.setattr(S, "FAN_IN", 2)
@@ -72,7 +72,7 @@ def test_equals_numpy(spark, monkeypatch, setting):
     assert [loss for _, _, loss in model.losses] == pytest.approx(losses, abs=1e-9)
     z = matrix([r[2] for r in rows], buckets) @ w
     p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
-    probs = {r["doc_id"]: r["probs"] for r in S.probabilities(model, spark.createDataFrame(rows, DOCS), tokens_per_tile=500,
+    probs = {r["doc_id"]: r["probs"] for r in S.probabilities(model, spark.createDataFrame(rows, DOCS), tile_bytes=2000,
                                                                tiles_per_lane=1).collect()}
     assert len(probs) == len(rows) and max(np.abs(np.array(probs[i]) - p[i]).max() for i in range(len(rows))) < 1e-9
 
