@@ -4,21 +4,23 @@ A vector is padded to a power of two and rotated by three rounds of random
 signs and a fast Hadamard transform; the axis with the largest coordinate,
 with its sign, is one hash. ``hashes`` of them make a bucket of a table, and
 a vector also probes the buckets that differ in one hash by its second
-largest axis. Two vectors meet where one's own bucket is among the other's
-buckets. The number of hashes follows the number of vectors (a bucket holds a
+largest axis. Two vectors meet in every bucket that both have, own or probed.
+The number of hashes follows the number of vectors (a bucket holds a
 bounded number of unrelated ones on average); the number of tables then
-follows from the wanted recall at the threshold, found by a fixed simulation.
+follows from the wanted recall at the threshold, found by a fixed simulation
+of the meetings of an own with any bucket (those of two probes come on top).
 
 Equal vectors are collapsed first. Buckets are worked through in sorted
 order; a bucket above ``BLOCK`` rows is cut into chunks, and every pair of
 chunks is a group of its own. Within a group all pairs are compared by cosine
 in double precision, but only counts per vector and its group's smallest
-connected id are emitted. A pair that meets several times is counted where it
-meets first, which both vectors' codes tell.
+connected id are emitted. A pair that meets several times is counted in the
+smallest shared bucket of the first table with one, which both codes tell.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, nor do vectors of different lengths or with a
-null id (component null, kept true); rows with equal id and vector link with
+null id (component null, kept true); components of any finite size count, as
+vectors are scaled by a power of two first; rows with equal id and vector link with
 each other; links of rows sharing an id are summed over the id; no vectors,
 no rows; input columns named like an output column are replaced by it.
 """
@@ -54,6 +56,7 @@ class Scheme:
     def width(self) -> int:
         return 1 << max(1, (self.dim - 1).bit_length())
 
+    @lru_cache(maxsize=4096)
     def signs(self, table: int, i: int) -> np.ndarray:
         rng = np.random.default_rng([self.seed, self.dim, table, i])
         return rng.choice([-1.0, 1.0], size=(3, self.width))
@@ -61,7 +64,7 @@ class Scheme:
     def codes(self, vectors: np.ndarray) -> np.ndarray:
         """rows x tables x (1 + hashes): the own bucket, then the probed ones."""
         padded = np.zeros((len(vectors), self.width))
-        padded[:, :self.dim] = vectors
+        padded[:, :self.dim] = scaled(vectors)
         out = np.empty((len(vectors), self.tables, 1 + self.hashes), dtype=np.int64)
         for t in range(self.tables):
             axes = [top_axes(rotate(padded, self.signs(t, i))) for i in range(self.hashes)]
@@ -73,6 +76,11 @@ class Scheme:
         return out
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows whose largest component lies in [0.5, 1): a power of two each, so that nothing is rounded."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
+
+
 def hadamard(rows: np.ndarray) -> np.ndarray:
     n, half = rows.shape[1], 1
     while half < n:
@@ -110,15 +118,15 @@ def scheme_for(dim: int, n: int, threshold: float = THRESHOLD, recall: float = R
     y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
     trial = Scheme(dim, hashes, 4, seed + 1)
     a, b = trial.codes(x), trial.codes(threshold * x + math.sqrt(1 - threshold ** 2) * y)
-    rate = min(0.999, max(0.001, float(meets(a, b)[0].mean())))
+    met = (a[:, :, :1] == b).any(2) | (b[:, :, :1] == a).any(2)
+    rate = min(0.999, max(0.001, float(met.mean())))
     return Scheme(dim, hashes, max(1, math.ceil(math.log(1 - recall) / math.log(1 - rate))), seed)
 
 
 def meets(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For pairs of code rows: in which tables they meet, and the bucket where."""
-    first = (a[:, :, :1] == b).any(2)
-    other = (b[:, :, :1] == a).any(2)
-    return first | other, np.where(first, a[:, :, 0], b[:, :, 0])
+    """For pairs of code rows: in which tables they share a bucket, and the smallest shared bucket there."""
+    shared = (a[:, :, :, None] == b[:, :, None, :]).any(3)
+    return shared.any(2), np.where(shared, a, np.iinfo(np.int64).max).min(2)
 
 
 def group_links(ids, weights, vectors, table: int, bucket: int, scheme: Scheme, sides, threshold: float):
@@ -128,7 +136,8 @@ def group_links(ids, weights, vectors, table: int, bucket: int, scheme: Scheme,
     are this group's. Pairs are compared in strips of bounded size.
     """
     n = len(ids)
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = scaled(vectors)
+    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
     across = sides.min() != sides.max()
     left, right = [], []
     for at in range(0, n, 256):

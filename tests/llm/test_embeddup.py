@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from sectorlens.llm import q_embeddings
 from sectorlens.llm.components import components
-from sectorlens.llm.embeddup import Scheme, hadamard, meets, near_duplicates, scheme_for, top_axes
+from sectorlens.llm.embeddup import Scheme, group_links, hadamard, meets, near_duplicates, scheme_for, top_axes
 from sectorlens.llm.registry import QUERIES
 from tests.llm.common import SF, duck, same, spark_rows
 
@@ -66,6 +66,35 @@ def test_recall_at_the_threshold():
     assert Scheme(64, 2, 3).codes(x[:, :48] @ np.eye(48, 64))[0].shape == (3, 3)
 
 
+def test_pairs_that_meet_by_probes_alone_are_counted_once():
+    rng = np.random.default_rng(5)
+    scheme = scheme_for(32, 20000)
+    x, y = rng.normal(size=(2, 4000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y = 0.901 * x + np.sqrt(1 - 0.901 ** 2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    a, b = scheme.codes(x), scheme.codes(y)
+    own = ((a[:, :, :1] == b).any(2) | (b[:, :, :1] == a).any(2)).any(1)
+    probes = np.flatnonzero(~own & (a[:, :, :, None] == b[:, :, None, :]).any((1, 2, 3)))
+    assert len(probes)
+    ones, sides = np.ones(2, dtype=np.int64), np.zeros(2, dtype=np.int64)
+    for p in [*probes[:3].tolist(), *np.flatnonzero(own)[:3].tolist()]:
+        total, at = np.zeros(2, dtype=np.int64), np.array([10, 20])
+        for t in range(scheme.tables):
+            for bucket in sorted(set(a[p, t].tolist()) & set(b[p, t].tolist())):
+                used, root, n = group_links(at, ones, np.stack([x[p], y[p]]), t, bucket, scheme, sides, 0.9)
+                assert root.tolist() == [10, 10]
+                total[used] += n
+        assert total.tolist() == [1, 1]
+
+
+def test_components_of_any_size(spark):
+    rows = [(1, [1e300, 2e300, 0.0]), (2, [3e-300, 6e-300, 0.0]), (3, [1.0, 2.0, 0.0]), (4, [1.7e308, -1.7e308, 1.7e308])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r[0]: tuple(r)[1:] for r in near_duplicates(df).select(*COLS).collect()}
+    assert got == {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), 4: (0, 4, True)}
+
+
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=14))
 def test_components(spark, pairs):
