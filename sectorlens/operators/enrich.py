@@ -87,40 +87,47 @@ def serial_code_quota(companies: DataFrame, codes: DataFrame, limit: int = K.LOO
     Codes are visited in ascending order; each takes up to ``limit`` of its
     eligible companies (no url, non-empty name) by ``company_id``; a company
     taken by an earlier code is not eligible later. That is the
-    company-proposing deferred acceptance with quotas, computed in rounds
-    until no proposal is rejected. Each round is checkpointed (lineage cut).
-    ``staying`` names companies (company_id) that remain eligible for later
-    codes after they were taken: each of their codes is a proposal of its own.
+    company-proposing deferred acceptance with quotas, computed in rounds by
+    deltas: only rejected companies propose again, to their next code that is
+    not full of smaller ids. A code's bound (the largest id it holds once it
+    is full) only falls, so skipped codes would have rejected them as well.
+    Each round stores the places held (at most codes x limit) and those who
+    propose next. ``staying`` names companies (company_id) that remain
+    eligible for later codes after they were taken: each of their codes is a
+    proposal of its own. Companies without an id take no place.
     Returns ``(company_id, code)``.
     """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(companies.sparkSession)
     code_list = codes.select(F.col(codes.columns[0]).alias("code")).distinct()
-    elig = companies.filter(has_url_filter(has_url) & has_name()).select("company_id", "branch_codes")
+    elig = companies.filter(has_url_filter(has_url) & has_name() & F.col("company_id").isNotNull()).select("company_id", "branch_codes")
     pairs = (elig.select("company_id", F.explode(F.array_distinct("branch_codes")).alias("code"))
              .join(code_list, "code", "left_semi"))
     # each company's candidate codes in ascending order
-    ranked = pairs.groupBy("company_id").agg(F.array_sort(F.collect_set("code")).alias("prefs")).withColumn("seat", F.lit(""))
+    ranked = pairs.groupBy("company_id").agg(F.array_sort(F.collect_set("code")).alias("later")).withColumn("seat", F.lit(""))
     if staying is not None:
         ids = broadcast_if_small(staying.select("company_id").distinct())
         ranked = ranked.join(ids, "company_id", "left_anti").unionByName(
             pairs.distinct().join(ids, "company_id", "left_semi")
-            .select("company_id", F.array("code").alias("prefs"), F.col("code").alias("seat")))
-    prop = ranked.select("company_id", "seat", "prefs", F.lit(1).alias("idx")).checkpoint()
+            .select("company_id", F.array("code").alias("later"), F.col("code").alias("seat")))
+    shape = ["company_id", "seat", "code", "later"]    # ``later``: the codes after ``code``
+    after = F.slice("later", 2, F.size("later"))
+    asking = staged(ranked.select("company_id", "seat", F.get("later", F.lit(0)).alias("code"), after.alias("later")), "quota-asking")
+    held = None
     while True:
-        cur = prop.withColumn("code", F.get(F.col("prefs"), F.col("idx") - 1))
-        kept = top_k_per_key(cur, ["code"], ["company_id"], limit, salt_on="company_id", salts=salts)
-        # at most codes x limit rows: broadcast (checked) so the proposals
-        # are not shuffled again in every round
-        kept_ids = broadcast_if_small(kept.select("company_id", "seat", F.lit(True).alias("_kept")))
-        nxt = (cur.join(kept_ids, ["company_id", "seat"], "left")
-               .withColumn("idx", F.when(F.col("_kept"), F.col("idx")).otherwise(F.col("idx") + 1))
-               .withColumn("_rejected", F.col("_kept").isNull())
-               .filter(F.col("idx") <= F.size("prefs"))
-               .select("company_id", "seat", "prefs", "idx", "_rejected")).checkpoint()
-        if nxt.filter("_rejected").isEmpty():
-            return nxt.select("company_id", F.get(F.col("prefs"), F.col("idx") - 1).alias("code"))
-        prop = nxt.drop("_rejected")
+        now = asking if held is None else asking.unionByName(held)
+        held = staged(top_k_per_key(now, ["code"], ["company_id"], limit, salt_on="company_id", salts=salts).select(*shape),
+                      "quota-held")
+        bounds = (held.groupBy("code").agg(F.max("company_id").alias("_last"), F.count(F.lit(1)).alias("_n"))
+                  .where(F.col("_n") >= limit).select(F.col("code").alias("_full"), "_last"))
+        places = broadcast_if_small(held.select("company_id", "seat", "code"))
+        out = now.join(places, ["company_id", "seat", "code"], "left_anti").where(F.size("later") > 0)
+        tried = (out.select("company_id", "seat", "later", F.posexplode("later").alias("_at", "_next"))
+                 .join(broadcast_if_small(bounds), F.col("_next") == F.col("_full"), "left")
+                 .where(F.col("_last").isNull() | (F.col("company_id") < F.col("_last"))))
+        first = F.min(F.struct("_at", "_next", F.slice("later", F.col("_at") + 2, F.size("later")).alias("_rest")))
+        asking = staged(tried.groupBy("company_id", "seat").agg(first.alias("_k"))
+                        .select("company_id", "seat", F.col("_k._next").alias("code"), F.col("_k._rest").alias("later")), "quota-asking")
+        if asking.isEmpty():
+            return held.select("company_id", "code")
 
 
 def successful_lookups(companies: DataFrame, hits: DataFrame) -> DataFrame:

@@ -163,3 +163,32 @@ def test_prefix_rank_null_keys(spark):
     df = spark.createDataFrame(rows, "k string, o long")
     got = sorted((r["k"] or "", r["o"], r["rank"]) for r in prefix_rank(df, ["k"], "o", n_buckets=4).collect())
     assert got == [("", 1, 1), ("", 2, 2), ("", 3, 3), ("a", 2, 1), ("a", 5, 2)]
+
+
+def test_serial_quota_rounds_write_only_the_rejected(spark, monkeypatch):
+    """Later rounds store who was rejected and has a code left, never all proposals again."""
+    from sectorlens.operators import enrich
+    written = []
+    real = enrich.staged
+
+    def counting(df, name):
+        out = real(df, name)
+        written.append((name, out.count()))
+        return out
+    monkeypatch.setattr(enrich, "staged", counting)
+    rows = [(i, f"n{i}", ["10", "20", "30"] if i % 3 == 0 else ["20"] if i % 3 == 1 else ["30", "10"], None) for i in range(600)]
+    rows.append((None, "nobody", ["10"], None))
+    c = spark.createDataFrame(rows, "company_id long, name string, branch_codes array<string>, url string")
+    codes = spark.createDataFrame([(x,) for x in ["10", "20", "30"]], "sni_code string")
+    got = sorted(tuple(r) for r in serial_code_quota(c, codes, limit=50, salts=4).collect())
+    taken, exp = set(), []
+    for code in ["10", "20", "30"]:
+        mine = [r[0] for r in rows if r[0] is not None and code in r[2] and r[0] not in taken][:50]
+        taken |= set(mine)
+        exp += [(m, code) for m in mine]
+    assert got == sorted(exp)
+    asked = [n for name, n in written if name == "quota-asking"]
+    assert asked[0] == 600 and asked[-1] == 0 and asked == sorted(asked, reverse=True)
+    # those above a full code's bound are not asked to try it
+    assert max(asked[1:]) < 400
+    assert all(n <= 150 for name, n in written if name == "quota-held")
