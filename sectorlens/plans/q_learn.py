@@ -9,6 +9,8 @@ from ..operators import dataset as D
 from ..operators import evaluate as V
 from ..operators import learn as L
 from ..operators import sharded as S
+from ..operators import vectors as W
+from ..session import staged
 from ..sources import fixtures as fx
 from .registry import query
 
@@ -147,6 +149,27 @@ def m04_given(spark, sf):
     return L.mean_vectors(d, vectors).select("doc_id", "pos", F.round("x", 6).alias("x"))
 
 
+@query("m04_ppmi", f"""WITH t AS ({TOKENS_SQL}),
+p AS (SELECT t[i] AS a, t[i + d] AS b FROM (SELECT t, unnest(range(1, len(t))) AS i FROM t) x, (SELECT unnest([1, 2]) AS d) y WHERE i + d <= len(t)),
+c AS (SELECT word, context, sum(n) AS n FROM (SELECT a AS word, b AS context, count(*) AS n FROM p GROUP BY ALL
+      UNION ALL SELECT b, a, count(*) FROM p GROUP BY ALL) u GROUP BY ALL),
+s AS (SELECT word, sum(n) AS n FROM c GROUP BY ALL)
+SELECT c.word, c.context, round(ln(c.n * (SELECT sum(n) FROM s) / (w.n * 1.0e0 * k.n)), 6) AS value
+FROM c JOIN s w ON w.word = c.word JOIN s k ON k.word = c.context WHERE ln(c.n * (SELECT sum(n) FROM s) / (w.n * 1.0e0 * k.n)) > 1e-9""")
+def m04_ppmi(spark, sf):
+    """The matrix that the word vectors factorise, over all documents and words."""
+    d = L.tokenize(fx.v_labelled_docs(spark, sf))
+    return W.ppmi(W.cooccurrence(d)).where("value > 1e-9").select("word", "context", F.round("value", 6).alias("value"))
+
+
+@query("m04_factorised_vectors")
+def m04_factorised(spark, sf):
+    """Mean of the factorised word vectors per document, in long form."""
+    d = staged(L.tokenize(fx.v_labelled_docs(spark, sf)).select("doc_id", "n_tokens", "tokens"), "tokens")
+    vectors, _ = W.factorised(W.ppmi(W.cooccurrence(d, min_count=2)), size=16, oversample=4, rounds=2)
+    return L.mean_vectors(d, vectors.withColumnRenamed("word", "token"))
+
+
 BUCKETS, REGS, ROUNDS = 64, (0.001, 0.05), 3
 
 
