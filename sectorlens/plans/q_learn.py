@@ -159,14 +159,14 @@ FROM c JOIN s w ON w.word = c.word JOIN s k ON k.word = c.context WHERE ln(c.n *
 def m04_ppmi(spark, sf):
     """The matrix that the word vectors factorise, over all documents and words."""
     d = L.tokenize(fx.v_labelled_docs(spark, sf))
-    return W.ppmi(W.cooccurrence(d)).where("value > 1e-9").select("word", "context", F.round("value", 6).alias("value"))
+    return W.mirrored(W.ppmi(W.pair_counts(d)), "value").where("value > 1e-9").select("word", "context", F.round("value", 6).alias("value"))
 
 
 @query("m04_factorised_vectors")
 def m04_factorised(spark, sf):
     """Mean of the factorised word vectors per document, in long form."""
     d = staged(L.tokenize(fx.v_labelled_docs(spark, sf)).select("doc_id", "n_tokens", "tokens"), "tokens")
-    vectors, _ = W.factorised(W.ppmi(W.cooccurrence(d, min_count=2)), size=16, oversample=4, rounds=2)
+    vectors, _ = W.factorised(W.ppmi(W.pair_counts(d, min_count=2)), size=16, oversample=4, rounds=2)
     return L.mean_vectors(d, vectors.withColumnRenamed("word", "token"))
 
 

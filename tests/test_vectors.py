@@ -39,11 +39,11 @@ def test_counts_match_a_loop(spark):
                     exp[t[i], t[i + d]] += 1
                     exp[t[i + d], t[i]] += 1
     for piece in (7, 4096):  # texts longer than a piece count the same
-        got = {(r[0], r[1]): r[2] for r in W.cooccurrence(df, window=3, piece=piece).collect()}
+        got = {(r[0], r[1]): r[2] for r in W.mirrored(W.pair_counts(df, window=3, piece=piece), "n").collect()}
         assert got == dict(exp)
     often = {w for w, n in Counter(w for t in texts for w in t or []).items() if n >= 60}
     assert 0 < len(often) < 8
-    rare = {(r[0], r[1]) for r in W.cooccurrence(df, window=3, min_count=60).collect()}
+    rare = {(r[0], r[1]) for r in W.mirrored(W.pair_counts(df, window=3, min_count=60), "n").collect()}
     assert rare == {k for k in exp if set(k) <= often}
 
 
@@ -52,7 +52,7 @@ def test_planted_topics_are_neighbours(spark):
     topics = [[f"t{t}w{i}" for i in range(12)] for t in range(4)]
     df = spark.createDataFrame([([rnd.choice(rnd.choice([topics[i % 4]] * 9 + topics)) if rnd.random() < 0.1 else rnd.choice(topics[i % 4])
                                   for _ in range(60)],) for i in range(200)], "tokens array<string>")
-    vectors, values = W.factorised(W.ppmi(W.cooccurrence(df)), size=4, rounds=4)
+    vectors, values = W.factorised(W.ppmi(W.pair_counts(df)), size=4, rounds=4)
     assert len(values) == 4 and (np.diff(np.abs(values)) <= 1e-9).all()
     near = W.nearest_words(vectors, ["t0w0", "t3w5", "unknown"], n=11).collect()
     assert {r["query"] for r in near} == {"t0w0", "t3w5"} and len(near) == 22
@@ -62,8 +62,8 @@ def test_planted_topics_are_neighbours(spark):
 
 def test_whole_table_against_dense_factors(spark):
     d = L.tokenize(fx.v_labelled_docs(spark, SF_SMALL))
-    matrix = W.staged(W.ppmi(W.cooccurrence(d, min_count=5)), "test-matrix")
-    words, m = dense(matrix)
+    matrix = W.staged(W.ppmi(W.pair_counts(d, min_count=5)), "test-matrix")
+    words, m = dense(W.mirrored(matrix, "value"))
     assert len(words) > 100 and np.allclose(m, m.T)
     size = 4  # the fifth eigenvalue is far smaller, so NumPy's space is the only right one
     values, exact = best_factors(m, size)
@@ -93,8 +93,8 @@ def test_whole_table_against_dense_factors(spark):
 
 def test_no_pairs(spark):
     empty = spark.createDataFrame([(["a"],), (None,)], "tokens array<string>")
-    vectors, values = W.factorised(W.ppmi(W.cooccurrence(empty)))
+    vectors, values = W.factorised(W.ppmi(W.pair_counts(empty)))
     assert vectors.count() == 0 and len(values) == 0
     pair = spark.createDataFrame([(["a", "b"],)], "tokens array<string>")
-    vectors, values = W.factorised(W.ppmi(W.cooccurrence(pair)), size=4)
+    vectors, values = W.factorised(W.ppmi(W.pair_counts(pair)), size=4)
     assert np.allclose(np.abs(values), [np.log(2)] * 2) and {r[0] for r in vectors.collect()} == {"a", "b"}
