@@ -15,7 +15,7 @@ Defined cases: null texts and texts without a letter give ``und`` with score
 language was seen in support none (a text of only such words gets the first
 language with score and known 0); a null doc_id counts as the empty string in the
 fold; ties go to the first language in code-point order; repeated rows are
-predicted alike; input columns named like an output column are replaced.
+predicted alike; bytes that are no UTF-8 end a word; input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ def held_out(doc_id: Column) -> Column:
 
 def words_of(text: bytes | None) -> list[str]:
     """Lower-cased runs of letters; none if the text has no alphabetic character."""
-    words = LETTERS.findall(text.decode().lower()) if text else []
+    words = LETTERS.findall(text.decode(errors="replace").lower()) if text else []
     return words if any(map(str.isalpha, words)) or any(c.isalpha() for w in words for c in w) else []
 
 

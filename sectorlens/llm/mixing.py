@@ -9,7 +9,8 @@ steps are DataFrame functions; only one small row per source is ever sorted.
 Defined cases: a null text has size 0; a null source is a source of its own,
 last in order; a source of size 0 has target 0; a null ``doc_id`` draws by
 the digest of its text; repeated rows draw alike; an empty table gives no
-rows; input columns named like an output column are replaced by it.
+rows; input columns named like an output column are replaced by it, those of any
+other name stay.
 """
 
 from __future__ import annotations
@@ -68,13 +69,16 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP,
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in made]
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
     targets = stored(source_targets(sizes, weights, cap), "targets")
-    other = broadcast_checked(targets.withColumnRenamed("source", "_mix_source"))
+    key = "_mix_source"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    other = broadcast_checked(targets.withColumnRenamed("source", key))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     drawn = unit_hash(F.col("doc_id"), F.col("text"), seed) < rate - F.floor(rate)
     return (docs.select(*kept, word_count(F.col("text")).alias("size"))
-            .join(other, F.col("source").eqNullSafe(F.col("_mix_source")), "left")
+            .join(other, F.col("source").eqNullSafe(F.col(key)), "left")
             .withColumn("copies", F.floor(rate).cast("int") + F.when(drawn, 1).otherwise(0))
-            .drop("_mix_source"))
+            .drop(key))
 
 
 def emit(plan: DataFrame) -> DataFrame:

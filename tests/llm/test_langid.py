@@ -76,3 +76,12 @@ def test_mixed_documents_stay(spark):
     assert found[100]["score"] < 0.5 and found[100]["known"] == 1.0 and {s["lang"] for s in found[100]["spans"]} == {"en", "ru", "el"}
     assert found[101]["known"] < 0.5
     assert {r["doc_id"] for r in keep_identified(df).where("doc_id >= 100").collect()} == {100}
+
+
+def test_malformed_text(spark):
+    model = fit(model_docs(spark))
+    raw = spark.range(1).selectExpr("id AS doc_id", "cast(X'68ff69' AS string) AS text", "'en' AS lang", "'s' AS source")
+    assert words_of(b"h\xffi") == ["h", "i"]
+    row = identify(raw, model).collect()[0]
+    assert row["lang_pred"] in ("en", "el", "ru") and row["spans"][0]["end"] == 2
+    assert fit(raw).langs in ([], ["en"])

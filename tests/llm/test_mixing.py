@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sectorlens.llm import q_mixing
 from sectorlens.llm.mixing import CAP, SEED, emit, mix_plan, source_targets
@@ -74,3 +75,13 @@ def test_cases(spark):
 def test_whole_table(spark):
     got = QUERIES["op10_mixing"](spark, SF)
     same(spark_rows(got), duck(q_mixing.ORACLE))
+
+
+def test_column_named_like_the_join_key(spark):
+    rows = [(i, "a b c", "xy"[i % 2]) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clash = df.withColumn("_mix_source", F.lit("mine")).withColumn("_MIX_source_", F.lit(1))
+    plain = {r["doc_id"]: (r["target"], r["copies"]) for r in mix_plan(df).collect()}
+    got = mix_plan(clash).collect()
+    assert {r["doc_id"]: (r["target"], r["copies"]) for r in got} == plain
+    assert all(r["_mix_source"] == "mine" and r["_MIX_source_"] == 1 for r in got)
