@@ -3,18 +3,19 @@
 Predictions have one row per document with an array ``scored`` of (label,
 label_pos, score); ranking and document indicators work inside the row,
 without a shuffle. Per-label statistics (A10, A11) take the long form, one
-row per document and label, with decomposable aggregates; the AUC ranks go
-through the skew-safe ``prefix_rank`` (every label is a hot key: it has one
-row per document).
+row per document and label, with decomposable aggregates; the AUC counts a
+histogram per label and ranks only the scores of bins that hold positives and
+negatives, by the skew-safe ``prefix_rank``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import category, percentage
+from ..session import staged
 from .ordered import broadcast_if_small, prefix_rank
 
 COUNTERS = ["correct_label", "top_n_label", "correct_category", "top_n_category"]
@@ -160,20 +161,52 @@ def multilabel_scores(pred: DataFrame, threshold: float = K.DECISION_THRESHOLD)
     return per, tot
 
 
-def label_auc(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """AUC per label by the rank-sum formula (average ranks for ties),
-    and the macro AUC over labels that have both classes."""
-    g = (F.col("label") == F.col("true_label")).cast("long")
-    per_score = pred.groupBy("label", "score").agg(F.sum(g).alias("npos"), F.count(F.lit(1)).alias("n"))
-    ranked = prefix_rank(per_score, ["label"], "score", value="n", rank_col="_k", before_col="below")
-    # average rank of the tied block = below + (n + 1) / 2
-    contrib = ranked.select("label", "npos", "n",
-                            (F.col("npos") * (F.col("below") + (F.col("n") + 1) / 2.0)).alias("rs"))
-    per = contrib.groupBy("label").agg(F.sum("npos").alias("npos"), F.sum("n").alias("n"),
-                                       F.sum("rs").alias("rank_sum"))
-    nneg = F.col("n") - F.col("npos")
-    per = per.withColumn("auc", F.when((F.col("npos") > 0) & (nneg > 0),
-                                       (F.col("rank_sum") - F.col("npos") * (F.col("npos") + 1) / 2.0)
-                                       / (F.col("npos") * nneg)))
-    macro = per.agg(F.avg("auc").alias("macro_auc"))
-    return per.select("label", "npos", (F.col("n") - F.col("npos")).alias("nneg"), "auc"), macro
+def score_bin(score: Column | str = "score", bins: int = 4096) -> Column:
+    """The histogram bin (0 to ``bins - 1``) of a score, of equal width
+    on the logit scale between -40 and 40, so that scores near 0 and near 1
+    are told apart. Null, 0 and less fall in the first bin, 1, more and NaN in the
+    last. The bin never falls as the score rises, which is all the exact ranks need."""
+    s = (F.col(score) if isinstance(score, str) else score).cast("double")
+    at = F.floor((F.ln(s / (1 - s)) + 40) * ((bins - 2) / 80.0)) + 1
+    return (F.when(s.isNull() | (s <= 0), F.lit(0)).when(F.isnan(s) | (s >= 1), F.lit(bins - 1))
+            .otherwise(F.greatest(F.lit(1), F.least(F.lit(bins - 2), at))).cast("int"))
+
+
+def score_histogram(pred: DataFrame, bins: int = 4096) -> DataFrame:
+    """Positives and negatives per label and score bin, at most labels x
+    ``bins`` rows however many documents there are, as a stored table."""
+    g = F.coalesce((F.col("label") == F.col("true_label")).cast("long"), F.lit(0))
+    return staged(pred.groupBy("label", score_bin("score", bins).alias("bin"))
+                  .agg(F.sum(g).alias("npos"), F.sum(1 - g).alias("nneg")), "score_histogram")
+
+
+def tied_scores(pred: DataFrame, histogram: DataFrame, bins: int = 4096) -> DataFrame:
+    """Positives and negatives per distinct score in the bins that hold
+    both, as a stored table. In every other bin the histogram alone decides, so
+    only these rows of documents x labels are shuffled."""
+    both = broadcast_if_small(histogram.where("npos > 0 AND nneg > 0").select(F.col("label").alias("_label"), F.col("bin").alias("_bin")))
+    g = F.coalesce((F.col("label") == F.col("true_label")).cast("long"), F.lit(0))
+    rows = (pred.select("label", score_bin("score", bins).alias("bin"), "score", g.alias("g"))
+            .join(both, F.col("label").eqNullSafe(F.col("_label")) & (F.col("bin") == F.col("_bin")), "left_semi"))
+    return staged(rows.groupBy("label", "bin", "score").agg(F.sum("g").alias("npos"), F.sum(1 - F.col("g")).alias("nneg")), "tied_scores")
+
+
+def label_auc(pred: DataFrame, bins: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Exact AUC per label (ties count half), and the macro AUC over
+    labels that have both classes. ``pred``: (doc_id, true_label, label, score).
+
+    A positive beats the negatives of the lower bins, by the histogram; inside
+    a bin of both kinds it is ranked by its score (``prefix_rank``, a bin may
+    hold any share of the rows). A null true label is a negative everywhere; a
+    null score is the lowest, NaN the highest. ``bins`` changes no result."""
+    histogram = score_histogram(pred, bins)
+    below = Window.partitionBy("label").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    twice = lambda neg, same: F.col("npos").cast("double") * (2.0 * F.coalesce(neg, F.lit(0)) + same)
+    across = histogram.select("label", "npos", "nneg", twice(F.sum("nneg").over(below), F.lit(0)).alias("wins"))
+    ranked = prefix_rank(tied_scores(pred, histogram, bins), ["label", "bin"], "score", value="nneg", rank_col="_k", before_col="below")
+    inside = ranked.select("label", F.lit(0).cast("long").alias("npos"), F.lit(0).cast("long").alias("nneg"),
+                           twice(F.col("below"), F.col("nneg")).alias("wins"))
+    per = across.unionByName(inside).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("npos", "nneg", "wins")])
+    per = per.select("label", "npos", "nneg", F.when((F.col("npos") > 0) & (F.col("nneg") > 0),
+                                                     F.col("wins") / (2.0 * F.col("npos") * F.col("nneg"))).alias("auc"))
+    return per, per.agg(F.avg("auc").alias("macro_auc"))
