@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import category, percentage
 from ..session import staged
-from .ordered import broadcast_if_small, prefix_rank
+from .ordered import broadcast_if_small, planned_bytes, prefix_rank
 
 COUNTERS = ["correct_label", "top_n_label", "correct_category", "top_n_category"]
 
@@ -203,7 +203,10 @@ def label_auc(pred: DataFrame, bins: int = 4096) -> tuple[DataFrame, DataFrame]:
     below = Window.partitionBy("label").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     twice = lambda neg, same: F.col("npos").cast("double") * (2.0 * F.coalesce(neg, F.lit(0)) + same)
     across = histogram.select("label", "npos", "nneg", twice(F.sum("nneg").over(below), F.lit(0)).alias("wins"))
-    ranked = prefix_rank(tied_scores(pred, histogram, bins), ["label", "bin"], "score", value="nneg", rank_col="_k", before_col="below")
+    tied = tied_scores(pred, histogram, bins)
+    # slices of about 8 MB of the stored table, so that a few scores need no quantiles
+    slices = min(1 + planned_bytes(tied) // (8 << 20), max(64, int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    ranked = prefix_rank(tied, ["label", "bin"], "score", value="nneg", rank_col="_k", before_col="below", n_buckets=slices)
     inside = ranked.select("label", F.lit(0).cast("long").alias("npos"), F.lit(0).cast("long").alias("nneg"),
                            twice(F.col("below"), F.col("nneg")).alias("wins"))
     per = across.unionByName(inside).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("npos", "nneg", "wins")])
