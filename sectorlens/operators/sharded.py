@@ -19,7 +19,12 @@ a restarted job goes on after the last complete one.
 The steps are accelerated gradient steps scaled by the diagonal bound
 1/2 * sum_d x_df * sum_f' x_df' of the Hessian, which needs no line search.
 
-Defined cases: a null text or one without tokens has the intercept alone; a class
+Beside the hashed words a document may bring a short dense vector of its own
+(``vector_col``, e.g. the mean of its word vectors): its numbers are further
+features of the same model (M06), trained and scored with the words.
+
+Defined cases: a null text or one without tokens has the intercept alone (and its
+vector); a null vector counts as zeros, one of another length ends the job; a class
 seen only in scoring gets no score; no training rows, no model (ValueError);
 a null label trains nothing; equal documents count each.
 """
@@ -52,11 +57,17 @@ _COEFS = "model int, shard int, frange int, w array<double>, at array<double>"
 
 @dataclass(frozen=True)
 class Layout:
-    """Hashed features (the intercept is one more), classes, and the sizes of a row's ranges."""
+    """Features (``buckets``, the last ``extra`` of them the numbers of a document's own vector,
+    the others hashed words; the intercept is one more), classes, and the sizes of a row's ranges."""
     buckets: int
     classes: int
     span: int = 256
     width: int = 32
+    extra: int = 0
+
+    @property
+    def words(self) -> int:
+        return self.buckets - self.extra
 
     @property
     def shards(self) -> int:
@@ -92,28 +103,33 @@ def tile_count(docs: DataFrame, text_col: str, tile_bytes: int) -> int:
     return max(1, math.ceil(total / tile_bytes))
 
 
-def make_tiles(rows: DataFrame, buckets: int, id_col: str, blocks: int) -> DataFrame:
-    """``blocks`` tiles of rows (id, y, hashes).
+def make_tiles(rows: DataFrame, layout: Layout, id_col: str, blocks: int) -> DataFrame:
+    """``blocks`` tiles of rows (id, y, hashes, vector).
 
-    Values are counts scaled to length one per document, the intercept 1 beside them.
+    Values are counts scaled to length one per document, the vector as given
+    and the intercept 1 beside them.
     """
     kind = rows.schema[id_col].dataType.simpleString()
+    beside = np.arange(layout.words, layout.buckets + 1, dtype=np.int32)     # the vector's features and the intercept
 
     def make(key, table):
         sizes, features, weights = [], [], []
-        for hashes in table.column("hashes"):
+        for hashes, vector in zip(table.column("hashes"), table.column("vector")):
+            own = np.asarray(vector.values, dtype=float) if vector.is_valid else np.zeros(layout.extra)
+            if len(own) != layout.extra:
+                raise ValueError(f"a vector of {len(own)} numbers, not {layout.extra}")
             found, times = np.unique(np.asarray(hashes.values), return_counts=True)
             norm = math.sqrt(float((times.astype(float) ** 2).sum())) or 1.0
-            sizes.append(len(found) + 1)
-            features += [found.astype(np.int32), [buckets]]
-            weights += [times / norm, [1.0]]
+            sizes.append(len(found) + len(beside))
+            features += [found.astype(np.int32), beside]
+            weights += [times / norm, own, [1.0]]
         one = pa.table({"block": [key[0].as_py()], "ids": [table.column("id").to_pylist()], "ys": [table.column("y").to_pylist()],
                         "sizes": [sizes], "features": [np.concatenate(features).astype(np.int32)],
                         "weights": [np.concatenate(weights).astype(float)]})
         return one.cast(pa.schema([("block", pa.int32()), ("ids", pa.list_(table.schema.field("id").type)), ("ys", pa.list_(pa.int32())),
                                    ("sizes", pa.list_(pa.int32())), ("features", pa.list_(pa.int32())),
                                    ("weights", pa.list_(pa.float64()))]))
-    dealt = rows.select(F.col(id_col).alias("id"), F.col("y").cast("int").alias("y"), "hashes",
+    dealt = rows.select(F.col(id_col).alias("id"), F.col("y").cast("int").alias("y"), "hashes", "vector",
                         F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"))
     return dealt.groupBy("block").applyInArrow(make, _TILE.format(id=kind))
 
@@ -244,13 +260,14 @@ def _ranges(at: Sequence[int], total: np.ndarray, span: int) -> list[tuple[int,
 
 
 def curvature(tiles: DataFrame, layout: Layout, lanes: int) -> DataFrame:
-    """(frange, g): half the sum over documents of x_df times the document's sum, per feature."""
+    """(frange, g): half the sum over documents of |x_df| times the document's sum of them, per feature."""
     def part(batches):
         for batch in batches:
             for row in _rows(batch):
                 at = np.unique(row["features"] // layout.span).tolist()
                 tile = _Tile(row, at, layout.span)
                 total = np.zeros((len(at) * layout.span + 1, 1))
+                tile.values = np.abs(tile.values)
                 tile.add_gradient(total, np.add.reduceat(tile.values, tile.starts[:-1])[:, None] / 2)
                 for frange, g in _ranges(at, total, layout.span):
                     yield pa.RecordBatch.from_arrays([pa.array([frange], pa.int32()), pa.array([row["block"]], pa.int32()),
@@ -319,12 +336,24 @@ def _kept(make, spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _vector(column: str | None) -> Column:
+    return (F.col(column) if column else F.lit(None)).cast("array<double>").alias("vector")
+
+
+def with_vectors(docs: DataFrame, parts: DataFrame, size: int, id_col: str = "doc_id", out: str = "vector") -> DataFrame:
+    """``docs`` with the column ``out`` (array of ``size`` numbers) of ``parts``
+    (id, pos from 0, x), as ``learn.mean_vectors`` gives them; what is not in ``parts`` is zero."""
+    at = [F.sum(F.when(F.col("pos") == i, F.col("x")).otherwise(0.0)) for i in range(size)]
+    vectors = parts.groupBy(id_col).agg(F.array(*at).alias(out))
+    return docs.join(vectors, id_col, "left").withColumn(out, F.coalesce(out, F.array_repeat(F.lit(0.0), size)))
+
+
 class Trainer:
     """Rounds of training over stored tiles, resumable in ``path`` (a folder of the shared checkpoint folder if not given)."""
 
     def __init__(self, docs: DataFrame, regs: Sequence[float] = (0.0,), buckets: int = 1 << 18, label_col: str = "true_label",
                  id_col: str = "doc_id", text_col: str = "text", path: str | None = None, span: int = 256, width: int = 32,
-                 tile_bytes: int = TILE_BYTES, tiles_per_lane: int = TILES_PER_LANE):
+                 tile_bytes: int = TILE_BYTES, tiles_per_lane: int = TILES_PER_LANE, vector_col: str | None = None, vector_size: int = 0):
         self.spark, self.regs, self.id_col, self.text_col = docs.sparkSession, list(regs), id_col, text_col
         self.path = path or run_folder(self.spark, "softmax")
         self.lane_size = tiles_per_lane
@@ -332,12 +361,12 @@ class Trainer:
         self.classes = sorted(r[0] for r in labelled.select(label_col).distinct().collect())
         if not self.classes:
             raise ValueError("no labelled rows to train on")
-        self.layout = Layout(buckets, len(self.classes), span, width)
+        self.layout = Layout(buckets + vector_size, len(self.classes), span, width, vector_size)
         named = self.spark.createDataFrame(list(zip(self.classes, range(len(self.classes)))), f"`{label_col}` string, y int")
-        rows = hashed(labelled.select(id_col, F.col(label_col).cast("string").alias(label_col), text_col)
+        rows = hashed(labelled.select(id_col, F.col(label_col).cast("string").alias(label_col), text_col, _vector(vector_col))
                       .join(F.broadcast(named), label_col), buckets, id_col, text_col)
         self.blocks = tile_count(labelled, text_col, tile_bytes)
-        tiles = make_tiles(rows, buckets, id_col, self.blocks)
+        tiles = make_tiles(rows, self.layout, id_col, self.blocks)
         self.tiles = _kept(lambda: tiles, self.spark, f"{self.path}/tiles")
         self.n = self.tiles.agg(F.sum(F.size("ids"))).first()[0]
         self.bound = _kept(lambda: curvature(self.tiles, self.layout, self.blocks), self.spark, f"{self.path}/bound")
@@ -378,12 +407,12 @@ def train(docs: DataFrame, rounds: int = 20, **settings) -> ShardedModel:
 
 
 def probabilities(model: ShardedModel, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  tile_bytes: int = TILE_BYTES, tiles_per_lane: int = TILES_PER_LANE) -> DataFrame:
+                  tile_bytes: int = TILE_BYTES, tiles_per_lane: int = TILES_PER_LANE, vector_col: str | None = None) -> DataFrame:
     """(model, id, probs), the probability of every class in the order of ``model.classes``."""
     layout = model.layout
-    rows = hashed(docs.select(id_col, text_col, F.lit(-1).alias("y")), layout.buckets, id_col, text_col)
+    rows = hashed(docs.select(id_col, text_col, F.lit(-1).alias("y"), _vector(vector_col)), layout.words, id_col, text_col)
     blocks = tile_count(docs, text_col, tile_bytes)
-    tiles = make_tiles(rows, layout.buckets, id_col, blocks)
+    tiles = make_tiles(rows, layout, id_col, blocks)
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id_col].dataType)
 

@@ -173,14 +173,16 @@ def m04_factorised(spark, sf):
 BUCKETS, REGS, ROUNDS = 64, (0.001, 0.05), 3
 
 
-def _softmax_rounds(source: str, rounds: int = ROUNDS) -> str:
-    """CTEs of the training rounds in SQL: w1, w2, ... hold (model, f, label, w, u), u the point of the next gradient, over all rows of ``source``."""
+def _softmax_rounds(source: str, rounds: int = ROUNDS, beside: str = "", extra: int = 0) -> str:
+    """CTEs of the training rounds in SQL: w1, w2, ... hold (model, f, label, w, u), u the point of the next gradient, over all rows of ``source``.
+    ``beside``: rows (doc_id, f, x) of ``extra`` further features."""
+    last = BUCKETS + extra
     regs = ", ".join(f"({i}, CAST({r!r} AS DOUBLE))" for i, r in enumerate(REGS))
     out = f"""t AS (SELECT doc_id, true_label, unnest(regexp_extract_all(lower(text), '[\\pL\\pM\\p{{Nd}}_]+', 0)) AS token FROM {source}),
 c AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {BUCKETS} AS INT) AS f, count(*) AS k FROM t GROUP BY ALL),
-x AS (SELECT doc_id, f, k / sqrt(sum(k * k) OVER (PARTITION BY doc_id)) AS x FROM c UNION ALL SELECT doc_id, {BUCKETS}, 1.0 FROM {source}),
-s AS (SELECT doc_id, sum(x) AS s FROM x GROUP BY doc_id),
-b AS (SELECT f, sum(x * s) / 2 AS d FROM x JOIN s USING (doc_id) GROUP BY f),
+x AS (SELECT doc_id, f, k / sqrt(sum(k * k) OVER (PARTITION BY doc_id)) AS x FROM c UNION ALL SELECT doc_id, {last}, 1.0 FROM {source}{beside}),
+s AS (SELECT doc_id, sum(abs(x)) AS s FROM x GROUP BY doc_id),
+b AS (SELECT f, sum(abs(x) * s) / 2 AS d FROM x JOIN s USING (doc_id) GROUP BY f),
 m AS (SELECT * FROM (VALUES {regs}) AS r(model, reg)),
 n AS (SELECT count(*) AS n FROM {source}),
 w0 AS (SELECT model, f, label, 0.0e0 AS w, 0.0e0 AS u FROM m, b, (SELECT DISTINCT true_label AS label FROM {source}) l)"""
@@ -190,8 +192,8 @@ z{k} AS (SELECT model, doc_id, label, sum(x * u) AS z FROM x JOIN w{k - 1} USING
 p{k} AS (SELECT model, doc_id, label, exp(z) / sum(exp(z)) OVER (PARTITION BY model, doc_id) AS p FROM z{k}),
 g{k} AS (SELECT model, f, label, sum(x * (p - CASE WHEN label = true_label THEN 1 ELSE 0 END)) AS g
          FROM x JOIN p{k} USING (doc_id) JOIN {source} USING (doc_id) GROUP BY ALL),
-h{k} AS (SELECT model, f, label, w, u - (g / n + CASE WHEN f = {BUCKETS} THEN 0 ELSE reg END * u)
-                / (d / n + CASE WHEN f = {BUCKETS} THEN 0 ELSE reg END) AS v
+h{k} AS (SELECT model, f, label, w, u - (g / n + CASE WHEN f = {last} THEN 0 ELSE reg END * u)
+                / (d / n + CASE WHEN f = {last} THEN 0 ELSE reg END) AS v
          FROM w{k - 1} JOIN g{k} USING (model, f, label) JOIN b USING (f) JOIN m USING (model), n),
 w{k} AS (SELECT model, f, label, v AS w, v + {S._momentum(k)!r} * (v - w) AS u FROM h{k})"""
     return out
@@ -224,6 +226,40 @@ def m08_sharded(spark, sf):
             .select("model", "doc_id", F.explode("scores").alias("label", "score")).withColumn("score", F.round("score", 6)))
 
 
+#: Two numbers per token, of either sign, for the joint model: its length against six, its first letter's half.
+TOKEN_VECTOR_SQL = "[(length(token) - 6) / 10.0e0, CASE WHEN substring(token, 1, 1) < 'm' THEN 0.5e0 ELSE -0.5e0 END]"
+JOINT_SQL = _softmax_rounds("v_labelled_docs", beside=f"""
+  UNION ALL SELECT doc_id, {BUCKETS} + pos, coalesce(x, 0) FROM (SELECT doc_id, pos, sum(v[pos + 1]) / count(*) AS x
+    FROM (SELECT doc_id, {TOKEN_VECTOR_SQL} AS v FROM t) y, (SELECT unnest([0, 1]) AS pos) z GROUP BY doc_id, pos) q""", extra=2)
+
+
+def _joint(spark, sf):
+    d = fx.v_labelled_docs(spark, sf).select("doc_id", "true_label", "text")
+    tokens = L.tokenize(d)
+    words = tokens.select(F.explode("tokens").alias("token")).distinct()
+    vectors = words.select("token", F.array((F.length("token") - 6) / 10.0, F.when(
+        F.substring("token", 1, 1) < "m", F.lit(0.5)).otherwise(-0.5)).alias("vector"))
+    d = staged(S.with_vectors(d, L.mean_vectors(tokens, vectors), 2), "joint_documents")
+    return d, S.train(d, ROUNDS, regs=REGS, buckets=BUCKETS, span=16, width=2, vector_col="vector", vector_size=2)
+
+
+@query("m06_joint_weights", f"""WITH {JOINT_SQL}
+SELECT model, f AS feature, label, round(w, 6) AS w FROM w{ROUNDS} WHERE round(w, 6) <> 0""")
+def m06_joint(spark, sf):
+    """M06 over joint features: one model of the hashed words and the mean vector of the document's tokens."""
+    _, model = _joint(spark, sf)
+    return S.weights(model).select("model", "feature", "label", F.round("w", 6).alias("w")).where("w <> 0")
+
+
+@query("m06_joint_scores", f"""WITH {JOINT_SQL}
+SELECT model, doc_id, label, round(p, 6) AS score FROM ({_scores_sql(ROUNDS, "x")}) q""")
+def m06_joint_scores(spark, sf):
+    """Every document's probability of every code by the joint model."""
+    d, model = _joint(spark, sf)
+    return (S.score_map(model, S.probabilities(model, d, vector_col="vector"))
+            .select("model", "doc_id", F.explode("scores").alias("label", "score")).withColumn("score", F.round("score", 6)))
+
+
 def _checkpoints_sql() -> str:
     checks = " UNION ALL ".join(f"SELECT {k} AS round, * FROM ({_scores_sql(k, 'xd')}) q" for k in range(1, ROUNDS + 1))
     return f"""WITH {_softmax_rounds("v_train")},

@@ -31,7 +31,7 @@ def fit(x, y, classes, reg, rounds):
     n, d = len(x), x.shape[1]
     regs = np.full((d, 1), reg)
     regs[-1] = 0
-    bound = (x * x.sum(axis=1, keepdims=True)).sum(axis=0)[:, None] / (2 * n) + regs
+    bound = (np.abs(x) * np.abs(x).sum(axis=1, keepdims=True)).sum(axis=0)[:, None] / (2 * n) + regs
     w = u = np.zeros((d, classes))
     losses, t = [], 1.0
     for _ in range(rounds):
@@ -77,6 +77,40 @@ def test_equals_numpy(spark, monkeypatch, setting):
     assert len(probs) == len(rows) and max(np.abs(np.array(probs[i]) - p[i]).max() for i in range(len(rows))) < 1e-9
 
 
+def test_joint_features_equal_numpy(spark):
+    """Words and a vector with negative numbers in one model; null vectors count as zeros."""
+    rng = np.random.default_rng(11)
+    rows = [(*r, None if i % 9 == 0 else rng.normal(size=3).tolist()) for i, r in enumerate(generated())]
+    docs = spark.createDataFrame(rows, DOCS + ", vec array<double>").repartition(3)
+    buckets, rounds, reg = 16, 4, 0.02
+    model = S.train(docs, rounds, regs=[reg], buckets=buckets, span=4, width=2, tile_bytes=1500, tiles_per_lane=2,
+                    vector_col="vec", vector_size=3)
+
+    def joint(rows):
+        x = matrix([r[2] for r in rows], buckets)
+        return np.hstack([x[:, :-1], [r[3] or [0.0] * 3 for r in rows], x[:, -1:]])
+    known = [r for r in rows if r[1] is not None]
+    w, losses = fit(joint(known), np.array([CLASSES.index(r[1]) for r in known]), 5, reg, rounds)
+    got = np.zeros_like(w)
+    for r in S.weights(model).where(f"feature <= {buckets + 3}").collect():
+        got[r["feature"], CLASSES.index(r["label"])] = r["w"]
+    assert np.abs(got - w).max() < 1e-9
+    assert [loss for _, _, loss in model.losses] == pytest.approx(losses, abs=1e-9)
+    z = joint(rows) @ w
+    p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+    probs = {r["doc_id"]: r["probs"] for r in S.probabilities(model, docs, vector_col="vec").collect()}
+    assert len(probs) == len(rows) and max(np.abs(np.array(probs[i]) - p[i]).max() for i in range(len(rows))) < 1e-9
+    with pytest.raises(Exception, match="a vector of 3 numbers, not 2"):
+        S.train(docs, 1, buckets=buckets, vector_col="vec", vector_size=2)
+
+
+def test_vectors_by_document(spark):
+    docs = spark.createDataFrame([(1, "a", "x"), (2, "a", "y")], DOCS)
+    parts = spark.createDataFrame([(1, 0, 0.5), (1, 2, -2.0)], "doc_id bigint, pos int, x double")
+    got = {r["doc_id"]: r["vector"] for r in S.with_vectors(docs, parts, 3).collect()}
+    assert got == {1: [0.5, 0.0, -2.0], 2: [0.0, 0.0, 0.0]}
+
+
 def test_steps_reach_the_optimum():
     """The rounds end where the gradient is zero, so their fixed point is the regularised maximum-likelihood fit."""
     rows = [r for r in generated() if r[1] is not None]
