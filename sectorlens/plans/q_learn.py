@@ -234,12 +234,11 @@ JOINT_SQL = _softmax_rounds("v_labelled_docs", beside=f"""
 
 
 def _joint(spark, sf):
-    d = fx.v_labelled_docs(spark, sf).select("doc_id", "true_label", "text")
-    tokens = L.tokenize(d)
-    words = tokens.select(F.explode("tokens").alias("token")).distinct()
-    vectors = words.select("token", F.array((F.length("token") - 6) / 10.0, F.when(
-        F.substring("token", 1, 1) < "m", F.lit(0.5)).otherwise(-0.5)).alias("vector"))
-    d = staged(S.with_vectors(d, L.mean_vectors(tokens, vectors), 2), "joint_documents")
+    d = L.tokenize(fx.v_labelled_docs(spark, sf)).select("doc_id", "true_label", "text", "tokens")
+    mean = lambda number: F.when(F.size("tokens") > 0, F.aggregate(
+        "tokens", F.lit(0.0), lambda a, t: a + number(t)) / F.size("tokens")).otherwise(0.0)
+    d = d.withColumn("vector", F.array(mean(lambda t: (F.length(t) - 6) / 10.0),
+                                       mean(lambda t: F.when(F.substring(t, 1, 1) < "m", 0.5).otherwise(-0.5)))).drop("tokens")
     return d, S.train(d, ROUNDS, regs=REGS, buckets=BUCKETS, span=16, width=2, vector_col="vector", vector_size=2)
 
 
