@@ -35,6 +35,7 @@ BUCKETS = 1 << 16
 SWITCH_PENALTY = 8.0
 SCRIPT_SHARE = 0.01
 OUTSIDE_SCRIPT = 25.0
+LIKELY_MARGIN = 0.5
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 OUT = "lang_pred string, score double, known double, spans array<struct<lang:string,start:int,end:int>>"
@@ -92,21 +93,28 @@ class Model:
         weights = np.log((counts + smooth) / (counts.sum(0) + smooth * BUCKETS))
         return cls(langs, weights.astype(np.float32), scripts >= np.maximum(SCRIPT_SHARE * scripts.sum(0), 1))
 
-    def scores(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(score per word and language, whether any language is a candidate); words in slices of bounded size."""
+    def scores(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(score per word and language, whether any language is a candidate, whether one is likely); words in slices of bounded size.
+
+        A language is likely if the word's mean log probability of a trigram in it beats
+        that of evenly spread buckets by ``LIKELY_MARGIN``.
+        """
         step = max(1, 400_000 // max(1, len(self.langs)))
-        parts, known = [], []
+        parts, known, likely = [], [], []
         for i in range(0, len(words), step):
             buckets, starts, scripts = features(words[i:i + step])
             score = np.add.reduceat(self.weights[buckets], starts, axis=0)
             allowed = self.candidates[scripts]
             some = allowed.any(1)
+            trigrams = np.diff(np.append(starts, len(buckets)))
+            best = np.where(allowed, score, -np.inf).max(1, initial=-np.inf)
+            likely.append(best / trigrams > LIKELY_MARGIN - np.log(BUCKETS))
             floor = np.where(allowed, score, np.inf).min(1, initial=np.inf, keepdims=True) - OUTSIDE_SCRIPT
             score = np.where(allowed, score, np.minimum(score, floor))
             score[~some] = 0
             parts.append(score)
             known.append(some)
-        return np.concatenate(parts), np.concatenate(known)
+        return np.concatenate(parts), np.concatenate(known), np.concatenate(likely)
 
 
 def viterbi(scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
@@ -178,7 +186,8 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
              text: str = "text") -> DataFrame:
     """``keep`` columns plus lang_pred, score, known and spans (word numbers, ends exclusive).
 
-    ``score`` is the share of letters labelled ``lang_pred``, ``known`` that of letters labelled with any language.
+    ``score`` is the share of letters labelled ``lang_pred``, ``known`` that of letters of words likely in any language
+    (random letters of a known script are labelled, but not known).
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -198,7 +207,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
                 return [[UNKNOWN] * len(sizes), [0.0] * len(sizes), [0.0] * len(sizes), [[] for _ in sizes]]
             ids, sizes = np.array(ids), np.array(sizes)
             words = list(vocabulary)
-            scores, known = model.scores(words)
+            scores, known, likely = model.scores(words)
             labels = viterbi(scores, ids, sizes, penalty)
             letters = np.fromiter(map(len, words), dtype=np.int64, count=len(words))[ids]
             doc = np.repeat(np.arange(len(sizes)), sizes)
@@ -206,7 +215,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
             every = np.bincount(doc, letters, len(sizes))
             best = np.where(sizes > 0, won.argmax(1), n_langs)
             score = won.max(1) / np.maximum(every, 1)
-            share = won.sum(1) / np.maximum(every, 1)
+            share = np.bincount(doc, letters * likely[ids], len(sizes)) / np.maximum(every, 1)
             first = np.concatenate([[0], np.cumsum(sizes)])
             change = np.flatnonzero(np.concatenate([[True], (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1])]))
             ends = np.append(change[1:], len(labels))
@@ -220,7 +229,8 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), p
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """``docs`` whose language is known (whichever it is) for at least ``least`` of their letters, the model fitted on ``docs`` itself."""
+    """``docs`` whose words are likely in some language (whichever it is) for at least ``least`` of their letters, the model
+    fitted on ``docs`` itself. Keyboard junk and unseen languages go, mixed-language documents stay."""
     rows, text = numbered(docs)
     found = identify(rows, fit(docs), keep=rows.columns, text=text)
     return renamed_back(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("known") >= least)), docs.columns)

@@ -78,6 +78,17 @@ def test_mixed_documents_stay(spark):
     assert {r["doc_id"] for r in keep_identified(df).where("doc_id >= 100").collect()} == {100}
 
 
+def test_junk_goes(spark):
+    """Letters of a known script that form no words of a language are labelled but not known; the given documents stay."""
+    rng = np.random.default_rng(3)
+    junk = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(200)) for _ in range(20)]
+    junk += ["asdf qwer hjkl zxcv " * 40]
+    real = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    df = real.unionByName(docs(spark, [(10**9 + i, t, None, None) for i, t in enumerate(junk)]))
+    kept = {r["doc_id"] for r in keep_identified(df).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in real.select("doc_id").collect()}
+
+
 def test_malformed_text(spark):
     model = fit(model_docs(spark))
     raw = spark.range(1).selectExpr("id AS doc_id", "cast(X'68ff69' AS string) AS text", "'en' AS lang", "'s' AS source")
