@@ -1,15 +1,21 @@
 """HTML text extraction.
 
-``parse_pages`` is the only Python step (Arrow-batched ``mapInPandas``);
+``parse_pages`` is the only Python step (``mapInArrow``, a bounded piece of HTML at a time);
 every extraction option is a higher-order-function expression over the
 arrays it emits, so a single parse serves all flag combinations.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pyspark import cloudpickle
 
@@ -57,6 +63,19 @@ PARSED = [
 ALL_PARTS = ("nodes", "anchors", "metas", "paras")
 #: paragraphs repeat nested text, so they are made only where asked for
 DEFAULT_PARTS = ("nodes", "anchors", "metas")
+#: HTML whose nodes a worker holds as Python objects at a time; a longer page is parsed alone
+PIECE_BYTES = 1 << 20
+
+
+def pieces(batch: pa.RecordBatch, html_col: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of at most ``most`` bytes of HTML, a row at least."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(html_col)), 0), dtype=np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(first, last - first)
+        first = last
 
 
 def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "url",
@@ -68,7 +87,8 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
     ``links`` (H13, absolute links resolved against ``url_col``) is only
     filled when ``with_links``; of the other arrays only ``parts`` are
     filled (the rest are NULL), so unused arrays never cross the Arrow
-    boundary.
+    boundary. A worker parses ``PIECE_BYTES`` of HTML at a time, however many
+    rows its Arrow batches have.
     Rows whose HTML cannot be parsed get ``ok = false``; filter them with
     ``.filter("ok")`` (the reference skips such pages).
     """
@@ -78,19 +98,19 @@ def parse_pages(df: DataFrame, html_col: str = "html", url_col: str | None = "ur
     src = spread_small(src)
     out_schema = T.StructType([src.schema[c] for c in keep] + PARSED)
 
-    def run(batches):
-        for pdf in batches:
-            urls = pdf[url_col] if url_col else [None] * len(pdf)
-            parsed = [parse_html(h, u, with_links, "paras" in parts) for h, u in zip(pdf[html_col], urls)]
-            res = pdf[keep].copy()
-            for f in ("nodes", "anchors", "metas", "paras", "links", "ok"):
-                if f in parts or f in ("links", "ok"):
-                    res[f] = [p[f] for p in parsed]
-                else:
-                    res[f] = None
-            yield res
-
-    return src.mapInPandas(run, out_schema)
+    types = {f.name: to_arrow_type(f.dataType) for f in PARSED}
+    filled = (*parts, "ok", *(("links",) if with_links else ()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            for b in pieces(batch, html_col):
+                urls = b.column(url_col).to_pylist() if url_col else [None] * b.num_rows
+                parsed = [parse_html(h, u, with_links, "paras" in parts) for h, u in zip(b.column(html_col).to_pylist(), urls)]
+                made = [pa.array([p[f] for p in parsed], t) if f in filled else pa.nulls(b.num_rows, t) for f, t in types.items()]
+                yield pa.RecordBatch.from_arrays([*[b.column(names.index(c)) for c in keep], *made], names=[*keep, *types])
+
+    return src.mapInArrow(run, out_schema)
 
 
 # -- H02-H06: body strings ------------------------------------------------------

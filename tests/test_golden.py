@@ -1,5 +1,6 @@
 """Golden literals (hand-derived expectations) for text, HTML and order rules."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sectorlens.functions import text as T
@@ -103,3 +104,18 @@ def test_unclosed_paragraphs_parse_in_linear_time():
     assert time.time() - began < 3 and len(r["nodes"]) == 20_000 and r["paras"] is None
     small = parse_html("<p>a<p>b<a>c</a></p>d", with_paras=True)["paras"]
     assert [(q["text_all"], q["text_kept"]) for q in small] == [("abcd", "abd"), ("bc", "b")]
+
+
+def test_pages_are_parsed_in_bounded_pieces(spark):
+    sizes = [0, 3, H.PIECE_BYTES - 4, 1, 5, H.PIECE_BYTES + 9, 2, None]
+    batch = pa.RecordBatch.from_arrays([pa.array([None if n is None else "x" * n for n in sizes])], names=["html"])
+    found = [[len(x or "") for x in p.column(0).to_pylist()] for p in H.pieces(batch, "html")]
+    assert found == [[0, 3, H.PIECE_BYTES - 4, 1], [5], [H.PIECE_BYTES + 9], [2, 0]]
+
+
+def test_parse_keeps_rows_beside_long_and_missing_pages(spark):
+    pages = [(i, f"<p>p{i}</p>" + "<b>x</b>" * (140_000 if i % 4 == 0 else 1) if i % 3 else None) for i in range(1, 13)]
+    df = spark.createDataFrame(pages, "id int, html string").coalesce(1).withColumn("at", F.timestamp_seconds("id"))
+    rows = H.parse_pages(df, url_col=None, keep=["at", "id"], parts=("nodes",)).collect()
+    assert [(r["id"], r["at"].timestamp(), r["ok"], len(r["nodes"] or []), r["metas"], r["links"]) for r in sorted(rows, key=lambda r: r["id"])] == [
+        (i, i, i % 3 > 0, (140_001 if i % 4 == 0 else 2) if i % 3 else 0, None, None) for i, _ in pages]
