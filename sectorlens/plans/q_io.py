@@ -156,7 +156,7 @@ def x01_repeated(spark, sf):
     src, out, ck = _scratch(spark, "x01r-in"), _scratch(spark, "x01r-out"), _scratch(spark, "x01r-ck")
     p = fx.v_scraped(spark, sf).withColumn("label", F.when(F.col("page_id") % 5 != 0, F.col("label")))
     for run_id, cond in ((1, F.col("page_id") % 2 == 0), (2, F.lit(True))):
-        d = p.filter(cond).select("label", "url", "raw_html")
-        d.unionByName(d).coalesce(1).sortWithinPartitions("url").write.mode("append").json(src)
+        twice = p.filter(cond).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))   # written where the page is read
+        twice.select("label", "url", "raw_html").write.mode("append").json(src)
         ingest_new_pages(spark, src, out, ck, run_id=run_id)
     return spark.read.parquet(out).select("label", "url", "run_id")

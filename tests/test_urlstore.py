@@ -102,3 +102,23 @@ def test_output_without_store(spark, tmp_path):
     pages(spark, src, ["a", "b"])
     ingest_new_pages(spark, src, out, ck, run_id=1)
     assert got(spark.read.parquet(out)) == ["a", "b"]
+
+
+def test_repeated_records_are_written_by_several_tasks(spark, tmp_path):
+    """x01_repeated_and_null: each of its files holds every record twice, and no one task writes a run's pages."""
+    from pathlib import Path
+
+    from sectorlens.plans import q_io
+    from sectorlens.session import ensure_checkpoint_dir
+    n = 40
+    spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.se/"), F.col("id") % 25).alias("url"),
+                          F.concat(F.lit("<p>"), F.col("id")).alias("html")).repartition(4).write.parquet(str(tmp_path / "pages.parquet"))
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "sectorlens-io"
+    before = set(folder.glob("x01r-in-*"))
+    rows = q_io.x01_repeated(spark, str(tmp_path)).collect()
+    assert len(rows) == 25 and len({r["url"] for r in rows}) == 25
+    assert {r["url"]: r["run_id"] for r in rows}["http://h.se/1"] == 1      # page 26 has this url too
+    (made,) = set(folder.glob("x01r-in-*")) - before
+    files = [f.read_text().splitlines() for f in made.glob("part-*")]
+    assert len(files) > 4 and sum(map(len, files)) == 2 * (n // 2 + n)
+    assert all(len(x) == 2 * len(set(x)) for x in files)
