@@ -211,7 +211,9 @@ def _raw_link_pages(spark, sf):
 
 
 def _link_pages(spark, sf):
-    return H.parse_pages(_raw_link_pages(spark, sf), keep=["page_id", "label", "url", "depth"], with_links=True,
+    """The parsed pages; dealt over the shuffle's tasks first, as the customers they are made from lie in few row groups."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return H.parse_pages(_raw_link_pages(spark, sf).repartition(tasks, "page_id"), keep=["page_id", "label", "url", "depth"], with_links=True,
                          parts=("anchors",))
 
 

@@ -33,3 +33,10 @@ def test_parse_on_a_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT count(*) AS n FROM parsed_pages").first()["n"] == fx.v_scraped(spark, SF_SMALL).count()
+
+
+def test_link_pages_of_one_row_group_are_parsed_by_many_tasks(spark):
+    """j11 and h14: the customers come from one row group, their pages' parse is dealt out."""
+    from sectorlens.plans import q_crawl
+    tasks = q_crawl._link_pages(spark, SF_SMALL).select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
