@@ -57,6 +57,12 @@ def training_partitions(df: DataFrame, bytes_each: int = 64 << 20) -> int:
     return max(1, min(most, planned_bytes(df) // bytes_each))
 
 
+def dealt_for_passes(df: DataFrame) -> DataFrame:
+    """``df`` in at most as many partitions as there are cores: a pass of the
+    optimiser shuffles a whole gradient per task, however few rows it has."""
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def mean_vectors(docs: DataFrame, vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """M04 by a given table of (token, vector): the mean over a document's
     tokens (unknown tokens count as zero, as Word2Vec's transform does).
@@ -147,6 +153,7 @@ def select_model(train: DataFrame, dev: DataFrame, grid: list[dict]) -> tuple[Pi
     table of (params, dev score)."""
     from .evaluate import multilabel_scores
     train, dev = (staged(d.select("doc_id", "true_label", "text"), "features") for d in (train, dev))  # read once per grid point
+    train = dealt_for_passes(train)
     rows = []
     best = None
     for i, params in enumerate(grid):

@@ -69,3 +69,22 @@ def test_train_evaluate_predict(spark):
     pages = fx.v_scraped(spark, SF_SMALL).select("page_id", "url", "raw_html")
     top = J.predict_job(spark, pages, f"{base}/model", fx.v_sni(spark), n=3)
     assert top.filter("rank <= 3").count() == top.count() > 0
+
+
+def test_selection_trains_in_no_more_tasks_than_cores(spark, monkeypatch):
+    """m07: a pass of the optimiser shuffles a gradient per task, so the training rows' many files are read by few tasks."""
+    from sectorlens.operators import learn as L
+    cores, seen, real = spark.sparkContext.defaultParallelism, [], L.classifier_pipeline
+
+    class Watched:
+        def __init__(self, **params):
+            self.pipeline = real(num_features=64, max_iter=2, **params)
+
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+            return self.pipeline.fit(df)
+    monkeypatch.setattr(L, "classifier_pipeline", Watched)
+    monkeypatch.setattr(L, "staged", lambda df, name: df)
+    docs = spark.createDataFrame([(i, "ab"[i % 2], f"{'x y' if i % 2 else 'u v'} w{i}") for i in range(100)], "doc_id long, true_label string, text string")
+    _, table = L.select_model(docs.repartition(5 * cores), docs, [{"reg": 0.0}])
+    assert seen == [(cores, 100)] and table.count() == 1
