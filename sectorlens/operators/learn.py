@@ -8,12 +8,18 @@ evaluation operators consume.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, StringIndexer, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..session import staged
@@ -21,6 +27,7 @@ from .ordered import planned_bytes, spread_small
 
 NUM_FEATURES = 262144          # 2^18 hash buckets
 TOKEN_PATTERN = r"(?U)\w+"
+TERMS_AT_ONCE = 1 << 18        # tokens that a worker counts at a time
 
 
 def tokenizer(input_col: str = "text", output_col: str = "tokens") -> RegexTokenizer:
@@ -63,13 +70,40 @@ def dealt_for_passes(df: DataFrame) -> DataFrame:
     return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def term_counts(docs: DataFrame, id_col: str = "doc_id", most: int = TERMS_AT_ONCE) -> DataFrame:
+    """(id, n_tokens, token, tf): every row's distinct tokens, counted where the
+    row is, without a shuffle; null tokens are left out. A worker counts rows of
+    about ``most`` tokens at a time."""
+    rows = docs.select(id_col, F.col("n_tokens").cast("long").alias("n_tokens"), "tokens")
+    out = T.StructType([rows.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("token", T.StringType()),
+                        T.StructField("tf", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(2)), 0), dtype=np.int64))
+            first = 0
+            while first < batch.num_rows:
+                before = int(ends[first - 1]) if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+                b = batch.slice(first, last - first)
+                first = last
+                found = b.column(2).flatten().dictionary_encode()
+                held = np.asarray(found.indices.is_valid())
+                at = np.asarray(pc.list_parent_indices(b.column(2)), dtype=np.int64)[held]
+                words = len(found.dictionary)
+                key, tf = np.unique(at * words + np.asarray(found.indices.drop_null(), dtype=np.int64), return_counts=True)
+                row, word = pa.array(key // max(words, 1)), pa.array(key % max(words, 1))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), found.dictionary.take(word),
+                                                  pa.array(tf, pa.int64())], names=out.names)
+    return rows.mapInArrow(run, out)
+
+
 def mean_vectors(docs: DataFrame, vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """M04 by a given table of (token, vector): the mean over a document's
     tokens (unknown tokens count as zero, as Word2Vec's transform does).
-    Token counts are summed per document before the join, and components per
+    Token counts are summed per row before the join, and components per
     document after it, so neither a frequent token nor a long text is one task."""
-    terms = docs.select(id_col, "n_tokens", F.explode("tokens").alias("token")).groupBy(id_col, "n_tokens", "token") \
-        .agg(F.count(F.lit(1)).alias("tf"))
+    terms = term_counts(docs, id_col)
     parts = (terms.join(vectors, "token").select(id_col, "n_tokens", "tf", F.posexplode("vector").alias("pos", "x"))
              .groupBy(id_col, "pos").agg((F.sum(F.col("tf") * F.col("x")) / F.max("n_tokens")).alias("x")))
     return parts

@@ -98,3 +98,24 @@ def test_no_pairs(spark):
     pair = spark.createDataFrame([(["a", "b"],)], "tokens array<string>")
     vectors, values = W.factorised(W.ppmi(W.pair_counts(pair)), size=4)
     assert np.allclose(np.abs(values), [np.log(2)] * 2) and {r[0] for r in vectors.collect()} == {"a", "b"}
+
+
+def test_terms_are_counted_without_a_shuffle(spark):
+    """m04_mean_of_given_vectors: term counts against a loop; null tokens, empty and missing lists, rows of one id."""
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(6) if i % 7 else None, [rnd.choice(["a", "b", "å", None, "long" * 9]) for _ in range(n)] if n is not None else None)
+            for i, n in enumerate([0, 1, 40, None, 3, 25, 2, 300, 0, 7])]
+    df = spark.createDataFrame([(i, t, len(t or [])) for i, t in rows], "doc_id long, tokens array<string>, n_tokens long").coalesce(1)
+    want = Counter((i, len(t), w, n) for i, t in rows if t for w, n in Counter(x for x in t if x is not None).items())
+    for most in (1, 30, 1 << 18):
+        found = L.term_counts(df, most=most)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString().replace("Coalesce", "")
+        assert Counter(tuple(r) for r in found.collect()) == want
+    sums, sizes = Counter(), {}
+    for i, t in rows:
+        for w in t or []:
+            sums[i] += len(w) if w else 0
+            sizes[i] = max(sizes.get(i, 0), len(t))
+    vectors = spark.createDataFrame([(w, [float(len(w))]) for w in ("a", "b", "å", "long" * 9)], "token string, vector array<double>")
+    mean = {r[0]: r[2] for r in L.mean_vectors(df, vectors).collect()}
+    assert mean == {i: sums[i] / sizes[i] for i in mean} and set(mean) == {i for i in sums if sums[i]}
