@@ -100,6 +100,61 @@ def test_no_pairs(spark):
     assert np.allclose(np.abs(values), [np.log(2)] * 2) and {r[0] for r in vectors.collect()} == {"a", "b"}
 
 
+def test_pairs_are_shuffled_as_blocks(spark, monkeypatch):
+    """m04_ppmi: counts and sums over many chunks against a loop; no pair is a row of its own in a shuffle."""
+    rnd = random.Random(8)
+    texts = [[rnd.choice(["å", "b", "c c", None, "d" * 40, "\n", ""]) for _ in range(rnd.randrange(40))] for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "tokens array<string>").repartition(3)
+    exp = Counter()
+    for t in texts:
+        for i in range(len(t)):
+            for j in (i + 1, i + 2):
+                if j < len(t) and t[i] is not None and t[j] is not None:
+                    exp[t[i], t[j]] += 1
+                    exp[t[j], t[i]] += 1
+    sums = Counter()
+    for (w, _), n in exp.items():
+        sums[w] += n
+    monkeypatch.setattr(W, "CHUNK", 50)
+    for bucket in (10, 1 << 23):
+        monkeypatch.setattr(W, "BUCKET", bucket)
+        counts = W.pair_counts(df)
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(a#" not in plan and "hashpartitioning(bucket#" in plan
+        rows = counts.collect()
+        assert {(r["a"], r["b"]): r["n"] for r in rows} == {k: n for k, n in exp.items() if k[0] <= k[1]}
+        assert len(rows) == len({(r["a"], r["b"]) for r in rows})
+        assert all((r["na"], r["nb"], r["every"]) == (sums[r["a"]], sums[r["b"]], sum(sums.values())) for r in rows)
+
+
+def test_matrix_is_multiplied_by_blocks(spark, monkeypatch):
+    """m04_factorised_vectors: products over many blocks against NumPy; no entry is joined as a row of its own."""
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(a, b, rnd.random()) for a in words for b in words if a <= b and rnd.random() < 0.3]
+    rows += [("all", w, 1.0) for w in words]
+    matrix = spark.createDataFrame(rows, "a string, b string, value double").repartition(2)
+    monkeypatch.setattr(W, "BLOCK", 40)
+    blocks = W.staged(W.matrix_blocks(matrix), "test-blocks")
+    assert blocks.count() >= len(rows) / 41
+    names, m = dense(W.mirrored(matrix, "value"))
+    given = {w: [rnd.random(), rnd.random()] for w in names[1:]}
+    found = W.times(blocks, spark.createDataFrame(list(given.items()), "word string, vector array<double>"), 2)
+    assert "Generate inline" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r[0]: r[1] for r in found.collect()}
+    assert np.allclose([got[w] for w in names], m @ np.array([given.get(w, [0, 0]) for w in names]))
+
+
+def test_means_meet_words_not_terms(spark):
+    """m04_factorised_vectors: repeated rows of a token add up; unknown tokens, rows without known ones, null vectors."""
+    docs = spark.createDataFrame([(1, ["a", "b", "a", "x"], 4), (2, ["x"], 1), (1, ["b"], 1), (None, ["a"], 1)], "doc_id long, tokens array<string>, n_tokens long")
+    vectors = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [0.5, 0.0]), ("b", [10.0, 0.0]), ("x", None), (None, [9.0, 9.0])],
+                                    "token string, vector array<double>")
+    means = L.mean_vectors(docs, vectors)
+    assert "tf" not in means._jdf.queryExecution().executedPlan().toString().split("FlatMapCoGroups")[0]
+    assert {(r[0], r[1]): r[2] for r in means.collect()} == {(1, 0): 23 / 4, (1, 1): 1.0, (None, 0): 1.5, (None, 1): 2.0}
+
+
 def test_terms_are_counted_without_a_shuffle(spark):
     """m04_mean_of_given_vectors: term counts against a loop; null tokens, empty and missing lists, rows of one id."""
     rnd = random.Random(3)
