@@ -20,10 +20,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .. import constants as K
 from ..session import staged
 from .ordered import planned_bytes, spread_small
+from .vectors import CHUNK, encoded, met, numbered, packed, slices, unpacked, whole
 
 NUM_FEATURES = 262144          # 2^18 hash buckets
 TOKEN_PATTERN = r"(?U)\w+"
@@ -101,12 +103,55 @@ def term_counts(docs: DataFrame, id_col: str = "doc_id", most: int = TERMS_AT_ON
 def mean_vectors(docs: DataFrame, vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """M04 by a given table of (token, vector): the mean over a document's
     tokens (unknown tokens count as zero, as Word2Vec's transform does).
-    Token counts are summed per row before the join, and components per
-    document after it, so neither a frequent token nor a long text is one task."""
+    Token counts are summed per row; chunks of many rows meet the vectors of
+    their distinct tokens and add up there, so no term is shuffled, and neither
+    a frequent token nor a long text is one task. All vectors are of one length."""
+    vectors = vectors.where("token IS NOT NULL AND vector IS NOT NULL").select(F.col("token").alias("word"), "vector")
     terms = term_counts(docs, id_col)
-    parts = (terms.join(vectors, "token").select(id_col, "n_tokens", "tf", F.posexplode("vector").alias("pos", "x"))
-             .groupBy(id_col, "pos").agg((F.sum(F.col("tf") * F.col("x")) / F.max("n_tokens")).alias("x")))
-    return parts
+    kind = terms.schema[id_col].dataType
+    out = f"id {kind.simpleString()}, n_tokens long, vector array<double>"
+    id_type = to_arrow_type(kind)
+
+    def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = numbered()
+        for held in slices(batches, CHUNK):
+            t = pa.Table.from_batches(held).combine_chunks()
+            words, codes = encoded(whole(t.column("token")))
+            ids = whole(t.column(id_col)).dictionary_encode("encode")
+            key = np.stack([np.asarray(ids.indices, dtype=np.int64), np.asarray(t.column("n_tokens"), dtype=np.int64)])
+            new = np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))
+            first = pa.array(np.flatnonzero(new))
+            made = {"chunk": pa.array([next(number)], pa.int64()), "words": pa.array([words], pa.list_(pa.string())),
+                    "ids": pa.ListArray.from_arrays(pa.array([0, len(first)], pa.int32()), ids.dictionary.take(ids.indices.take(first))),
+                    "sizes": pa.array([key[1][new]], pa.list_(pa.int64())), "terms": pa.array([len(codes)], pa.int64()),
+                    "codes": pa.array([packed(codes)], pa.binary()), "rows": pa.array([packed(np.diff(np.cumsum(new), prepend=1).astype(np.int8))], pa.binary()),
+                    "tf": pa.array([packed(np.asarray(t.column("tf"), dtype=np.int64))], pa.binary())}
+            yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
+
+    def mean(row: dict, found: pa.Table) -> pa.Table:
+        words, n = row["words"].values, row["terms"].as_py()
+        at = unpacked(row["codes"].as_py(), np.int32, n)
+        doc = np.cumsum(unpacked(row["rows"].as_py(), np.int8, n), dtype=np.int64)
+        place = np.asarray(pc.index_in(whole(found.column("word")), value_set=words))
+        given = whole(found.column("vector"))
+        width = len(given[0]) if found.num_rows else 0
+        held, known = np.zeros((len(words), width)), np.zeros(len(words), bool)
+        if found.num_rows:
+            np.add.at(held, place, np.asarray(given.flatten(), dtype=np.float64).reshape(-1, width))
+            known[place] = True
+        some = known[at]
+        docs, first = np.unique(doc[some], return_index=True)
+        tf = unpacked(row["tf"].as_py(), np.int64, n)[some]
+        sums = (np.stack([np.add.reduceat(tf * held[at[some], j], first) for j in range(width)], axis=1) if len(first) and width
+                else np.zeros((len(docs), width)))
+        return pa.table({"id": row["ids"].values.take(pa.array(docs)).cast(id_type), "n_tokens": row["sizes"].values.take(pa.array(docs)),
+                         "vector": pa.array(list(sums), pa.list_(pa.float64()))})
+    chunks = staged(terms.mapInArrow(chunked, T.StructType([
+        T.StructField("chunk", T.LongType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("ids", T.ArrayType(kind)),
+        T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("terms", T.LongType()),
+        *[T.StructField(c, T.BinaryType()) for c in ("codes", "rows", "tf")]])), "term-chunks")
+    return (met(chunks, "chunk", vectors, mean, out).select(F.col("id").alias(id_col), "n_tokens", F.posexplode("vector").alias("pos", "x"))
+            .groupBy(id_col, "pos").agg((F.sum("x") / F.max("n_tokens")).alias("x")))
 
 
 def classifier_pipeline(ensemble: bool = False, reg: float = 0.0, ngram: int = 1,
