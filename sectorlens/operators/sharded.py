@@ -31,14 +31,17 @@ a null label trains nothing; equal documents count each.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .. import constants as K
@@ -87,14 +90,21 @@ class ShardedModel:
     losses: list[tuple[int, int, float]] = field(default_factory=list)
 
 
-def token_bucket(token: Column, buckets: int) -> Column:
-    return (F.conv(F.substring(F.md5(F.encode(token, "UTF-8")), 1, 8), 16, 10).cast("long") % buckets).cast("int")
-
-
 def hashed(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``hashes``, the bucket of every token."""
-    whole = docs.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
-    return tokenize(whole, text_col).withColumn("hashes", F.transform("tokens", lambda t: token_bucket(t, buckets)))
+    """``docs`` without the text, with ``hashes``, the bucket of every token: a batch's distinct tokens are hashed once each."""
+    rows = tokenize(docs.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))), text_col)
+    kept = [f for f in rows.schema.fields if f.name not in (text_col, "tokens")]
+    out = T.StructType([*kept, T.StructField("hashes", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            found = lists.flatten().dictionary_encode()
+            of = np.array([int(hashlib.md5(w).hexdigest()[:8], 16) % buckets for w in found.dictionary.cast(pa.binary()).to_pylist()], np.int32)
+            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)))]).astype(np.int32)
+            hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(of[np.asarray(found.indices, dtype=np.int64)]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], hashes], names=out.names)
+    return rows.select(*[f.name for f in kept], "tokens").mapInArrow(run, out)
 
 
 def tile_count(docs: DataFrame, text_col: str, tile_bytes: int) -> int:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sectorlens.operators import learn as L
 from sectorlens.operators import sharded as S
 from sectorlens.sources import fixtures as fx
 from tests.conftest import SF_SMALL
@@ -159,6 +160,19 @@ def test_822_classes(spark):
     assert probs.select(F.max(F.abs(F.aggregate("probs", F.lit(0.0), lambda a, b: a + b) - 1))).first()[0] < 1e-9
 
 
+def test_distinct_tokens_are_hashed_once(spark):
+    """m08_sharded_scores: buckets against hashlib, null and empty texts; no hash is taken per token."""
+    texts = ["Å b b c_1", None, "", "b " * 500, "\U0001d7d8x e\u0301"]
+    docs = spark.createDataFrame([(i if i else None, t, [0.5]) for i, t in enumerate(texts)], "doc_id long, text string, vector array<double>").coalesce(1)
+    found = S.hashed(docs, 64)
+    assert "md5" not in found._jdf.queryExecution().executedPlan().toString()
+    want = L.tokenize(docs.fillna("", "text")).collect()
+    bucket = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 64
+    rows = found.collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["hashes"], r["vector"]) for r in rows) == sorted(
+        (r["doc_id"] or 0, len(r["tokens"]), [bucket(w) for w in r["tokens"]], [0.5]) for r in want)
+
+
 def test_plan_has_no_nested_loop(spark):
     model = S.train(spark.createDataFrame(generated(), DOCS), 1, regs=[0.0], buckets=16, span=8, width=3)
     plan = model.coefs._jdf.queryExecution().toString() + S.probabilities(
