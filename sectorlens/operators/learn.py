@@ -103,9 +103,18 @@ def term_counts(docs: DataFrame, id_col: str = "doc_id", most: int = TERMS_AT_ON
 def mean_vectors(docs: DataFrame, vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """M04 by a given table of (token, vector): the mean over a document's
     tokens (unknown tokens count as zero, as Word2Vec's transform does).
-    Token counts are summed per row; chunks of many rows meet the vectors of
-    their distinct tokens and add up there, so no term is shuffled, and neither
-    a frequent token nor a long text is one task. All vectors are of one length."""
+    Token counts are summed per row before the join, and components per
+    document after it, so neither a frequent token nor a long text is one task."""
+    terms = term_counts(docs, id_col)
+    parts = (terms.join(vectors, "token").select(id_col, "n_tokens", "tf", F.posexplode("vector").alias("pos", "x"))
+             .groupBy(id_col, "pos").agg((F.sum(F.col("tf") * F.col("x")) / F.max("n_tokens")).alias("x")))
+    return parts
+
+
+def mean_long_vectors(docs: DataFrame, vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``mean_vectors`` for vectors of many numbers, all of one length: chunks of
+    many rows meet the vectors of their distinct tokens and add up there, so no
+    term is shuffled, nor its vector's numbers. Short vectors are joined faster by ``mean_vectors``."""
     vectors = vectors.where("token IS NOT NULL AND vector IS NOT NULL").select(F.col("token").alias("word"), "vector")
     terms = term_counts(docs, id_col)
     kind = terms.schema[id_col].dataType

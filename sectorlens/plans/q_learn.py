@@ -167,7 +167,7 @@ def m04_factorised(spark, sf):
     """Mean of the factorised word vectors per document, in long form."""
     d = staged(L.tokenize(fx.v_labelled_docs(spark, sf)).select("doc_id", "n_tokens", "tokens"), "tokens")
     vectors, _ = W.factorised(W.ppmi(W.pair_counts(d, min_count=2)), size=16, oversample=4, rounds=2)
-    return L.mean_vectors(d, vectors.withColumnRenamed("word", "token"))
+    return L.mean_long_vectors(d, vectors.withColumnRenamed("word", "token"))
 
 
 BUCKETS, REGS, ROUNDS = 64, (0.001, 0.05), 3

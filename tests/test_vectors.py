@@ -150,7 +150,7 @@ def test_means_meet_words_not_terms(spark):
     docs = spark.createDataFrame([(1, ["a", "b", "a", "x"], 4), (2, ["x"], 1), (1, ["b"], 1), (None, ["a"], 1)], "doc_id long, tokens array<string>, n_tokens long")
     vectors = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [0.5, 0.0]), ("b", [10.0, 0.0]), ("x", None), (None, [9.0, 9.0])],
                                     "token string, vector array<double>")
-    means = L.mean_vectors(docs, vectors)
+    means = L.mean_long_vectors(docs, vectors)
     assert "tf" not in means._jdf.queryExecution().executedPlan().toString().split("FlatMapCoGroups")[0]
     assert {(r[0], r[1]): r[2] for r in means.collect()} == {(1, 0): 23 / 4, (1, 1): 1.0, (None, 0): 1.5, (None, 1): 2.0}
 
